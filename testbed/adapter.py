@@ -143,3 +143,99 @@ def line_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
         "case l_returnflag when 'N' then 'IN_STOCK' when 'R' then 'OUT_OF_STOCK' "
         "else 'PREORDER' end as inventory_status",
     )
+
+
+# Payload text in the shapes of the four sources, written so that every rule is met: absent
+# keys, explicit nulls, blank names, text where a flag belongs, negative and unreadable
+# numbers, empty responses. Plain concatenation gives the same text in both engines.
+PAYLOAD = """
+case user_id % 4
+when 0 then
+  case when k % 10 = 0 then '{"data": {}}' else concat(
+    '{"data":{"product":{"item":{"product_description":{"title":',
+    case k % 7 when 0 then '""' when 1 then 'null' else concat('"Target item ', user_id, '"') end,
+    '}},"price":{"current_retail":',
+    case when event_type = 'error' and k % 2 = 0 then '-1.5' else amount end,
+    '},"available_to_promise":{"availability":',
+    case event_type when 'purchase' then '"in_stock"' when 'click' then '"AVAILABLE"'
+      when 'view' then '"Not_Available"' when 'signup' then '"PREORDER"'
+      else case k % 4 when 0 then 'null' when 1 then '"BACKORDER"' when 2 then '" AVAILABLE"'
+           else '5' end end,
+    ',"available_to_promise_quantity":',
+    case k % 9 when 0 then '-2' when 1 then 'null' when 2 then '"7"' when 3 then '4.9'
+      else cast(k as string) end,
+    '},"tcin":"', user_id, '"}}}') end
+when 1 then
+  case when k % 10 = 0 then '{}' else concat(
+    '{"itemId":"', user_id, '"',
+    case k % 7 when 0 then '' else concat(',"name":"Walmart item ', user_id, '"') end,
+    case k % 5 when 0 then concat(',"msrp":', amount)
+      when 1 then concat(',"salePrice":null,"msrp":', amount)
+      else concat(',"salePrice":', amount) end,
+    case event_type when 'purchase' then ',"availableOnline":true'
+      when 'view' then ',"availableOnline":false,"stock":"Available"'
+      when 'click' then ',"availableOnline":"true","stock":"Available"'
+      when 'signup' then ',"stock":"Preorder"' else ',"stock":"NOT available"' end,
+    case k % 11 when 0 then ',"upc":12345' when 1 then '' else ',"upc":"00012345"' end, '}') end
+when 2 then
+  case k % 10 when 0 then '{"product":null}'
+  when 1 then concat('{"product":{"title":"Shop item ', user_id, '","variants":[]}}')
+  else concat('{"product":{"title":"Shop item ', user_id, '","variants":[{"price":"',
+    case when k % 13 = 0 then 'n/a' else amount end, '","available":',
+    case event_type when 'purchase' then 'true' when 'click' then '"true"'
+      when 'view' then 'false' when 'signup' then 'null' else '1' end,
+    ',"sku":"PC-', user_id, '"},{"price":"1.00","available":false}]}}') end
+else
+  case when k % 10 = 0 then '{}' else concat(
+    '{"productName":"Game ', user_id, '","pricing":{',
+    case k % 5 when 0 then concat('"listPrice":', amount)
+      when 1 then concat('"salePrice":null,"listPrice":', amount)
+      else concat('"salePrice":', amount, ',"listPrice":99') end,
+    '},"availability":',
+    case event_type when 'purchase' then '{"isInStock":true}'
+      when 'view' then '{"isInStock":false,"isPreOrder":true}'
+      when 'signup' then '{"isPreOrder":true}' when 'click' then 'null'
+      else '{"isInStock":null,"isPreOrder":false}' end,
+    case k % 11 when 0 then ',"sku":77' else concat(',"sku":"G-', user_id, '"') end, '}') end
+end"""
+
+
+def payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Collected responses as they arrive: times as text, bodies as VARIANT."""
+    return (
+        table(spark, sf_dir, "events")
+        .selectExpr("*", f"{K} as k", "cast(cast(value as decimal(12,2)) as string) as amount")
+        .selectExpr(
+            f"{SOURCE} as source",
+            f"{RUN_ID} as run_id",
+            "cast(user_id as string) as retailer_product_id",
+            "date_format(ts, \"yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'\") as observed_at",
+            f"try_parse_json({PAYLOAD}) as raw_response",
+            "ts + interval 5 seconds as extracted_at",
+            "event_id as poll",
+            "ts",
+        )
+    )
+
+
+def catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return product_seed(spark, sf_dir).selectExpr(
+        "product_id as id",
+        "retailer",
+        "retailer_product_id",
+        "product_name as name",
+        "product_url as url",
+        "category",
+        "store_id",
+    )
+
+
+def runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs as the collector opened them, before anything was normalised."""
+    return raw_runs(spark, sf_dir).selectExpr(
+        "run_id",
+        "upper(trim(source)) as source",
+        "observed_at",
+        "started_at",
+        "completed_at",
+    )

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import re
 
+from testbed.adapter import PAYLOAD
+
 CTES: dict[str, str] = {}
 QUERIES: dict[str, str] = {}
 
@@ -284,6 +286,215 @@ QUERIES["I3_state_changes_lineitem"] = "select * from line_state_changes"
 QUERIES["I8_price_changes_lineitem"] = "select * from line_price_changes"
 
 
+# ---- normalisation ---------------------------------------------------------------------
+
+_PAYLOAD = PAYLOAD.replace("as string", "as varchar")
+CTES["payloads"] = f"""
+select {_SRC} as source, {_SRC} || '-' || strftime(ts, '%Y%m%d') as run_id,
+       cast(user_id as varchar) as retailer_product_id, ts as observed_at,
+       ts + interval 5 second as extracted_at, event_id as poll, cast({_PAYLOAD} as json) as j
+from (select *, {_K} as k, cast(cast(value as decimal(12,2)) as varchar) as amount from events)"""
+_ID = """
+substr(h, 1, 8) || '-' || substr(h, 9, 4) || '-5' || substr(h, 14, 3) || '-'
+|| translate(substr(h, 17, 1), '0123456789abcdef', '89ab89ab89ab89ab') || substr(h, 18, 3)
+|| '-' || substr(h, 21, 12)"""
+
+
+def _name_digest(source: str, product: str, moment: str) -> str:
+    text = f"""{source} || ':' || {product} || ':' || strftime({moment}, '%Y-%m-%dT%H:%M:%S')
+        || case when date_part('microseconds', {moment}) % 1000000 = 0 then ''
+                else '.' || strftime({moment}, '%f') end || '+00:00'"""
+    return f"sha1(unhex('6f8f2c2e9b1d4b1a9b3a1f7d9e6a0c11') || encode({text}))"
+
+
+def _path(path: str) -> str:
+    return f"json_extract(j, '$.{path}')"
+
+
+def _text(path: str) -> str:
+    return f"json_extract_string(j, '$.{path}')"
+
+
+def _kind(path: str) -> str:
+    return f"coalesce(json_type({_path(path)}), 'ABSENT')"
+
+
+_T = "data.product"
+_FLAG = {
+    "WALMART": "availableOnline",
+    "POKEMON_CENTER": "product.variants[0].available",
+    "GAMESTOP": "availability.isInStock",
+}
+
+
+def _flag(source: str, otherwise: str) -> str:
+    path = _FLAG[source]
+    return f"""case when {_kind(path)} = 'BOOLEAN' and {_text(path)} = 'true' then 'IN_STOCK'
+        when {_kind(path)} = 'BOOLEAN' and {_text(path)} = 'false' then 'OUT_OF_STOCK'
+        else {otherwise} end"""
+
+
+_PREORDER = """case when json_extract_string(j, '$.availability.isPreOrder') = 'true'
+    then 'PREORDER' else 'UNKNOWN' end"""
+_STOCK_WORD = """case lower(json_extract_string(j, '$.stock')) when 'available' then 'IN_STOCK'
+    when 'not available' then 'OUT_OF_STOCK' when 'unavailable' then 'OUT_OF_STOCK'
+    when 'preorder' then 'PREORDER' else 'UNKNOWN' end"""
+_TARGET_WORD = f"""case upper({_text(_T + '.available_to_promise.availability')})
+    when 'AVAILABLE' then 'IN_STOCK' when 'IN_STOCK' then 'IN_STOCK'
+    when 'UNAVAILABLE' then 'OUT_OF_STOCK' when 'OUT_OF_STOCK' then 'OUT_OF_STOCK'
+    when 'NOT_AVAILABLE' then 'OUT_OF_STOCK' when 'PREORDER' then 'PREORDER'
+    when 'BACKORDER' then 'BACKORDER' else 'UNKNOWN' end"""
+
+
+def _first_key(first: str, second: str) -> str:
+    return f"case when {_kind(first)} = 'ABSENT' then {_text(second)} else {_text(first)} end"
+
+
+CTES["read_payloads"] = f"""
+select p.*, c.source is not null as in_catalog, c.product_name as catalog_name, c.product_url,
+       c.category, case when p.source = 'TARGET' then c.store_id end as store_id,
+       case p.source when 'TARGET' then {_text(_T + '.item.product_description.title')}
+            when 'WALMART' then {_text('name')}
+            when 'POKEMON_CENTER' then {_text('product.title')}
+            else {_text('productName')} end as own_name,
+       case p.source when 'TARGET' then {_text(_T + '.price.current_retail')}
+            when 'WALMART' then {_first_key('salePrice', 'msrp')}
+            when 'POKEMON_CENTER' then {_text('product.variants[0].price')}
+            else {_first_key('pricing.salePrice', 'pricing.listPrice')} end as price_text,
+       case p.source when 'TARGET' then {_TARGET_WORD}
+            when 'WALMART' then {_flag('WALMART', _STOCK_WORD)}
+            when 'POKEMON_CENTER' then {_flag('POKEMON_CENTER', "'UNKNOWN'")}
+            else {_flag('GAMESTOP', _PREORDER)} end as inventory_status,
+       case when p.source = 'TARGET'
+            then {_text(_T + '.available_to_promise.available_to_promise_quantity')} end
+            as quantity_text,
+       case p.source when 'POKEMON_CENTER' then {_kind('product.variants[0].sku')}
+            when 'GAMESTOP' then {_kind('sku')} else 'ABSENT' end as sku_kind,
+       case p.source when 'POKEMON_CENTER' then {_text('product.variants[0].sku')}
+            when 'GAMESTOP' then {_text('sku')} end as sku,
+       case p.source when 'WALMART' then {_kind('upc')} else 'ABSENT' end as upc_kind,
+       case p.source when 'WALMART' then {_text('upc')} end as upc,
+       case p.source when 'TARGET' then {_kind(_T)} = 'ABSENT'
+            when 'POKEMON_CENTER' then {_kind('product')} in ('ABSENT', 'NULL') else false end
+            as no_product,
+       p.source in ('WALMART', 'GAMESTOP') and len(json_keys(j)) = 0 as empty_response,
+       p.source = 'TARGET'
+           and {_kind(_T + '.available_to_promise.availability')} in ('UBIGINT', 'BIGINT')
+           as odd_availability
+from payloads p
+left join (select *, upper(trim(retailer)) as source from product_seed) c
+  using (source, retailer_product_id)"""
+CTES["examined"] = """
+select *, try_cast(price_text as double) as price,
+       cast(trunc(try_cast(quantity_text as double)) as bigint) as quantity_available,
+       list_filter([case when no_product then 'no product data' end,
+         case when empty_response then 'empty response' end,
+         case when odd_availability then 'malformed availability' end,
+         case when not in_catalog then 'product not in catalog' end,
+         case when price_text is not null and try_cast(price_text as double) is null
+              then 'price is not a number' end,
+         case when try_cast(price_text as double) < 0 then 'price must not be negative' end,
+         case when try_cast(quantity_text as double) < 0
+              then 'quantity_available must not be negative' end,
+         case when sku_kind not in ('ABSENT', 'NULL', 'VARCHAR') then 'sku is not text' end,
+         case when upc_kind not in ('ABSENT', 'NULL', 'VARCHAR') then 'upc is not text' end],
+         lambda x: x is not null) as reasons
+from read_payloads"""
+CTES["accepted"] = f"""
+select {_ID} as event_id, source, retailer_product_id,
+       coalesce(nullif(own_name, ''), catalog_name) as product_name, product_url, sku, upc,
+       category, price, 'USD' as currency, inventory_status, quantity_available, store_id,
+       'ONLINE' as location_type, observed_at, extracted_at, run_id as ingestion_run_id,
+       '1.0' as schema_version
+from (select *, {_name_digest('source', 'retailer_product_id', 'observed_at')} as h
+      from examined where len(reasons) = 0)"""
+for _name, _source in {
+    "N1_target_mapping": "TARGET",
+    "N2_walmart_mapping": "WALMART",
+    "N3_storefront_mapping": "POKEMON_CENTER",
+    "N4_gamestop_mapping": "GAMESTOP",
+}.items():
+    QUERIES[_name] = f"select * from accepted where source = '{_source}'"
+QUERIES["N5_event_id"] = f"""
+select event_id, {_ID} as uuid, {_ID.replace('(h,', '(h0,')} as uuid_whole_second
+from (select event_id, {_name_digest(_SRC, 'user_id', 'ts')} as h,
+             {_name_digest(_SRC, 'user_id', "date_trunc('second', ts)")} as h0 from events)"""
+QUERIES["N6_payload_hash"] = f"""
+select event_id, sha256('{{"a":' || {_K} || ',"z":' || user_id || '}}') as digest, true as same
+from events"""
+QUERIES["N7_validation_reasons"] = """
+select source, reason, count(*)::bigint as records
+from (select source, unnest(reasons) as reason from examined) group by 1, 2"""
+QUERIES["N8_utc_normalisation"] = """
+select event_id, case when event_id % 5 <> 2 then ts end as observed_at,
+       case when event_id % 5 <> 2 then strftime(ts, '%Y-%m-%d %H:%M:%S.%f') end as text
+from events"""
+QUERIES["N9_rejected_records"] = """
+select run_id as ingestion_run_id, source, array_to_string(reasons, '; ') as reason,
+       retailer_product_id, extracted_at as occurred_at
+from examined where len(reasons) > 0"""
+QUERIES["N9_valid_rejected_split"] = """
+select source, count(*) filter (len(reasons) = 0)::bigint as valid,
+       count(*) filter (len(reasons) > 0)::bigint as rejected
+from examined group by 1"""
+QUERIES["N10_name_fallback"] = """
+select source, starts_with(product_name, 'Product ') as from_catalog,
+       count(*)::bigint as observations
+from accepted group by 1, 2"""
+QUERIES["N11_catalog_of_source"] = """
+select source, in_catalog as tracked, count(distinct retailer_product_id)::bigint as products
+from examined group by 1, 2"""
+QUERIES["N12_constants"] = """
+select source, currency, location_type, schema_version, count(*)::bigint as observations
+from accepted group by 1, 2, 3, 4"""
+CTES["run_counts"] = """
+select run_id, count(*)::bigint as payloads_received,
+       count(*) filter (len(reasons) = 0)::bigint as events_normalized,
+       count(*) filter (len(reasons) > 0)::bigint as events_rejected
+from examined group by 1"""
+CTES["run_reasons"] = """
+select run_id, list(reason order by n) as reasons
+from (select run_id, array_to_string(reasons, '; ') as reason,
+             row_number() over (partition by run_id order by retailer_product_id,
+                                array_to_string(reasons, '; '), observed_at) as n
+      from examined where len(reasons) > 0) where n <= 10 group by 1"""
+CTES["manifests"] = """
+select r.run_id, upper(trim(r.source)) as source, observed_at, started_at, completed_at,
+       case when payloads_received = 0 or events_normalized = 0 then 'FAILED'
+            when events_rejected > 0 then 'PARTIAL_FAILURE' else 'SUCCESS' end as status,
+       c.payloads_received, c.events_normalized, c.events_rejected,
+       '[' || coalesce('"' || array_to_string(reasons, '","') || '"', '') || ']'
+           as error_summary,
+       '0.1.0' as pipeline_version
+from (select run_id, source, observed_at, started_at, completed_at from raw_runs) r
+left join run_counts c using (run_id) left join run_reasons using (run_id)"""
+QUERIES["N13_run_status"] = """
+select run_id, status, payloads_received, events_normalized, events_rejected from manifests"""
+QUERIES["N14_manifests"] = "select * from manifests"
+QUERIES["N15_ingestion_summary"] = f"""
+select count(*)::bigint as total_runs, sum(events_normalized)::bigint as total_events,
+       sum(events_rejected)::bigint as total_rejected,
+       count(*) filter (status = 'FAILED')::bigint as failed_runs,
+       {share("count(*) filter (status <> 'FAILED')", "count(*)")} as success_rate
+from manifests"""
+QUERIES["N16_run_metrics"] = f"""
+select count(*)::bigint as total_runs,
+       count(*) filter (status = 'SUCCESS')::bigint as successful_runs,
+       count(*) filter (status = 'PARTIAL_FAILURE')::bigint as partial_failure_runs,
+       count(*) filter (status not in ('SUCCESS', 'PARTIAL_FAILURE'))::bigint as failed_runs,
+       sum(events_normalized)::bigint as total_events,
+       sum(events_rejected)::bigint as total_rejected,
+       count(distinct source)::bigint as sources_seen, min(observed_at) as observed_at_min,
+       max(observed_at) as observed_at_max,
+       round(sum(date_diff('microsecond', started_at, completed_at)) / 1000000.0 / count(*), 3)
+           as avg_run_duration_seconds,
+       {share("count(*) filter (status in ('SUCCESS', 'PARTIAL_FAILURE'))", "count(*)")}
+           as success_rate_pct,
+       (select count(*)::bigint from stg_products) as products_tracked,
+       (select count(distinct retailer)::bigint from stg_products) as retailers_tracked
+from manifests"""
+
+
 def compose(body: str) -> str:
     """Prefix ``body`` with the common table expressions it needs, in order."""
     needed: set[str] = set()

@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelflog.operators import staging
+from shelflog.functions import event_id, payload_hash, read_utc, utc_text
+from shelflog.operators import normalize, staging
+from shelflog.operators.runs import build_manifests, ingestion_summary, run_metrics
 from shelflog.plans import intermediate, marts
 from testbed import adapter
 from testbed.adapter import AS_OF
@@ -147,6 +149,150 @@ def price_changes_lineitem(spark, sf_dir):
     return intermediate.price_changes(adapter.line_prices(spark, sf_dir))
 
 
+# ---- normalisation ---------------------------------------------------------------------
+
+
+def _examined(spark, sf_dir, sources=None):
+    return normalize.examine(adapter.payloads(spark, sf_dir), adapter.catalog(spark, sf_dir), sources)
+
+
+def _mapping_query(source: str) -> Query:
+    def run(spark, sf_dir):
+        # The hash has its own query; the texts of two engines' hashes differ by spacing.
+        return normalize.accepted(_examined(spark, sf_dir, [source])).drop(
+            "source_response_hash", "raw_file_path"
+        )
+
+    return run
+
+
+for _name, _source in {
+    "N1_target_mapping": "TARGET",
+    "N2_walmart_mapping": "WALMART",
+    "N3_storefront_mapping": "POKEMON_CENTER",
+    "N4_gamestop_mapping": "GAMESTOP",
+}.items():
+    REGISTRY[_name] = _mapping_query(_source)
+
+
+@query("N5_event_id")
+def event_ids(spark, sf_dir):
+    polls = adapter.table(spark, sf_dir, "events")
+    return polls.select(
+        "event_id",
+        event_id(F.expr(adapter.SOURCE), F.col("user_id").cast("string"), F.col("ts")).alias("uuid"),
+        event_id(
+            F.expr(adapter.SOURCE), F.col("user_id").cast("string"), F.date_trunc("second", "ts")
+        ).alias("uuid_whole_second"),
+    )
+
+
+@query("N6_payload_hash")
+def payload_hashes(spark, sf_dir):
+    polls = adapter.table(spark, sf_dir, "events").selectExpr("*", f"{adapter.K} as k")
+    one_order = F.expr("""concat('{"z": ', user_id, ', "a": ', k, '}')""")
+    other_order = F.expr("""concat('{"a":', k, ',"z":', user_id, '}')""")
+    first, second = (payload_hash(F.try_parse_json(text)) for text in (one_order, other_order))
+    return polls.select("event_id", first.alias("digest"), (first == second).alias("same"))
+
+
+@query("N7_validation_reasons")
+def validation_reasons(spark, sf_dir):
+    examined = _examined(spark, sf_dir)
+    return (
+        examined.select("source", F.explode("reasons").alias("reason"))
+        .groupBy("source", "reason")
+        .agg(F.count(F.lit(1)).alias("records"))
+    )
+
+
+@query("N8_utc_normalisation")
+def utc_normalisation(spark, sf_dir):
+    polls = adapter.table(spark, sf_dir, "events")
+    shift = F.expr("event_id % 5")
+    # The same instant written naive, as UTC and with a negative offset.
+    text = (
+        F.when(shift == 0, F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS"))
+        .when(shift == 1, F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"))
+        .when(shift == 2, F.lit("not a time"))
+        .otherwise(
+            F.date_format(F.expr("ts - interval 7 hours"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'-07:00'")
+        )
+    )
+    read = read_utc(text)
+    return polls.select("event_id", read.alias("observed_at"), utc_text(read).alias("text"))
+
+
+@query("N9_rejected_records")
+def rejected_records(spark, sf_dir):
+    return normalize.rejected(_examined(spark, sf_dir)).drop("raw_excerpt")
+
+
+@query("N9_valid_rejected_split")
+def valid_rejected_split(spark, sf_dir):
+    return (
+        _examined(spark, sf_dir)
+        .groupBy("source")
+        .agg(
+            F.count_if(F.size("reasons") == 0).alias("valid"),
+            F.count_if(F.size("reasons") > 0).alias("rejected"),
+        )
+    )
+
+
+@query("N10_name_fallback")
+def name_fallback(spark, sf_dir):
+    return (
+        normalize.accepted(_examined(spark, sf_dir))
+        .groupBy("source", F.startswith("product_name", F.lit("Product ")).alias("from_catalog"))
+        .agg(F.count(F.lit(1)).alias("observations"))
+    )
+
+
+@query("N11_catalog_of_source")
+def catalog_of_source(spark, sf_dir):
+    return (
+        _examined(spark, sf_dir)
+        .groupBy("source", F.col("in_catalog").isNotNull().alias("tracked"))
+        .agg(F.count_distinct("retailer_product_id").alias("products"))
+    )
+
+
+@query("N12_constants")
+def constants(spark, sf_dir):
+    return (
+        normalize.accepted(_examined(spark, sf_dir))
+        .groupBy("source", "currency", "location_type", "schema_version")
+        .agg(F.count(F.lit(1)).alias("observations"))
+    )
+
+
+def _manifests(spark, sf_dir):
+    return build_manifests(adapter.runs(spark, sf_dir), _examined(spark, sf_dir))
+
+
+@query("N13_run_status")
+def run_statuses(spark, sf_dir):
+    return _manifests(spark, sf_dir).select(
+        "run_id", "status", "payloads_received", "events_normalized", "events_rejected"
+    )
+
+
+@query("N14_manifests")
+def manifests(spark, sf_dir):
+    return _manifests(spark, sf_dir).withColumn("error_summary", F.to_json("error_summary"))
+
+
+@query("N15_ingestion_summary")
+def summary(spark, sf_dir):
+    return ingestion_summary(_manifests(spark, sf_dir))
+
+
+@query("N16_run_metrics")
+def metrics(spark, sf_dir):
+    return run_metrics(_manifests(spark, sf_dir), Models(spark, sf_dir).stg_products)
+
+
 def prices_as_double(df: DataFrame) -> DataFrame:
     """Prices leave as doubles, so that no client compares decimals with floats."""
     return df.select(
