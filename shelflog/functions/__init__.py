@@ -10,16 +10,7 @@ from shelflog.functions.times import (
     seconds_between,
     utc_text,
 )
-from shelflog.functions.variants import (
-    field,
-    is_boolean,
-    is_falsy,
-    is_object,
-    is_text,
-    json_true,
-    json_false,
-    text_of,
-)
+from shelflog.functions.variants import field
 
 __all__ = [
     "code_or_default",
@@ -27,19 +18,12 @@ __all__ = [
     "event_id",
     "field",
     "hours_between",
-    "is_boolean",
-    "is_falsy",
-    "is_object",
-    "is_text",
     "iso_utc",
-    "json_false",
-    "json_true",
     "one_of",
     "payload_hash",
     "read_utc",
     "seconds_between",
     "std_code",
     "surrogate_key",
-    "text_of",
     "utc_text",
 ]

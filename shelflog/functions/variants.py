@@ -1,8 +1,4 @@
-"""Reading untyped JSON held as VARIANT.
-
-``field`` is SQL null when the key is absent and a VOID variant when the key holds a JSON
-null, so the two stay apart.
-"""
+"""Reading untyped JSON held as VARIANT."""
 
 from __future__ import annotations
 
@@ -11,46 +7,5 @@ from pyspark.sql import functions as F
 
 
 def field(value: Column, path: str) -> Column:
+    """SQL null if the key is absent, a VARIANT null if the key holds a JSON null."""
     return F.try_variant_get(value, path, "variant")
-
-
-def kind(value: Column) -> Column:
-    return F.schema_of_variant(value)
-
-
-def text_of(value: Column) -> Column:
-    """The value as text; objects and arrays as JSON; JSON null as SQL null."""
-    return F.try_variant_get(value, "$", "string")
-
-
-def is_object(value: Column) -> Column:
-    return F.coalesce(F.startswith(kind(value), F.lit("OBJECT")), F.lit(False))
-
-
-def is_text(value: Column) -> Column:
-    return F.coalesce(kind(value) == "STRING", F.lit(False))
-
-
-def is_boolean(value: Column) -> Column:
-    return F.coalesce(kind(value) == "BOOLEAN", F.lit(False))
-
-
-def json_true(value: Column) -> Column:
-    """JSON ``true`` itself; the text "true" does not count."""
-    return is_boolean(value) & (text_of(value) == "true")
-
-
-def json_false(value: Column) -> Column:
-    return is_boolean(value) & (text_of(value) == "false")
-
-
-def is_falsy(value: Column) -> Column:
-    """Absent, JSON null, false, zero, empty text, empty array or empty object."""
-    text = text_of(value)
-    return (
-        text.isNull()
-        | (text == "")
-        | text.isin("{}", "[]") & ~is_text(value)
-        | json_false(value)
-        | ~is_text(value) & F.coalesce(F.try_variant_get(value, "$", "double") == 0, F.lit(False))
-    )

@@ -24,13 +24,8 @@ def first_reasons(examined: DataFrame, limit: int = REASONS_KEPT) -> DataFrame:
     """
     order = Window.partitionBy("ingestion_run_id").orderBy("retailer_product_id", "reason", "observed_at")
     return (
-        examined.where(F.size("reasons") > 0)
-        .select(
-            "ingestion_run_id",
-            "retailer_product_id",
-            "observed_at",
-            F.array_join("reasons", "; ").alias("reason"),
-        )
+        examined.where("reason <> ''")
+        .select("ingestion_run_id", "retailer_product_id", "observed_at", "reason")
         .withColumn("_n", F.row_number().over(order))
         .where(F.col("_n") <= limit)
         .groupBy("ingestion_run_id")
@@ -46,7 +41,7 @@ def build_manifests(
 
     A run that received nothing has no rows in ``examined`` and counts as failed.
     """
-    good = F.size("reasons") == 0
+    good = F.col("reason") == ""
     counts = examined.groupBy("ingestion_run_id").agg(
         F.count(F.lit(1)).alias("received"),
         F.count_if(good).alias("normalized"),

@@ -200,7 +200,8 @@ def payload_hashes(spark, sf_dir):
 def validation_reasons(spark, sf_dir):
     examined = _examined(spark, sf_dir)
     return (
-        examined.select("source", F.explode("reasons").alias("reason"))
+        examined.where("reason <> ''")
+        .select("source", F.explode(F.split("reason", normalize.SEPARATOR)).alias("reason"))
         .groupBy("source", "reason")
         .agg(F.count(F.lit(1)).alias("records"))
     )
@@ -234,8 +235,8 @@ def valid_rejected_split(spark, sf_dir):
         _examined(spark, sf_dir)
         .groupBy("source")
         .agg(
-            F.count_if(F.size("reasons") == 0).alias("valid"),
-            F.count_if(F.size("reasons") > 0).alias("rejected"),
+            F.count_if(F.col("reason") == "").alias("valid"),
+            F.count_if(F.col("reason") != "").alias("rejected"),
         )
     )
 
