@@ -289,7 +289,8 @@ def _read_source(payloads: DataFrame, source: str) -> DataFrame:
             "inventory_status",
             "quantity_available",
             F.lit(layout.keeps_store).alias("keeps_store"),
-            _joined(defects + _value_rules(layout)).alias("found"),
+            _joined(defects).alias("structure_reasons"),
+            _joined(_value_rules(layout)).alias("value_reasons"),
         )
     )
 
@@ -319,10 +320,10 @@ def examine(payloads: DataFrame, catalog: DataFrame, sources: list[str] | None =
         (F.col("in_catalog").isNull(), "product not in catalog"),
         (F.col("observed_at").isNull(), "unreadable observed_at"),
     ]
-    found = F.nullif("found", F.lit(""))
+    parts_of_reason = [F.col("structure_reasons"), _joined(late_rules), F.col("value_reasons")]
     return read.join(known, ["source", "retailer_product_id"], "left").select(
         "*",
-        F.concat_ws(SEPARATOR, found, F.nullif(_joined(late_rules), F.lit(""))).alias("reason"),
+        F.concat_ws(SEPARATOR, *[F.nullif(p, F.lit("")) for p in parts_of_reason]).alias("reason"),
     )
 
 

@@ -12,8 +12,11 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shelflog.operators import normalize
+from shelflog.operators.runs import build_manifests
 from shelflog.schemas import INVENTORY_EVENTS, RETAILER_SEED
-from shelflog.session import prepare
+from shelflog.session import materialize, prepare, scratch_path
+from shelflog.sources import landing
 
 AS_OF = datetime(2024, 2, 1)
 EARLY_AS_OF = datetime(2024, 1, 29)
@@ -239,3 +242,34 @@ def runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         "started_at",
         "completed_at",
     )
+
+
+def landing_runs(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """Everything one ingestion writes: payloads, events, rejects, manifests."""
+    responses = payloads(spark, sf_dir)
+    examined = materialize(
+        normalize.examine(responses, catalog(spark, sf_dir)), "examined"
+    )
+    frames = {
+        "payloads": landing.with_levels(responses, F.col("ts"), "run_id"),
+        "events": landing.with_levels(
+            normalize.accepted(examined), F.col("observed_at"), "ingestion_run_id"
+        ),
+        "rejects": landing.with_levels(
+            normalize.rejected(examined), F.col("occurred_at"), "ingestion_run_id"
+        ),
+        "manifests": landing.with_levels(
+            build_manifests(runs(spark, sf_dir), examined), F.col("observed_at"), "run_id"
+        ),
+    }
+    frames["manifests"] = landing.with_content_hashes(
+        frames["manifests"], frames["payloads"], frames["events"]
+    )
+    return frames
+
+
+def landed(spark: SparkSession, sf_dir: str) -> str:
+    """Write the runs into a new landing zone and return its root."""
+    root = scratch_path(prepare(spark), "landing")
+    landing.write_runs(root, **landing_runs(spark, sf_dir))
+    return root

@@ -495,6 +495,339 @@ select count(*)::bigint as total_runs,
 from manifests"""
 
 
+# ---- landing zone and raw tables ---------------------------------------------------------
+
+QUERIES["S1_scan_events"] = "select * from accepted"
+QUERIES["S2_scan_payloads"] = """
+select source, run_id, retailer_product_id, observed_at, true as has_response from payloads"""
+QUERIES["S3_scan_manifests"] = "select * from manifests"
+
+
+def _folder(kind: str) -> str:
+    return f"""'{kind}/source=' || source || '/year=' || strftime(observed_at, '%Y')
+    || '/month=' || strftime(observed_at, '%m') || '/day=' || strftime(observed_at, '%d')
+    || '/run_id=' || run_id"""
+
+
+QUERIES["S7_written_runs"] = f"""
+select run_id, {_folder('raw_payloads')} as raw_payload_path,
+       {_folder('normalized_events')} as normalized_output_path,
+       {_folder('manifests')} as manifest_path
+from manifests"""
+QUERIES["S8_immutability_guard"] = """
+select source, count(*)::bigint as payloads, true as second_write_refused
+from payloads group by 1"""
+QUERIES["S9_scan_rejects"] = QUERIES["N9_rejected_records"].replace(
+    "run_id as ingestion_run_id", "run_id"
+)
+CTES["line_digests"] = f"""
+select {_SRC} || '-' || strftime(ts, '%Y%m%d') as run_id, sha256(event_type) as digest,
+       count(*) as copies
+from events group by 1, 2"""
+QUERIES["S10_content_digests"] = """
+select run_id, sha256(sha256(string_agg(digest || ':' || copies, chr(10)
+                                        order by digest || ':' || copies))) as digest
+from line_digests group by 1"""
+QUERIES["S11_run_files"] = "select distinct source, run_id from accepted join payloads using (source) " \
+    "where ingestion_run_id = run_id"
+QUERIES["S13_attached_payloads"] = """
+select source, false as without, count(*)::bigint as events from accepted group by 1"""
+QUERIES["S17_insert_only_events"] = """
+select source, timestamp '2024-02-01' as loaded_at, count(distinct event_id)::bigint as stored,
+       count(distinct event_id)::bigint as ids,
+       (select count(*)::bigint from events where event_id % 2 = 0) as first,
+       (select count(*)::bigint from events where event_id % 2 = 1) as second,
+       0::bigint as third
+from raw_events group by 1"""
+QUERIES["S18_insert_only_runs"] = """
+select * replace (timestamp '2024-02-01' as loaded_at) from raw_runs"""
+QUERIES["S19_load_counters"] = """
+select 1::integer as load, (select count(*)::bigint from accepted) as events_loaded,
+       (select count(*)::bigint from manifests) as runs_loaded
+union all select 2, 0, 0"""
+QUERIES["S21_recent_runs"] = """
+select run_id, source, started_at, completed_at, status, payloads_received, events_normalized,
+       events_rejected, pipeline_version
+from raw_runs"""
+QUERIES["I1_incremental_observations"] = "select * from deduplicated"
+QUERIES["L1_streamed_observations"] = """
+select event_id, source, retailer_product_id, cast(price as decimal(12,2))::double as price,
+       inventory_status, quantity_available, observed_at
+from accepted"""
+QUERIES["L2_repeated_delivery"] = """
+select source, count(*)::bigint as stored, count(distinct event_id)::bigint as ids
+from deduplicated group by 1"""
+QUERIES["L3_late_rows_skipped"] = """
+with newest as (select max(observed_at) as t from deduplicated)
+select count(*)::bigint as after_full,
+       count(*) filter (observed_at >= timestamp '2024-01-25')::bigint as stored,
+       (select count(*)::bigint from stg_inventory_events
+        where observed_at < timestamp '2024-01-25') as skipped
+from deduplicated"""
+QUERIES["L4_freshness"] = """
+select source_name as source, max(loaded_at) as newest_load,
+       case when date_diff('second', max(loaded_at), timestamp '2024-02-01') > 72 * 3600
+            then 'error'
+            when date_diff('second', max(loaded_at), timestamp '2024-02-01') > 26 * 3600
+            then 'warn' else 'pass' end as state
+from stg_inventory_events group by 1"""
+
+# ---- checks ------------------------------------------------------------------------------
+
+
+def _count(model: str, column: str, check: str, source: str, bad: str, label: str = "") -> str:
+    return f"""select '{label or model}' as model, '{column}' as column_name, '{check}' as "check",
+       count(*) filter ({bad})::bigint as failures from {source}"""
+
+
+def _unique(model: str, column: str, source: str) -> str:
+    grouped = f"""(select {column} from {source} where {column} is not null
+        group by 1 having count(*) > 1)"""
+    return _count(model, column, "unique", grouped, "true")
+
+
+def _parent(model: str, column: str, source: str, parent: str) -> str:
+    return _count(
+        model, column, "relationships", source,
+        f"{column} is not null and {column} not in (select {column} from {parent} "
+        f"where {column} is not null)",
+    )
+
+
+def _all(parts: list[str]) -> str:
+    return "\nunion all\n".join(parts)
+
+
+QUERIES["Q1_not_null"] = _all(
+    [
+        _count("observations", c, "not_null", "deduplicated", f"{c} is null")
+        for c in ("price", "event_id", "sku")
+    ]
+)
+QUERIES["Q2_unique"] = _all(
+    [_unique("staged", c, "stg_inventory_events") for c in ("event_id", "sku")]
+)
+QUERIES["Q3_accepted_values"] = _all(
+    [
+        _count("staged", "inventory_status", "accepted_values", "stg_inventory_events",
+               "inventory_status not in ('IN_STOCK', 'PREORDER')"),
+        _count("staged", "currency", "accepted_values", "stg_inventory_events",
+               "currency not in ('USD')"),
+    ]
+)
+QUERIES["Q4_relationships"] = _all(
+    [
+        _parent("fact", c, "fact_inventory_observation", "dim_product")
+        for c in ("retailer_product_id", "product_key")
+    ]
+)
+QUERIES["Q5_accepted_range"] = _all(
+    [
+        _count("daily", "availability_pct", "accepted_range", "daily_inventory",
+               "availability_pct < 0 or availability_pct > 100"),
+        _count("daily", "max_price", "accepted_range", "daily_inventory",
+               "max_price < 1 or max_price > 50"),
+        _count("daily", "observation_count", "accepted_range", "daily_inventory",
+               "observation_count <= 1"),
+    ]
+)
+QUERIES["Q6_far_in_future"] = """
+select event_id, observed_at, price::double as price from deduplicated
+where observed_at > timestamp '2024-01-29 02:00:00'"""
+QUERIES["Q7_future_observations"] = """
+select event_id, observed_at from fact_inventory_observation
+where observed_at > timestamp '2024-01-29 02:00:00'"""
+CTES["unreconciled"] = """
+select run_id, events_normalized, coalesce(n, 0)::bigint as fact_event_count
+from stg_ingestion_runs
+left join (select ingestion_run_id, count(*)::bigint as n from fact_inventory_observation
+           group by 1) on ingestion_run_id = run_id
+where events_normalized <> coalesce(n, 0)"""
+QUERIES["Q8_unreconciled_runs"] = "select * from unreconciled"
+
+_TABLES = {
+    "inventory_events": "raw_events",
+    "ingestion_runs": "raw_runs",
+    "seed_products": "product_seed",
+    "seed_retailers": "retailer_seed",
+    "int_inventory_events_deduplicated": "deduplicated",
+    "int_inventory_state_changes": "state_changes",
+    "int_product_price_changes": "price_changes",
+    "int_product_daily_inventory": "daily_inventory",
+    "mart_daily_product_availability": "mart_daily",
+}
+_SUITE_KEYS = """inventory_events.event_id ingestion_runs.run_id stg_inventory_events.event_id
+stg_ingestion_runs.run_id stg_products.product_id stg_retailers.retailer_code
+seed_products.product_id seed_retailers.retailer_code int_inventory_events_deduplicated.event_id
+int_inventory_state_changes.event_id int_product_price_changes.event_id dim_product.product_key
+dim_retailer.retailer_key dim_retailer.source dim_date.date_key
+fact_inventory_observation.event_id fact_inventory_state_change.state_change_event_id
+fact_price_observation.event_id mart_retailer_summary.retailer_key""".split()
+_SUITE_PRESENT = _SUITE_KEYS + """inventory_events.source inventory_events.retailer_product_id
+inventory_events.observed_at inventory_events.ingestion_run_id ingestion_runs.source
+ingestion_runs.status stg_inventory_events.source_name stg_inventory_events.inventory_status
+stg_inventory_events.observed_at stg_ingestion_runs.status stg_products.retailer
+seed_products.retailer int_inventory_events_deduplicated.source
+int_inventory_events_deduplicated.observed_at int_product_daily_inventory.source
+int_product_daily_inventory.retailer_product_id int_product_daily_inventory.observation_date
+dim_product.source dim_product.retailer_product_id mart_daily_product_availability.product_key
+mart_daily_product_availability.observation_date""".split()
+_STATUS_LIST = "'IN_STOCK', 'OUT_OF_STOCK', 'PREORDER', 'BACKORDER', 'UNKNOWN'"
+_SUITE_ROWS = [
+    ("stg_inventory_events", "source_name", "accepted_values",
+     "source_name not in ('TARGET', 'WALMART', 'POKEMON_CENTER', 'GAMESTOP')"),
+    ("stg_inventory_events", "inventory_status", "accepted_values",
+     f"inventory_status not in ({_STATUS_LIST})"),
+    ("stg_inventory_events", "currency", "accepted_values", "currency <> 'USD'"),
+    ("stg_inventory_events", "price", "accepted_range", "price < 0"),
+    ("stg_inventory_events", "quantity_available", "accepted_range", "quantity_available < 0"),
+    ("stg_ingestion_runs", "status", "accepted_values",
+     "status not in ('SUCCESS', 'PARTIAL_FAILURE', 'FAILED', 'UNKNOWN')"),
+    ("int_inventory_events_deduplicated", "observed_at", "not_far_in_future",
+     "observed_at > timestamp '2024-02-01 02:00:00'"),
+    ("int_product_daily_inventory", "availability_pct", "accepted_range",
+     "availability_pct < 0 or availability_pct > 100"),
+    ("fact_inventory_observation", "inventory_status", "accepted_values",
+     f"inventory_status not in ({_STATUS_LIST})"),
+    ("fact_inventory_observation", "price", "accepted_range", "price < 0"),
+    ("mart_daily_product_availability", "availability_pct", "accepted_range",
+     "availability_pct < 0 or availability_pct > 100"),
+    ("mart_retailer_summary", "run_success_rate_pct", "accepted_range",
+     "run_success_rate_pct < 0 or run_success_rate_pct > 100"),
+    ("fact_inventory_observation", "observed_at", "no_future_observations",
+     "observed_at > timestamp '2024-02-01 02:00:00'"),
+]
+
+
+def _suite() -> str:
+    def split(item: str) -> tuple[str, str, str]:
+        model, column = item.split(".")
+        return model, column, _TABLES.get(model, model)
+
+    parts = [
+        _count(m, c, "not_null", t, f"{c} is null") for m, c, t in map(split, _SUITE_PRESENT)
+    ]
+    parts += [_unique(m, c, t) for m, c, t in map(split, _SUITE_KEYS)]
+    parts += [_count(m, c, k, _TABLES.get(m, m), bad) for m, c, k, bad in _SUITE_ROWS]
+    parts += [
+        _parent("fact_inventory_observation", "product_key", "fact_inventory_observation",
+                "dim_product"),
+        _parent("fact_inventory_observation", "retailer_key", "fact_inventory_observation",
+                "dim_retailer"),
+        _parent("fact_inventory_state_change", "product_key", "fact_inventory_state_change",
+                "dim_product"),
+        _parent("fact_price_observation", "product_key", "fact_price_observation",
+                "dim_product"),
+        _count("stg_ingestion_runs", "events_normalized", "event_counts_match", "unreconciled",
+               "true"),
+    ]
+    return _all(parts)
+
+
+QUERIES["Q9_check_suite"] = _suite()
+
+# ---- reports -----------------------------------------------------------------------------
+
+_DAYS = "between date '2024-01-05' and date '2024-01-25'"
+_TIMES = "between timestamp '2024-01-05' and timestamp '2024-01-25'"
+_CHOSEN = "source in ('TARGET', 'GAMESTOP')"
+_ONE = "product_key = (select product_key from dim_product where retailer_product_id = '7')"
+CTES["report_summary"] = """
+select source, retailer_name, integration_mode, total_runs, successful_runs,
+       partial_failure_runs, failed_runs, run_success_rate_pct, total_events_normalized,
+       total_events_rejected, avg_run_duration_seconds, last_observed_at,
+       hours_since_last_observation, avg_availability_pct
+from mart_retailer_summary"""
+
+
+def _availability(where: str) -> str:
+    return f"""
+select product_key, source, product_name, category,
+       sum(cast(availability_pct as decimal(4,1)))::double / nullif(count(availability_pct), 0)
+           as avg_availability_pct,
+       max(observation_date) as last_observation_date,
+       sum(observation_count)::bigint as total_observations
+from mart_daily where observation_date {_DAYS} {where} group by 1, 2, 3, 4"""
+
+
+def _newest(where: str) -> str:
+    return f"""
+select observed_at, f.source, product_name, previous_status, current_status, restocked,
+       went_out_of_stock
+from fact_inventory_state_change f left join dim_product p using (product_key)
+where observed_at {_TIMES} {where}
+order by observed_at desc, state_change_event_id desc limit 500"""
+
+
+def _volume(where: str) -> str:
+    return f"""
+select cast(observed_at as date) as observation_date, source, count(*)::bigint as observations
+from fact_inventory_observation where observed_at {_TIMES} {where} group by 1, 2"""
+
+
+QUERIES["R1_overview_totals"] = f"""
+select sum(total_events_normalized)::bigint as total_observations,
+       sum(total_events_rejected)::bigint as total_rejected,
+       sum(total_runs)::bigint as total_runs, sum(failed_runs)::bigint as total_failed_runs,
+       {share('sum(successful_runs + partial_failure_runs)', 'sum(total_runs)')}
+           as overall_success_rate_pct,
+       max(last_observed_at) as latest_observed_at,
+       avg(avg_availability_pct)::double as avg_availability_pct
+from mart_retailer_summary"""
+QUERIES["R2_retailer_summary"] = "select * from report_summary"
+QUERIES["R3_retailers"] = "select source, retailer_name from dim_retailer"
+QUERIES["R4_products"] = f"""
+select product_key, source, product_name, category from dim_product where {_CHOSEN}"""
+QUERIES["R4_products_all"] = "select product_key, source, product_name, category from dim_product"
+QUERIES["R5_availability_by_product"] = _availability("")
+QUERIES["R6_availability_timeline"] = f"""
+select observation_date, availability_pct, last_status, avg_price from mart_daily
+where {_ONE} and observation_date {_DAYS}"""
+CTES["one_price_history"] = f"""
+select observed_at, current_price::double as current_price,
+       previous_price::double as previous_price, price_changed, pct_change
+from fact_price_observation where {_ONE} and observed_at {_TIMES}"""
+QUERIES["R7_price_history"] = "select * from one_price_history"
+QUERIES["R8_recent_state_changes"] = _newest("and f.source in ('TARGET', 'GAMESTOP')")
+QUERIES["R9_daily_observation_volume"] = _volume("")
+QUERIES["R10_membership_filters"] = _availability(
+    "and source in ('TARGET', 'GAMESTOP', 'WALMART') and product_key in "
+    "(select product_key from dim_product where product_id like '%1')"
+)
+QUERIES["R11_stale_sources"] = """
+select source, hours_since_last_observation from report_summary
+where hours_since_last_observation > 26"""
+QUERIES["R12_transition_totals"] = f"""
+select count(*) filter (restocked)::bigint as restocks,
+       count(*) filter (went_out_of_stock)::bigint as stock_outs
+from ({_newest("")})"""
+QUERIES["R13_price_change_points"] = "select * from one_price_history where price_changed"
+QUERIES["R14_lowest_availability"] = (
+    f"select * from ({_availability('')}) "
+    "order by avg_availability_pct nulls last, product_key nulls first, source limit 20"
+)
+QUERIES["R15_filtered_summary"] = f"select * from report_summary where {_CHOSEN}"
+QUERIES["R15_filtered_volume"] = _volume(f"and {_CHOSEN}")
+QUERIES["X1_outages"] = """
+with moves as (
+  select *, lag(current_status) over (partition by source, retailer_product_id
+                                      order by observed_at, state_change_event_id) as before
+  from fact_inventory_state_change where current_status in ('OUT_OF_STOCK', 'IN_STOCK')),
+starts as (select * from moves
+           where current_status = 'OUT_OF_STOCK' and before is distinct from 'OUT_OF_STOCK'),
+ends as (select * from moves where current_status = 'IN_STOCK')
+select product_key, s.source, s.retailer_product_id, s.observed_at as outage_start,
+       (select min(e.observed_at) from ends e
+        where e.source = s.source and e.retailer_product_id = s.retailer_product_id
+          and e.observed_at > s.observed_at) as outage_end,
+       (date_diff('microsecond', s.observed_at, outage_end) // 1000000)::bigint
+           as outage_seconds
+from starts s"""
+QUERIES["X2_last_restocks"] = """
+select product_key, source, retailer_product_id, max(observed_at) as last_restocked_at
+from fact_inventory_state_change where restocked group by 1, 2, 3"""
+
+
 def compose(body: str) -> str:
     """Prefix ``body`` with the common table expressions it needs, in order."""
     needed: set[str] = set()

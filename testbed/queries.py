@@ -3,17 +3,22 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelflog.functions import event_id, payload_hash, read_utc, utc_text
-from shelflog.operators import normalize, staging
+from shelflog.operators import normalize, quality, staging
 from shelflog.operators.runs import build_manifests, ingestion_summary, run_metrics
-from shelflog.plans import intermediate, marts
+from shelflog.plans import intermediate, load, marts, reports
+from shelflog.plans.warehouse import build_warehouse
+from shelflog.session import materialize, scratch_path
+from shelflog.sources import landing
+from shelflog.streaming.ingest import landed_events_stream, stream_observations
 from testbed import adapter
-from testbed.adapter import AS_OF
+from testbed.adapter import AS_OF, EARLY_AS_OF
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -294,6 +299,341 @@ def metrics(spark, sf_dir):
     return run_metrics(_manifests(spark, sf_dir), Models(spark, sf_dir).stg_products)
 
 
+# ---- landing zone and raw tables ---------------------------------------------------------
+
+
+@query("S1_scan_events")
+def scan_events(spark, sf_dir):
+    return landing.scan_events(spark, adapter.landed(spark, sf_dir)).drop(
+        "source_response_hash", "raw_file_path", "run_id"
+    )
+
+
+@query("S2_scan_payloads")
+def scan_payloads(spark, sf_dir):
+    found = landing.scan_payloads(spark, adapter.landed(spark, sf_dir))
+    return found.select(
+        "source",
+        "run_id",
+        "retailer_product_id",
+        read_utc(F.col("observed_at")).alias("observed_at"),
+        F.col("raw_response").isNotNull().alias("has_response"),
+    )
+
+
+@query("S3_scan_manifests")
+def scan_manifests(spark, sf_dir):
+    found = landing.scan_runs(spark, adapter.landed(spark, sf_dir))
+    return found.drop("raw_payload_path", "normalized_output_path", "manifest_path")
+
+
+@query("S7_written_runs")
+def written_runs(spark, sf_dir):
+    found = landing.scan_runs(spark, adapter.landed(spark, sf_dir))
+    return found.select("run_id", "raw_payload_path", "normalized_output_path", "manifest_path")
+
+
+@query("S8_immutability_guard")
+def immutability_guard(spark, sf_dir):
+    frames = adapter.landing_runs(spark, sf_dir)
+    root = scratch_path(spark, "landing")
+    landing.write_runs(root, **frames)
+    try:
+        landing.write_runs(root, **frames)
+        refused = False
+    except landing.RunExists:
+        refused = True
+    kept = landing.scan_payloads(spark, root).groupBy("source").agg(
+        F.count(F.lit(1)).alias("payloads")
+    )
+    return kept.withColumn("second_write_refused", F.lit(refused))
+
+
+@query("S9_scan_rejects")
+def scan_rejects(spark, sf_dir):
+    found = landing.scan_rejects(spark, adapter.landed(spark, sf_dir))
+    return found.select(
+        "run_id",
+        "source",
+        "reason",
+        "retailer_product_id",
+        read_utc(F.col("occurred_at")).alias("occurred_at"),
+    )
+
+
+@query("S10_content_digests")
+def content_digests(spark, sf_dir):
+    polls = adapter.table(spark, sf_dir, "events")
+    lines = polls.selectExpr(f"{adapter.RUN_ID} as run_id", "event_type as line")
+    return landing.content_digests(lines, "digest")
+
+
+@query("S11_run_files")
+def run_files(spark, sf_dir):
+    root = adapter.landed(spark, sf_dir)
+    return landing.list_files(spark, root, landing.EVENTS).select("source", "run_id").distinct()
+
+
+def _loaded(spark, sf_dir):
+    root, tables = adapter.landed(spark, sf_dir), scratch_path(spark, "raw")
+    return root, f"{tables}/events", f"{tables}/runs"
+
+
+@query("S13_attached_payloads")
+def attached_payloads(spark, sf_dir):
+    root = adapter.landed(spark, sf_dir)
+    joined = landing.attach_payloads(
+        landing.scan_events(spark, root), landing.scan_payloads(spark, root)
+    )
+    return joined.groupBy("source", (F.col("raw_payload") == "null").alias("without")).agg(
+        F.count(F.lit(1)).alias("events")
+    )
+
+
+@query("S17_insert_only_events")
+def insert_only_events(spark, sf_dir):
+    path = scratch_path(spark, "raw-events")
+    batch = adapter.raw_events(spark, sf_dir)
+    first = load.merge_events(batch.where("event_id % 2 = 0"), path, AS_OF)
+    second = load.merge_events(batch, path, AS_OF)
+    third = load.merge_events(batch, path, AS_OF)
+    return (
+        load.read_raw_events(spark, path)
+        .groupBy("source", "loaded_at")
+        .agg(F.count(F.lit(1)).alias("stored"), F.count_distinct("event_id").alias("ids"))
+        .withColumns({"first": F.lit(first), "second": F.lit(second), "third": F.lit(third)})
+    )
+
+
+@query("S18_insert_only_runs")
+def insert_only_runs(spark, sf_dir):
+    path = scratch_path(spark, "raw-runs")
+    batch = adapter.raw_runs(spark, sf_dir)
+    load.merge_runs(batch.where("events_rejected > 0"), path, AS_OF)
+    load.merge_runs(batch, path, AS_OF)
+    return spark.read.parquet(path)
+
+
+@query("S19_load_counters")
+def load_counters(spark, sf_dir):
+    root, events, runs = _loaded(spark, sf_dir)
+    first = load.load_landing(spark, root, events, runs, AS_OF).withColumn("load", F.lit(1))
+    again = load.load_landing(spark, root, events, runs, AS_OF).withColumn("load", F.lit(2))
+    return first.unionByName(again).drop("events_source_files", "runs_source_files")
+
+
+@query("S21_recent_runs")
+def recent_runs(spark, sf_dir):
+    return load.recent_runs(adapter.raw_runs(spark, sf_dir))
+
+
+@query("I1_incremental_observations")
+def incremental_observations(spark, sf_dir):
+    """Two loads that overlap by the lookback give the table of one full build."""
+    staged = Models(spark, sf_dir).stg_events
+    path = scratch_path(spark, "observations")
+    load.refresh_observations(staged.where("observed_at < timestamp_ntz'2024-01-20'"), path)
+    load.refresh_observations(staged, path)
+    load.refresh_observations(staged, path)
+    return spark.read.parquet(path).drop(load.DAY)
+
+
+@query("L1_streamed_observations")
+def streamed_observations(spark, sf_dir):
+    root, table = adapter.landed(spark, sf_dir), scratch_path(spark, "observations")
+    stream_observations(
+        landed_events_stream(spark, root, files_per_batch=100),
+        table,
+        scratch_path(spark, "stream"),
+    ).awaitTermination()
+    return spark.read.parquet(table).select(
+        "event_id", "source", "retailer_product_id", "price", "inventory_status",
+        "quantity_available", "observed_at",
+    )
+
+
+@query("L2_repeated_delivery")
+def repeated_delivery(spark, sf_dir):
+    models = Models(spark, sf_dir)
+    path = scratch_path(spark, "observations")
+    for _ in range(2):
+        load.refresh_observations(models.stg_events, path)
+    return spark.read.parquet(path).groupBy("source").agg(
+        F.count(F.lit(1)).alias("stored"), F.count_distinct("event_id").alias("ids")
+    )
+
+
+@query("L3_late_rows_skipped")
+def late_rows_skipped(spark, sf_dir):
+    """The newest days are stored first; the rest is late and only a full run adds it."""
+    staged = Models(spark, sf_dir).stg_events
+    path = scratch_path(spark, "observations")
+    load.refresh_observations(staged.where("observed_at >= timestamp_ntz'2024-01-25'"), path)
+    load.refresh_observations(staged, path)
+    skipped = load.skipped_late_rows(staged, path)
+    stored = spark.read.parquet(path).count()
+    load.refresh_observations(staged, path, full=True)
+    return spark.read.parquet(path).agg(F.count(F.lit(1)).alias("after_full")).withColumns(
+        {"stored": F.lit(stored), "skipped": F.lit(skipped)}
+    )
+
+
+@query("L4_freshness")
+def freshness(spark, sf_dir):
+    return quality.freshness(adapter.raw_events(spark, sf_dir), AS_OF)
+
+
+# ---- checks ------------------------------------------------------------------------------
+
+
+def _check_query(name: str, *checks: quality.Check, models: dict[str, str]) -> None:
+    def run(spark, sf_dir):
+        ready = Models(spark, sf_dir)
+        return quality.run_checks(
+            {model: getattr(ready, attribute) for model, attribute in models.items()},
+            list(checks),
+            EARLY_AS_OF,
+        )
+
+    REGISTRY[name] = run
+
+
+_Check = quality.Check
+_check_query(
+    "Q1_not_null",
+    _Check("observations", "price", "not_null"),
+    _Check("observations", "event_id", "not_null"),
+    _Check("observations", "sku", "not_null"),
+    models={"observations": "observations"},
+)
+_check_query(
+    "Q2_unique",
+    _Check("staged", "event_id", "unique"),
+    _Check("staged", "sku", "unique"),
+    models={"staged": "stg_events"},
+)
+_check_query(
+    "Q3_accepted_values",
+    _Check("staged", "inventory_status", "accepted_values", ("IN_STOCK", "PREORDER")),
+    _Check("staged", "currency", "accepted_values", ("USD",)),
+    models={"staged": "stg_events"},
+)
+_check_query(
+    "Q4_relationships",
+    _Check("fact", "retailer_product_id", "relationships", parent="product",
+           parent_column="retailer_product_id"),
+    _Check("fact", "product_key", "relationships", parent="product",
+           parent_column="product_key"),
+    models={"fact": "fact_observation", "product": "dim_product"},
+)
+_check_query(
+    "Q5_accepted_range",
+    _Check("daily", "availability_pct", "accepted_range", minimum=0, maximum=100),
+    _Check("daily", "max_price", "accepted_range", minimum=1, maximum=50),
+    _Check("daily", "observation_count", "accepted_range", minimum=1, inclusive=False),
+    models={"daily": "daily"},
+)
+
+
+@query("Q6_far_in_future")
+def far_in_future(spark, sf_dir):
+    rows = quality.far_in_future(Models(spark, sf_dir).observations, "observed_at", EARLY_AS_OF)
+    return rows.select("event_id", "observed_at", "price")
+
+
+@query("Q7_future_observations")
+def future_observations(spark, sf_dir):
+    return quality.future_observations(Models(spark, sf_dir).fact_observation, EARLY_AS_OF)
+
+
+@query("Q8_unreconciled_runs")
+def unreconciled_runs(spark, sf_dir):
+    models = Models(spark, sf_dir)
+    return quality.unreconciled_runs(models.stg_runs, models.fact_observation)
+
+
+@query("Q9_check_suite")
+def check_suite(spark, sf_dir):
+    """All declared checks over a freshly built warehouse."""
+    models = build_warehouse(
+        spark,
+        scratch_path(spark, "warehouse"),
+        materialize(adapter.raw_events(spark, sf_dir), "raw-events"),
+        materialize(adapter.raw_runs(spark, sf_dir), "raw-runs"),
+        materialize(adapter.product_seed(spark, sf_dir), "products"),
+        adapter.retailer_seed(spark),
+        AS_OF,
+    )
+    return quality.run_checks(models, quality.SUITE, AS_OF)
+
+
+# ---- reports -----------------------------------------------------------------------------
+
+START, END = date(2024, 1, 5), date(2024, 1, 25)
+CHOSEN = ["TARGET", "GAMESTOP"]
+
+
+def _busiest(models: Models) -> str:
+    """A product key present at every scale."""
+    return models.dim_product.where("retailer_product_id = '7'").first()["product_key"]
+
+
+def _report(name: str, build: Callable[[Models], DataFrame]) -> None:
+    REGISTRY[name] = lambda spark, sf_dir: build(Models(spark, sf_dir))
+
+
+def _by_product(m: Models) -> DataFrame:
+    chosen = [row[0] for row in m.dim_product.where("product_id like '%1'").select("product_key").collect()]
+    return reports.availability_by_product(m.mart_daily, START, END, CHOSEN + ["WALMART"], chosen)
+
+
+def _recent(m: Models, chosen: list[str] | None = None) -> DataFrame:
+    return reports.recent_state_changes(m.fact_state_change, m.dim_product, START, END, chosen)
+
+
+_report("R1_overview_totals", lambda m: reports.overview_totals(m.mart_retailer))
+_report("R2_retailer_summary", lambda m: reports.retailer_summary(m.mart_retailer))
+_report("R3_retailers", lambda m: reports.retailers(m.dim_retailer))
+_report("R4_products", lambda m: reports.products(m.dim_product, CHOSEN))
+_report("R4_products_all", lambda m: reports.products(m.dim_product))
+_report(
+    "R5_availability_by_product",
+    lambda m: reports.availability_by_product(m.mart_daily, START, END),
+)
+_report(
+    "R6_availability_timeline",
+    lambda m: reports.availability_timeline(m.mart_daily, _busiest(m), START, END),
+)
+_report("R7_price_history", lambda m: reports.price_history(m.fact_price, _busiest(m), START, END))
+_report("R8_recent_state_changes", lambda m: _recent(m, CHOSEN))
+_report(
+    "R9_daily_observation_volume",
+    lambda m: reports.daily_observation_volume(m.fact_observation, START, END),
+)
+_report("R10_membership_filters", _by_product)
+_report("R11_stale_sources", lambda m: reports.stale_sources(m.mart_retailer))
+_report("R12_transition_totals", lambda m: reports.transition_totals(_recent(m)))
+_report(
+    "R13_price_change_points",
+    lambda m: reports.price_change_points(
+        reports.price_history(m.fact_price, _busiest(m), START, END)
+    ),
+)
+_report(
+    "R14_lowest_availability",
+    lambda m: reports.lowest_availability(
+        reports.availability_by_product(m.mart_daily, START, END)
+    ),
+)
+_report("R15_filtered_summary", lambda m: reports.retailer_summary(m.mart_retailer, CHOSEN))
+_report(
+    "R15_filtered_volume",
+    lambda m: reports.daily_observation_volume(m.fact_observation, START, END, CHOSEN),
+)
+_report("X1_outages", lambda m: reports.outages(m.fact_state_change))
+_report("X2_last_restocks", lambda m: reports.last_restocks(m.fact_state_change))
+
+
 def prices_as_double(df: DataFrame) -> DataFrame:
     """Prices leave as doubles, so that no client compares decimals with floats."""
     return df.select(
