@@ -5,7 +5,7 @@ from __future__ import annotations
 from datetime import datetime, timedelta
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -27,19 +27,17 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFram
         return spark.createDataFrame([], schema)
 
 
-def _count_while_writing(df: DataFrame, write) -> int:
-    seen = Observation()
-    write(df.observe(seen, F.count(F.lit(1)).alias("rows")))
-    return seen.get.get("rows", 0)
-
-
 def _with_day(df: DataFrame, day: str | None, moment: str) -> DataFrame:
     return df if day is None else df.withColumn(day, F.col(moment).cast("date"))
 
 
-def _same_days(target: DataFrame, batch: DataFrame, day: str) -> DataFrame:
-    """Target rows in the days of the batch; a literal filter, so other folders are skipped."""
-    days = [row[0] for row in batch.select(day).distinct().limit(MAX_LISTED_DAYS + 1).collect()]
+def _days_of(batch: DataFrame, day: str) -> list:
+    """Distinct days, one more than MAX_LISTED_DAYS at most."""
+    return [row[0] for row in batch.select(day).distinct().limit(MAX_LISTED_DAYS + 1).collect()]
+
+
+def _only_days(target: DataFrame, days: list, day: str) -> DataFrame:
+    """Target rows of ``days``; a literal filter, so other folders are skipped."""
     if len(days) > MAX_LISTED_DAYS:
         return target
     listed = F.col(day).isin([d for d in days if d is not None])
@@ -74,20 +72,24 @@ def insert_new(
     stored = T.StructType(schema.fields + ([T.StructField(day, T.DateType())] if day else []))
     target = read_table(spark, path, stored)
     if day and key_fixes_day:
-        target = _same_days(target, _with_day(batch.select(moment), day, moment), day)
+        days = _days_of(_with_day(batch.select(moment), day, moment), day)
+        target = _only_days(target, days, day)
     # Distinct before the join: copies in the table cannot pile up in one task.
     known = target.where(F.col(key).isNotNull()).select(key).distinct()
     stamp = F.lit(loaded_at.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp_ntz")
     new = rows.join(known, key, "left_anti").withColumn("loaded_at", stamp)
     ordered = new.select(*schema.names, *([day] if day else []))
 
-    def write(df: DataFrame) -> None:
-        if day:
-            df.hint("rebalance", day).write.partitionBy(day).mode("append").parquet(path)
-        else:
-            df.write.mode("append").parquet(path)
-
-    return _count_while_writing(ordered, write)
+    # Counting rows reads file footers only; the difference is what this call added.
+    before = target.count()
+    if day:
+        ordered.hint("rebalance", day).write.partitionBy(day).mode("append").parquet(path)
+    else:
+        ordered.write.mode("append").parquet(path)
+    after = read_table(spark, path, stored)
+    if day and key_fixes_day:
+        after = _only_days(after, days, day)
+    return after.count() - before
 
 
 def since_lookback(
@@ -145,7 +147,7 @@ def upsert(
         # A replaced row may sit in another day than its successor.
         moved = target.select(key, day).join(fresh.select(key), key, "left_semi").select(day)
         touched = touched.union(moved)
-    kept = _same_days(target, touched, day).join(fresh.select(key), key, "left_anti")
+    kept = _only_days(target, _days_of(touched, day), day).join(fresh.select(key), key, "left_anti")
     result = materialize(kept.unionByName(fresh), "upsert-result")
     (
         result.hint("rebalance", day)

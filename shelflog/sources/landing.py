@@ -78,7 +78,8 @@ def _times_as_text(df: DataFrame) -> DataFrame:
     )
 
 
-def _append(df: DataFrame, root: str, kind: str) -> None:
+def append_files(df: DataFrame, root: str, kind: str) -> None:
+    """Append rows of one kind; ``df`` carries the directory columns."""
     columns = [c for c in SCHEMAS[kind].names if c in df.columns and c not in LEVELS]
     # Rebalancing gathers small runs into few files and splits a run too large for one task.
     _times_as_text(df.select(*columns, *LEVELS)).hint("rebalance", *LEVELS).write.partitionBy(
@@ -154,20 +155,21 @@ def write_runs(
     a manifest is complete.
     """
     refuse_existing_runs(payloads, root)
-    _append(payloads, root, PAYLOADS)
-    _append(events, root, EVENTS)
+    append_files(payloads, root, PAYLOADS)
+    append_files(events, root, EVENTS)
     # No folder and no file appears for runs without rejects.
-    _append(rejects, root, REJECTS)
-    _append(
-        manifests.withColumns(
-            {
-                "raw_payload_path": _run_folder(PAYLOADS),
-                "normalized_output_path": _run_folder(EVENTS),
-                "manifest_path": _run_folder(MANIFESTS),
-            }
-        ),
-        root,
-        MANIFESTS,
+    append_files(rejects, root, REJECTS)
+    append_files(with_paths(manifests), root, MANIFESTS)
+
+
+def with_paths(manifests: DataFrame) -> DataFrame:
+    """Where the parts of each run lie, below the root."""
+    return manifests.withColumns(
+        {
+            "raw_payload_path": _run_folder(PAYLOADS),
+            "normalized_output_path": _run_folder(EVENTS),
+            "manifest_path": _run_folder(MANIFESTS),
+        }
     )
 
 

@@ -244,32 +244,59 @@ def runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def landing_runs(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """Everything one ingestion writes: payloads, events, rejects, manifests."""
-    responses = payloads(spark, sf_dir)
-    examined = materialize(
-        normalize.examine(responses, catalog(spark, sf_dir)), "examined"
+def examined(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Read payloads, written once: events, rejects and manifests all come from them."""
+    read = normalize.examine(payloads(spark, sf_dir), catalog(spark, sf_dir))
+    return materialize(read, "examined")
+
+
+def landed_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return landing.with_levels(payloads(spark, sf_dir), F.col("ts"), "run_id")
+
+
+def landed_events(read: DataFrame) -> DataFrame:
+    good = normalize.accepted(read)
+    return landing.with_levels(good, F.col("observed_at"), "ingestion_run_id")
+
+
+def landed_rejects(read: DataFrame) -> DataFrame:
+    return landing.with_levels(
+        normalize.rejected(read), F.col("occurred_at"), "ingestion_run_id"
     )
-    frames = {
-        "payloads": landing.with_levels(responses, F.col("ts"), "run_id"),
-        "events": landing.with_levels(
-            normalize.accepted(examined), F.col("observed_at"), "ingestion_run_id"
-        ),
-        "rejects": landing.with_levels(
-            normalize.rejected(examined), F.col("occurred_at"), "ingestion_run_id"
-        ),
-        "manifests": landing.with_levels(
-            build_manifests(runs(spark, sf_dir), examined), F.col("observed_at"), "run_id"
+
+
+def landed_manifests(spark: SparkSession, sf_dir: str, read: DataFrame) -> DataFrame:
+    books = build_manifests(runs(spark, sf_dir), read)
+    return landing.with_levels(books, F.col("observed_at"), "run_id")
+
+
+def whole_runs(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """Everything one ingestion writes."""
+    read = examined(spark, sf_dir)
+    responses, events = landed_payloads(spark, sf_dir), landed_events(read)
+    return {
+        "payloads": responses,
+        "events": events,
+        "rejects": landed_rejects(read),
+        "manifests": landing.with_content_hashes(
+            landed_manifests(spark, sf_dir, read), responses, events
         ),
     }
-    frames["manifests"] = landing.with_content_hashes(
-        frames["manifests"], frames["payloads"], frames["events"]
-    )
-    return frames
 
 
-def landed(spark: SparkSession, sf_dir: str) -> str:
-    """Write the runs into a new landing zone and return its root."""
+def landed(spark: SparkSession, sf_dir: str, *kinds: str) -> str:
+    """A new landing zone holding the given kinds of files, all if none is given."""
     root = scratch_path(prepare(spark), "landing")
-    landing.write_runs(root, **landing_runs(spark, sf_dir))
+    if not kinds:
+        landing.write_runs(root, **whole_runs(spark, sf_dir))
+        return root
+    read = examined(spark, sf_dir) if set(kinds) != {landing.PAYLOADS} else None
+    build = {
+        landing.PAYLOADS: lambda: landed_payloads(spark, sf_dir),
+        landing.EVENTS: lambda: landed_events(read),
+        landing.REJECTS: lambda: landed_rejects(read),
+        landing.MANIFESTS: lambda: landing.with_paths(landed_manifests(spark, sf_dir, read)),
+    }
+    for kind in kinds:
+        landing.append_files(build[kind](), root, kind)
     return root

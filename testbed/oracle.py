@@ -558,7 +558,6 @@ QUERIES["L2_repeated_delivery"] = """
 select source, count(*)::bigint as stored, count(distinct event_id)::bigint as ids
 from deduplicated group by 1"""
 QUERIES["L3_late_rows_skipped"] = """
-with newest as (select max(observed_at) as t from deduplicated)
 select count(*)::bigint as after_full,
        count(*) filter (observed_at >= timestamp '2024-01-25')::bigint as stored,
        (select count(*)::bigint from stg_inventory_events
@@ -808,21 +807,23 @@ QUERIES["R14_lowest_availability"] = (
 )
 QUERIES["R15_filtered_summary"] = f"select * from report_summary where {_CHOSEN}"
 QUERIES["R15_filtered_volume"] = _volume(f"and {_CHOSEN}")
+CTES["moves"] = """
+select *, lag(current_status) over (partition by source, retailer_product_id
+                                    order by observed_at, state_change_event_id) as before
+from fact_inventory_state_change where current_status in ('OUT_OF_STOCK', 'IN_STOCK')"""
+CTES["starts"] = """
+select * from moves
+where current_status = 'OUT_OF_STOCK' and before is distinct from 'OUT_OF_STOCK'"""
 QUERIES["X1_outages"] = """
-with moves as (
-  select *, lag(current_status) over (partition by source, retailer_product_id
-                                      order by observed_at, state_change_event_id) as before
-  from fact_inventory_state_change where current_status in ('OUT_OF_STOCK', 'IN_STOCK')),
-starts as (select * from moves
-           where current_status = 'OUT_OF_STOCK' and before is distinct from 'OUT_OF_STOCK'),
-ends as (select * from moves where current_status = 'IN_STOCK')
-select product_key, s.source, s.retailer_product_id, s.observed_at as outage_start,
-       (select min(e.observed_at) from ends e
-        where e.source = s.source and e.retailer_product_id = s.retailer_product_id
-          and e.observed_at > s.observed_at) as outage_end,
-       (date_diff('microsecond', s.observed_at, outage_end) // 1000000)::bigint
+select product_key, source, retailer_product_id, outage_start, outage_end,
+       (date_diff('microsecond', outage_start, outage_end) // 1000000)::bigint
            as outage_seconds
-from starts s"""
+from (select s.product_key, s.source, s.retailer_product_id, s.observed_at as outage_start,
+             min(e.observed_at) as outage_end
+      from starts s left join moves e
+        on e.source = s.source and e.retailer_product_id = s.retailer_product_id
+       and e.current_status = 'IN_STOCK' and e.observed_at > s.observed_at
+      group by 1, 2, 3, 4)"""
 QUERIES["X2_last_restocks"] = """
 select product_key, source, retailer_product_id, max(observed_at) as last_restocked_at
 from fact_inventory_state_change where restocked group by 1, 2, 3"""
@@ -846,6 +847,7 @@ def compose(body: str) -> str:
 # Prices leave both engines as doubles; inside they are decimal(12,2).
 PRICES = {
     "T1_stg_inventory_events": ["price"],
+    "I1_incremental_observations": ["price"],
     "I2_deduplicated_observations": ["price"],
     "I8_price_changes": ["previous_price", "current_price"],
     "I8_price_changes_lineitem": ["previous_price", "current_price"],

@@ -304,14 +304,14 @@ def metrics(spark, sf_dir):
 
 @query("S1_scan_events")
 def scan_events(spark, sf_dir):
-    return landing.scan_events(spark, adapter.landed(spark, sf_dir)).drop(
+    return landing.scan_events(spark, adapter.landed(spark, sf_dir, landing.EVENTS)).drop(
         "source_response_hash", "raw_file_path", "run_id"
     )
 
 
 @query("S2_scan_payloads")
 def scan_payloads(spark, sf_dir):
-    found = landing.scan_payloads(spark, adapter.landed(spark, sf_dir))
+    found = landing.scan_payloads(spark, adapter.landed(spark, sf_dir, landing.PAYLOADS))
     return found.select(
         "source",
         "run_id",
@@ -323,19 +323,19 @@ def scan_payloads(spark, sf_dir):
 
 @query("S3_scan_manifests")
 def scan_manifests(spark, sf_dir):
-    found = landing.scan_runs(spark, adapter.landed(spark, sf_dir))
+    found = landing.scan_runs(spark, adapter.landed(spark, sf_dir, landing.MANIFESTS))
     return found.drop("raw_payload_path", "normalized_output_path", "manifest_path")
 
 
 @query("S7_written_runs")
 def written_runs(spark, sf_dir):
-    found = landing.scan_runs(spark, adapter.landed(spark, sf_dir))
+    found = landing.scan_runs(spark, adapter.landed(spark, sf_dir, landing.MANIFESTS))
     return found.select("run_id", "raw_payload_path", "normalized_output_path", "manifest_path")
 
 
 @query("S8_immutability_guard")
 def immutability_guard(spark, sf_dir):
-    frames = adapter.landing_runs(spark, sf_dir)
+    frames = adapter.whole_runs(spark, sf_dir)
     root = scratch_path(spark, "landing")
     landing.write_runs(root, **frames)
     try:
@@ -351,7 +351,7 @@ def immutability_guard(spark, sf_dir):
 
 @query("S9_scan_rejects")
 def scan_rejects(spark, sf_dir):
-    found = landing.scan_rejects(spark, adapter.landed(spark, sf_dir))
+    found = landing.scan_rejects(spark, adapter.landed(spark, sf_dir, landing.REJECTS))
     return found.select(
         "run_id",
         "source",
@@ -370,7 +370,7 @@ def content_digests(spark, sf_dir):
 
 @query("S11_run_files")
 def run_files(spark, sf_dir):
-    root = adapter.landed(spark, sf_dir)
+    root = adapter.landed(spark, sf_dir, landing.EVENTS)
     return landing.list_files(spark, root, landing.EVENTS).select("source", "run_id").distinct()
 
 
@@ -381,7 +381,7 @@ def _loaded(spark, sf_dir):
 
 @query("S13_attached_payloads")
 def attached_payloads(spark, sf_dir):
-    root = adapter.landed(spark, sf_dir)
+    root = adapter.landed(spark, sf_dir, landing.PAYLOADS, landing.EVENTS)
     joined = landing.attach_payloads(
         landing.scan_events(spark, root), landing.scan_payloads(spark, root)
     )
@@ -401,7 +401,11 @@ def insert_only_events(spark, sf_dir):
         load.read_raw_events(spark, path)
         .groupBy("source", "loaded_at")
         .agg(F.count(F.lit(1)).alias("stored"), F.count_distinct("event_id").alias("ids"))
-        .withColumns({"first": F.lit(first), "second": F.lit(second), "third": F.lit(third)})
+        .withColumns({
+                "first": F.lit(first).cast("bigint"),
+                "second": F.lit(second).cast("bigint"),
+                "third": F.lit(third).cast("bigint"),
+            })
     )
 
 
@@ -440,7 +444,7 @@ def incremental_observations(spark, sf_dir):
 
 @query("L1_streamed_observations")
 def streamed_observations(spark, sf_dir):
-    root, table = adapter.landed(spark, sf_dir), scratch_path(spark, "observations")
+    root, table = adapter.landed(spark, sf_dir, landing.EVENTS), scratch_path(spark, "observations")
     stream_observations(
         landed_events_stream(spark, root, files_per_batch=100),
         table,
@@ -474,7 +478,7 @@ def late_rows_skipped(spark, sf_dir):
     stored = spark.read.parquet(path).count()
     load.refresh_observations(staged, path, full=True)
     return spark.read.parquet(path).agg(F.count(F.lit(1)).alias("after_full")).withColumns(
-        {"stored": F.lit(stored), "skipped": F.lit(skipped)}
+        {"stored": F.lit(stored).cast("bigint"), "skipped": F.lit(skipped).cast("bigint")}
     )
 
 
