@@ -17,14 +17,19 @@ MAX_LISTED_DAYS = 4000
 LOOKBACK_HOURS = 48
 
 
-def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """The table, or an empty one while nothing has been written to ``path``."""
+def table_or_none(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame | None:
+    """The table in the given columns, None while nothing has been written to ``path``."""
     try:
         return spark.read.schema(schema).parquet(path)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], schema)
+        return None
+
+
+def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    table = table_or_none(spark, path, schema)
+    return spark.createDataFrame([], schema) if table is None else table
 
 
 def _with_day(df: DataFrame, day: str | None, moment: str) -> DataFrame:
@@ -107,16 +112,6 @@ def since_lookback(
     return staged.where(F.col("observed_at") > F.lit(start).cast("timestamp_ntz"))
 
 
-def conform_to(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Old rows in the new column set: added columns are null, removed ones dropped."""
-    return df.select(
-        *[
-            F.col(f.name).cast(f.dataType) if f.name in df.columns else F.lit(None).cast(f.dataType).alias(f.name)
-            for f in schema
-        ]
-    )
-
-
 def upsert(
     rows: DataFrame,
     path: str,
@@ -134,14 +129,11 @@ def upsert(
     """
     spark = rows.sparkSession
     fresh = materialize(_with_day(rows, day, moment), "upsert-rows")
-    try:
-        target = spark.read.option("mergeSchema", True).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
+    # Read in the new column set: added columns are null in old rows, removed ones dropped.
+    target = table_or_none(spark, path, fresh.schema)
+    if target is None:
         fresh.hint("rebalance", day).write.partitionBy(day).parquet(path)
         return
-    target = conform_to(target, fresh.schema)
     touched = fresh.select(day)
     if not key_fixes_day:
         # A replaced row may sit in another day than its successor.

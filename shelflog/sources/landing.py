@@ -239,7 +239,13 @@ def with_content_hashes(manifests: DataFrame, payloads: DataFrame, events: DataF
 # ---- reading ---------------------------------------------------------------------------
 
 
-def _scan(spark: SparkSession, root: str, kind: str, combined: bool) -> DataFrame:
+def _scan(
+    spark: SparkSession,
+    root: str,
+    kind: str,
+    combined: bool,
+    extra: dict[str, Column] | None = None,
+) -> DataFrame:
     body = [f for f in SCHEMAS[kind] if f.name not in LEVELS]
     schema = T.StructType(body + PARTITIONS.fields)
     path = root if combined else f"{root}/{kind}"
@@ -250,16 +256,23 @@ def _scan(spark: SparkSession, root: str, kind: str, combined: bool) -> DataFram
             # One indented document per file.
             reader = reader.option("multiLine", True)
     try:
-        return reader.json(path)
+        return reader.json(path).withColumns(extra or {})
     except AnalysisException as error:
         # The folder of a kind nothing was ever written to does not exist.
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], schema)
+        nothing = spark.createDataFrame([], schema)
+        return nothing.withColumns({name: F.lit(None) for name in extra or {}})
 
 
 def scan_payloads(spark: SparkSession, root: str, combined: bool = False) -> DataFrame:
-    return _scan(spark, root, PAYLOADS, combined)
+    """Landed payloads; ``position`` orders the lines of one file."""
+    position = F.struct(
+        F.col("_metadata.file_path"),
+        F.col("_metadata.file_block_start"),
+        F.monotonically_increasing_id().alias("line"),
+    )
+    return _scan(spark, root, PAYLOADS, combined, {"position": position})
 
 
 def scan_rejects(spark: SparkSession, root: str, combined: bool = False) -> DataFrame:
@@ -314,17 +327,12 @@ def attach_payloads(events: DataFrame, payloads: DataFrame) -> DataFrame:
     If a run holds several payloads of a product, the one furthest down its file counts.
     They are reduced to one before the join, map-side first.
     """
-    position = F.struct(
-        F.col("_metadata.file_path"),
-        F.col("_metadata.file_block_start"),
-        F.monotonically_increasing_id(),
-    )
     last = (
         payloads.select(
             "run_id",
             "retailer_product_id",
             F.to_json("raw_response").alias("payload"),
-            position.alias("position"),
+            "position",
         )
         .groupBy("run_id", "retailer_product_id")
         .agg(F.max_by("payload", "position").alias("raw_payload"))
