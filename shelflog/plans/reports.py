@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from shelflog.functions import day_of
 from shelflog.operators.series import HOT_ROWS, with_neighbour
 from shelflog.plans.intermediate import share_pct
+from shelflog.session import materialize
 
 STALE_AFTER_HOURS = 26
 STATE_CHANGE_LIMIT = 500
@@ -213,11 +214,16 @@ def outages(fact_state_change: DataFrame, *, hot_rows: int = HOT_ROWS) -> DataFr
         moves, keys, "observed_at", "state_change_event_id",
         {"before": "current_status"}, hot_rows=hot_rows,
     )
-    # What is left alternates between starts and ends.
-    turns = marked.where(
-        F.when(status == "OUT_OF_STOCK", F.coalesce(F.col("before") == "IN_STOCK", F.lit(True)))
-        .otherwise(F.col("before") == "OUT_OF_STOCK")
-    ).drop("before")
+    # What is left alternates between starts and ends. It is written once, as the second
+    # lookup scans it several times.
+    turns = materialize(
+        marked.where(
+            F.when(
+                status == "OUT_OF_STOCK", F.coalesce(F.col("before") == "IN_STOCK", F.lit(True))
+            ).otherwise(F.col("before") == "OUT_OF_STOCK")
+        ).drop("before"),
+        "outage-turns",
+    )
     closed = with_neighbour(
         turns, keys, "observed_at", "state_change_event_id",
         {"outage_end": "observed_at"}, following=True, hot_rows=hot_rows,

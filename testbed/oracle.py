@@ -791,7 +791,8 @@ QUERIES["R8_recent_state_changes"] = _newest("and f.source in ('TARGET', 'GAMEST
 QUERIES["R9_daily_observation_volume"] = _volume("")
 QUERIES["R10_membership_filters"] = _availability(
     "and source in ('TARGET', 'GAMESTOP', 'WALMART') and product_key in "
-    "(select product_key from dim_product where product_id like '%1')"
+    "(select product_key from dim_product where retailer_product_id in "
+    "('3', '4', '5', '7', '8', '9', '12'))"
 )
 QUERIES["R11_stale_sources"] = """
 select source, hours_since_last_observation from report_summary
@@ -829,6 +830,41 @@ select product_key, source, retailer_product_id, max(observed_at) as last_restoc
 from fact_inventory_state_change where restocked group by 1, 2, 3"""
 
 
+# ---- single rules of the models ------------------------------------------------------------
+
+
+def _count_by(model: str, *columns: str) -> str:
+    names = ", ".join(columns)
+    return f"select {names}, count(*)::bigint as rows from {model} group by {names}"
+
+
+_DAY_KEYS = "source, retailer_product_id, observation_date"
+QUERIES["T2_source_codes"] = _count_by("stg_inventory_events", "source_name")
+QUERIES["T3_price_cast"] = """
+select event_id, loaded_at, price::double as price from stg_inventory_events"""
+QUERIES["T4_blank_defaults"] = _count_by("stg_inventory_events", "currency", "location_type")
+QUERIES["T5_status_whitelist"] = _count_by("stg_inventory_events", "inventory_status")
+QUERIES["T7_run_duration"] = "select run_id, duration_seconds from stg_ingestion_runs"
+QUERIES["T8_run_status_whitelist"] = _count_by("stg_ingestion_runs", "status")
+QUERIES["I4_status_changed"] = _count_by("state_changes", "source", "status_changed")
+QUERIES["I5_restocked"] = _count_by("state_changes", "source", "restocked")
+QUERIES["I6_went_out_of_stock"] = _count_by("state_changes", "source", "went_out_of_stock")
+QUERIES["I7_hours_since_previous"] = """
+select event_id, hours_since_previous_observation from state_changes"""
+QUERIES["I9_price_changed"] = _count_by("price_changes", "source", "price_changed")
+QUERIES["I10_pct_change"] = "select event_id, pct_change from price_changes"
+QUERIES["I12_last_status"] = f"select {_DAY_KEYS}, last_status from daily_inventory"
+QUERIES["I13_rollup_with_last_status"] = f"""
+select {_DAY_KEYS}, observation_count, last_status from daily_inventory"""
+QUERIES["I14_availability_pct"] = f"select {_DAY_KEYS}, availability_pct from daily_inventory"
+QUERIES["S5_product_seed"] = """
+select * replace (trim(retailer) as retailer) from product_seed"""
+QUERIES["S4_catalog_file"] = """
+select product_id as id, retailer, retailer_product_id, product_name as name,
+       product_url as url, category, store_id
+from product_seed"""
+
+
 def compose(body: str) -> str:
     """Prefix ``body`` with the common table expressions it needs, in order."""
     needed: set[str] = set()

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -15,7 +15,7 @@ from shelflog.operators.runs import build_manifests, ingestion_summary, run_metr
 from shelflog.plans import intermediate, load, marts, reports
 from shelflog.plans.warehouse import build_warehouse
 from shelflog.session import materialize, scratch_path
-from shelflog.sources import landing
+from shelflog.sources import landing, seeds
 from shelflog.streaming.ingest import landed_events_stream, stream_observations
 from testbed import adapter
 from testbed.adapter import AS_OF, EARLY_AS_OF
@@ -58,13 +58,18 @@ class Models:
     def observations(self) -> DataFrame:
         return intermediate.deduplicated(self.stg_events)
 
+    def stored_observations(self, measure: str) -> DataFrame:
+        """Observations as a table, as in the warehouse: a series lookup scans them thrice."""
+        columns = ["event_id", *intermediate.SERIES, "observed_at", measure]
+        return materialize(self.observations.select(*columns), "observations")
+
     @property
     def state_changes(self) -> DataFrame:
-        return intermediate.state_changes(self.observations)
+        return intermediate.state_changes(self.stored_observations("inventory_status"))
 
     @property
     def price_changes(self) -> DataFrame:
-        return intermediate.price_changes(self.observations)
+        return intermediate.price_changes(self.stored_observations("price"))
 
     @property
     def daily(self) -> DataFrame:
@@ -575,6 +580,8 @@ def check_suite(spark, sf_dir):
 
 START, END = date(2024, 1, 5), date(2024, 1, 25)
 CHOSEN = ["TARGET", "GAMESTOP"]
+# What a reader of the report ticked; the list length is theirs, not the data's.
+CHOSEN_PRODUCTS = ["3", "4", "5", "7", "8", "9", "12"]
 
 
 def _busiest(models: Models) -> str:
@@ -587,7 +594,8 @@ def _report(name: str, build: Callable[[Models], DataFrame]) -> None:
 
 
 def _by_product(m: Models) -> DataFrame:
-    chosen = [row[0] for row in m.dim_product.where("product_id like '%1'").select("product_key").collect()]
+    wanted = m.dim_product.where(F.col("retailer_product_id").isin(CHOSEN_PRODUCTS))
+    chosen = [row["product_key"] for row in wanted.collect()]
     return reports.availability_by_product(m.mart_daily, START, END, CHOSEN + ["WALMART"], chosen)
 
 
@@ -634,10 +642,90 @@ _report(
     "R15_filtered_volume",
     lambda m: reports.daily_observation_volume(m.fact_observation, START, END, CHOSEN),
 )
-_report("X1_outages", lambda m: reports.outages(m.fact_state_change))
+_report(
+    "X1_outages",
+    lambda m: reports.outages(materialize(m.fact_state_change, "state-changes")),
+)
 _report("X2_last_restocks", lambda m: reports.last_restocks(m.fact_state_change))
 
 
+# ---- single rules of the models ------------------------------------------------------------
+
+
+def _count_by(attribute: str, *columns: str) -> Query:
+    def run(spark, sf_dir):
+        model = getattr(Models(spark, sf_dir), attribute)
+        return model.groupBy(*columns).agg(F.count(F.lit(1)).alias("rows"))
+
+    return run
+
+
+def _columns_of(attribute: str, *columns: str) -> Query:
+    return lambda spark, sf_dir: getattr(Models(spark, sf_dir), attribute).select(*columns)
+
+
+REGISTRY["T2_source_codes"] = _count_by("stg_events", "source_name")
+REGISTRY["T3_price_cast"] = _columns_of("stg_events", "event_id", "loaded_at", "price")
+REGISTRY["T4_blank_defaults"] = _count_by("stg_events", "currency", "location_type")
+REGISTRY["T5_status_whitelist"] = _count_by("stg_events", "inventory_status")
+REGISTRY["T7_run_duration"] = _columns_of("stg_runs", "run_id", "duration_seconds")
+REGISTRY["T8_run_status_whitelist"] = _count_by("stg_runs", "status")
+REGISTRY["I4_status_changed"] = _count_by("state_changes", "source", "status_changed")
+REGISTRY["I5_restocked"] = _count_by("state_changes", "source", "restocked")
+REGISTRY["I6_went_out_of_stock"] = _count_by("state_changes", "source", "went_out_of_stock")
+REGISTRY["I7_hours_since_previous"] = _columns_of(
+    "state_changes", "event_id", "hours_since_previous_observation"
+)
+REGISTRY["I9_price_changed"] = _count_by("price_changes", "source", "price_changed")
+REGISTRY["I10_pct_change"] = _columns_of("price_changes", "event_id", "pct_change")
+REGISTRY["I12_last_status"] = _columns_of(
+    "daily", "source", "retailer_product_id", "observation_date", "last_status"
+)
+REGISTRY["I14_availability_pct"] = _columns_of(
+    "daily", "source", "retailer_product_id", "observation_date", "availability_pct"
+)
+
+
+@query("I13_rollup_with_last_status")
+def rollup_with_last_status(spark, sf_dir):
+    """The two-step form of the daily roll-up: ranked rows joined to the aggregate."""
+    keys = ["source", "retailer_product_id", "observation_date"]
+    rows = Models(spark, sf_dir).observations.withColumn(
+        "observation_date", F.to_date("observed_at")
+    )
+    newest = Window.partitionBy(*keys).orderBy(F.desc("observed_at"), F.desc("event_id"))
+    last = (
+        rows.withColumn("n", F.row_number().over(newest))
+        .where("n = 1")
+        .select(*keys, F.col("inventory_status").alias("last_status"))
+    )
+    counted = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("observation_count"))
+    return counted.join(last, keys)
+
+
+@query("S5_product_seed")
+def product_seed_file(spark, sf_dir):
+    path = scratch_path(spark, "seed")
+    adapter.product_seed(spark, sf_dir).write.csv(path, header=True)
+    return seeds.read_product_seed(spark, path)
+
+
+@query("S4_catalog_file")
+def catalog_file(spark, sf_dir):
+    """The catalog as JSON arrays of about ten thousand products each."""
+    path = scratch_path(spark, "catalog")
+    items = adapter.catalog(spark, sf_dir)
+    parts = 1 + items.count() // 10_000
+    (
+        items.groupBy(F.pmod(F.xxhash64("id"), F.lit(parts)).alias("part"))
+        .agg(F.to_json(F.collect_list(F.struct(*items.columns))).alias("value"))
+        .select("value", "part")
+        .write.partitionBy("part")
+        .text(path)
+    )
+    return seeds.read_catalog(spark, f"{path}/part=*")
+
+
 def prices_as_double(df: DataFrame) -> DataFrame:
     """Prices leave as doubles, so that no client compares decimals with floats."""
     return df.select(
