@@ -98,7 +98,6 @@ def list_files(spark: SparkSession, root: str, kind: str, days: list[tuple] | No
         folder = base + "/{" + ",".join(
             f"source={s}/year={y}/month={m}/day={d}" for s, y, m, d in days
         ) + "}"
-    binary = T.StructType([T.StructField("path", T.StringType())])
     try:
         return (
             spark.read.format("binaryFile")
@@ -110,7 +109,7 @@ def list_files(spark: SparkSession, root: str, kind: str, days: list[tuple] | No
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], T.StructType(binary.fields + PARTITIONS.fields))
+        return spark.createDataFrame([], T.StructType(_binary_fields()[:1] + PARTITIONS.fields))
 
 
 def _binary_fields() -> list[T.StructField]:
