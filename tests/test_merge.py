@@ -8,7 +8,7 @@ from shelflog.operators.merge import upsert
 from shelflog.operators.staging import stage_events
 from shelflog.plans import load
 from shelflog.schemas import INVENTORY_EVENTS
-from shelflog.streaming.ingest import landed_events_stream, stream_observations
+from shelflog.streaming.ingest import first_copies, landed_events_stream, stream_observations
 from shelflog.sources import landing
 from test_landing import sample_runs
 
@@ -137,3 +137,18 @@ def test_stream_is_drained_once(spark, tmp_path):
     drain()
     drain()
     assert set(observed(spark, table)) == {"e0", "e1", "e2", "e3", "e4"}
+
+
+def test_watermark_deduplication_keeps_one_copy(spark, tmp_path):
+    folder, out = str(tmp_path / "in"), str(tmp_path / "out")
+    rows = [("a", day(0), NOW, 1), ("a", day(0), NOW, 2), ("b", day(0, 1), NOW, 3)]
+    raw(spark, rows).coalesce(1).write.parquet(folder)
+    stream = first_copies(spark.readStream.schema(INVENTORY_EVENTS).parquet(folder))
+    query = (
+        stream.writeStream.format("parquet")
+        .option("checkpointLocation", str(tmp_path / "checkpoint"))
+        .trigger(availableNow=True)
+        .start(out)
+    )
+    query.awaitTermination()
+    assert sorted(r["event_id"] for r in spark.read.parquet(out).collect()) == ["a", "b"]
