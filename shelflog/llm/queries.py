@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelflog.llm import decontaminate, exact, secrets, tokens
+from shelflog.llm import credentials, decontaminate, exact, tokens
 from shelflog.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,7 +29,7 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return secrets.digest(secrets.scan_secrets(read_table(spark, sf_dir, "documents")))
+    return credentials.digest(credentials.scan_secrets(read_table(spark, sf_dir, "documents")))
 
 
 def op10_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
