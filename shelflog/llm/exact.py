@@ -2,23 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shelflog.llm.bloom import BITS_PER_KEY, MAX_BITS, bits_of, filter_size, pages_of, probe
 from shelflog.llm.common import id_and_text
 from shelflog.session import materialize
 
-PAGE_BITS = 32768  # bits that bitmap_construct_agg holds
-BITS_PER_ROW = 16
-MAX_BITS = 1 << 30  # 128 MB, the largest filter ever broadcast
-
-
 def exact_dedup(
     docs: DataFrame,
     id_col: str = "doc_id",
     text_col: str = "text",
     normalise=lambda text: text,
-    bits_per_row: int = BITS_PER_ROW,
+    bits_per_row: int = BITS_PER_KEY,
     max_bits: int = MAX_BITS,
 ) -> DataFrame:
     """One decision per row of ``docs``: which row of equal texts stays.
@@ -40,34 +36,10 @@ def exact_dedup(
         id_and_text(docs, id_col, text_col).select("doc_id", F.sha2(text.cast("binary"), 256).alias("text_sha256")),
         "text-hashes",
     )
-    n_bits = PAGE_BITS
-    wanted = hashed.count() * bits_per_row
-    while n_bits < min(wanted, max_bits):
-        n_bits *= 2
-
-    def bit(seed: int) -> Column:
-        return F.pmod(F.xxhash64("text_sha256", F.lit(seed)), F.lit(n_bits))
-
-    repeated = (
-        hashed.select(F.explode(F.array(bit(0), bit(1))).alias("bit"))
-        .groupBy("bit")
-        .count()
-        .where("count > 1")
-        .groupBy(F.expr(f"bit div {PAGE_BITS}").alias("page"))
-        .agg(F.expr(f"bitmap_construct_agg(bit % {PAGE_BITS})").alias("bits"))
-    )
-    pages = materialize(repeated, "bloom-pages")
-
-    def probe(rows: DataFrame, seed: int) -> DataFrame:
-        page = F.broadcast(pages.select(F.col("page").alias(f"page{seed}"), F.col("bits").alias(f"bits{seed}")))
-        at = F.pmod(bit(seed), F.lit(PAGE_BITS))
-        byte = F.conv(F.hex(F.substring(f"bits{seed}", F.expr("1") + F.floor(at / 8).cast("int"), F.lit(1))), 16, 10)
-        found = F.coalesce(F.getbit(byte.cast("int"), (at % 8).cast("int")) == 1, F.lit(False))
-        joined = rows.join(page, F.floor(bit(seed) / PAGE_BITS) == F.col(f"page{seed}"), "left")
-        return joined.withColumn(f"set{seed}", found).drop(f"page{seed}", f"bits{seed}")
-
-    probed = probe(probe(hashed, 0), 1)
-    maybe = F.col("set0") & F.col("set1")
+    n_bits = filter_size(hashed.count(), bits_per_row, max_bits)
+    repeated = bits_of(hashed, "text_sha256", n_bits).groupBy("bit").count().where("count > 1")
+    probed = probe(hashed, pages_of(repeated, "bloom-pages"), "text_sha256", n_bits, "maybe")
+    maybe = F.col("maybe")
     alone = probed.where(~maybe).select(
         "doc_id",
         F.col("doc_id").alias("keep_id"),

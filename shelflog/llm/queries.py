@@ -5,13 +5,19 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from shelflog.llm import credentials, decontaminate, exact, tokens
+from shelflog.llm import credentials, decontaminate, exact, language, mixing, near, quality, tokens
 from shelflog.llm.common import read_table
+from shelflog.llm.training import remainder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+LANGUAGE_FOLDS, QUALITY_FOLDS = 4, 5
+QUALITY_LEAST = 0.3
+
+
 def tokenizer_file() -> str:
     import public_tokenizers
 
@@ -32,6 +38,39 @@ def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return credentials.digest(credentials.scan_secrets(read_table(spark, sf_dir, "documents")))
 
 
+def op5_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix_sources(read_table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "source", F.col("mix.epoch").alias("epoch"), F.col("mix.block").alias("block"), F.col("mix.turn").alias("turn"))
+
+
+def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near.near_classes(read_table(spark, sf_dir, "documents")).drop("text_key")
+
+
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = F.coalesce(remainder("doc_id", LANGUAGE_FOLDS) == 2, F.lit(True))
+    model = language.fit_language(docs.where(~held_out))
+    found = language.identify_language(docs.select("doc_id", "text"), model)
+    return found.select(
+        "doc_id", held_out.alias("held_out"), F.col("language.lang").alias("lang_pred"), F.col("language.score").alias("score")
+    )
+
+
+def quality_model(docs: DataFrame, labels: DataFrame) -> quality.QualityModel:
+    """Fit on the labels outside the held-out fold."""
+    return quality.fit_quality(docs, labels.where(remainder("doc_id", QUALITY_FOLDS) != 0))
+
+
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = quality.score_quality(docs, quality_model(docs, read_table(spark, sf_dir, "labels")))
+    held_out = F.coalesce(remainder("doc_id", QUALITY_FOLDS) == 0, F.lit(True))
+    return scored.select(
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= QUALITY_LEAST).cast("int").alias("predicted")
+    )
+
+
 def op10_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     manifest = tokens.write_tokens(docs, tokens.token_path(spark), tokenizer_file())
@@ -39,7 +78,19 @@ def op10_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def registered() -> dict[str, Query]:
-    return {f.__name__: f for f in (op2_benchmark_decontamination, op4_exact_dedup, op6_secret_scan, op10_token_output)}
+    return {
+        f.__name__: f
+        for f in (
+            op2_benchmark_decontamination,
+            op4_exact_dedup,
+            op5_source_mix,
+            op6_secret_scan,
+            op7_near_dedup,
+            op8_language_id,
+            op9_quality,
+            op10_token_output,
+        )
+    }
 
 
 OP4_SQL = """
