@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import sys
+import types
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -10,6 +12,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+SLICE_BYTES = 1 << 20
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -61,7 +66,18 @@ def append_column(
     return docs.mapInArrow(run, schema)
 
 
-def slices(batch: pa.RecordBatch, at: int, most: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+def per_worker(key: tuple, make: Callable):
+    """The object made for ``key`` in this Python worker; workers outlive their tasks.
+
+    For caches only: whether an object is new or used must not change a result.
+    """
+    held = sys.modules.setdefault("_shelflog_worker", types.ModuleType("_shelflog_worker")).__dict__
+    if key not in held:
+        held[key] = make()
+    return held[key]
+
+
+def slices(batch: pa.RecordBatch, at: int, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """``batch`` in slices of about ``most`` bytes in column ``at``, one row at least."""
     import pyarrow.compute as pc
 

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import struct
+import sys
 import zlib
+from array import array
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -13,14 +15,19 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelflog.llm.common import id_and_text, slices
+from shelflog.llm.common import id_and_text, per_worker, slices
 from shelflog.session import materialize, scratch_path
 
 SHARD_IDS = 16 << 20
 END_ID = 2
-MEMO_PIECES = 400_000
+MEMO_PIECES = 600_000
 SELECT_EVERY = 256
 
+# The printable character that byte-level tokenizers use for each byte.
+_PRINTABLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
+_BYTE_ALPHABET = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _PRINTABLE)}
+_SPACE = chr(_BYTE_ALPHABET[32])
+
 # magic, bytes an id, documents, documents without an id, ids, first doc_id, size of the
 # boundary part, size of the doc_id part
 HEADER = "<8sIIIQqQQ"
@@ -109,40 +116,67 @@ class Encoder:
         self.tokenizer, self.model, self.pre = tokenizer, tokenizer.model, tokenizer.pre_tokenizer
         self.width = 2 if tokenizer.get_vocab_size() <= 1 << 16 else 4
         self.dtype = np.dtype(f"<u{self.width}")
-        self.cut = re.compile(r"(?<=\S) (?=\S)").split
+        self.code = "H" if self.width == 2 else "I"
+        self.cut = re.compile(r"(?<=\S)(?= \S)").split
         self.memo_pieces = memo_pieces
         self.pieces: dict[str, bytes] = {}
         self.units: dict[str, bytes] = {}
 
-    def _learn(self, new: list[str]) -> None:
+    def _ids(self, unit: str) -> bytes:
+        """Ids of one unit of the pre-tokenizer, in its byte alphabet."""
+        ids = array(self.code, [t.id for t in self.model.tokenize(unit)])
+        if sys.byteorder == "big":
+            ids.byteswap()
+        return ids.tobytes()
+
+    def _unit(self, unit: str) -> bytes:
+        ids = self.units.get(unit)
+        if ids is None:
+            ids = self._ids(unit)
+            if len(self.units) < self.memo_pieces // 4:
+                self.units[unit] = ids
+        return ids
+
+    def _spaced(self, new: list[str]) -> dict[str, bytes]:
+        """Ids of pieces that begin with a space: mostly a word, or a word and a sign."""
+        found, rest = {}, []
+        for piece in new:
+            word, sign = (piece[1:-1], piece[-1]) if piece[-1] in ".,;:!?" else (piece[1:], "")
+            # Latin letters only: here a word is one unit for any version of Unicode.
+            if word.isalpha() and max(word) < "\u0250":
+                spelt = word if word.isascii() else word.encode().decode("latin-1").translate(_BYTE_ALPHABET)
+                found[piece] = self._ids(_SPACE + spelt) + self._unit(sign) if sign else self._ids(_SPACE + spelt)
+            else:
+                rest.append(piece)
+        return found | self._pieces(rest) if rest else found
+
+    def _pieces(self, new: list[str]) -> dict[str, bytes]:
+        """Ids of any pieces; all but the first begin with a space."""
         ends = np.cumsum([len(p) for p in new]).tolist()
-        at, parts = 0, []
+        found, parts = {}, []
         for unit, (_, stop) in self.pre.pre_tokenize_str("".join(new)):
-            ids = self.units.get(unit)
-            if ids is None:
-                ids = np.array([t.id for t in self.model.tokenize(unit)], self.dtype).tobytes()
-                self.units[unit] = ids
-            parts.append(ids)
-            if stop == ends[at]:
-                self.pieces[new[at]] = b"".join(parts)
-                at, parts = at + 1, []
+            parts.append(self._unit(unit))
+            if stop == ends[len(found)]:
+                found[new[len(found)]] = b"".join(parts)
+                parts = []
+        return found
 
     def encode(self, text: str | None) -> bytes:
         if not text:
             return b""
         if not self.by_piece:
             return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
-        if len(self.pieces) > self.memo_pieces:
-            self.pieces.clear()
-            self.units.clear()
+        known = self.pieces
         first, *rest = self.cut(text)
-        rest = [" " + p for p in rest]
-        if first not in self.pieces:
-            self._learn([first])
-        missing = [p for p in dict.fromkeys(rest) if p not in self.pieces]
+        head = self._pieces([first])[first]
+        missing = [p for p in dict.fromkeys(rest) if p not in known]
         if missing:
-            self._learn(missing)
-        return self.pieces[first] + b"".join([self.pieces[p] for p in rest])
+            found = self._spaced(missing)
+            if len(known) < self.memo_pieces:
+                known.update(found)
+            else:  # a full memo stays as it is: frequent pieces came early
+                return head + b"".join([known.get(p) or found[p] for p in rest])
+        return head + b"".join(map(known.__getitem__, rest))
 
 
 def _file_system(uri: str):
@@ -232,7 +266,7 @@ def write_tokens(
     )
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(tokenizer_path)
+        encoder = per_worker(("encoder", tokenizer_path), lambda: Encoder(tokenizer_path))
         end = np.array([end_id], encoder.dtype).tobytes()
         part = TaskContext.get().partitionId()
         made = 0
