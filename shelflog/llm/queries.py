@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelflog.llm import credentials, decontaminate, exact, language, mixing, near, quality, tokens
+from shelflog.llm import (
+    credentials,
+    decontaminate,
+    exact,
+    language,
+    mixing,
+    near,
+    quality,
+    substring_dedup,
+    suffix_dedup,
+    tokens,
+)
 from shelflog.llm.common import read_table
 from shelflog.llm.training import remainder
 
@@ -24,12 +35,20 @@ def tokenizer_file() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.digest(suffix_dedup.remove_repeats(read_table(spark, sf_dir, "documents")))
+
+
 def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     found = decontaminate.find_benchmark(docs, read_table(spark, sf_dir, "benchmark"))
     return decontaminate.digest(found)
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.digest(substring_dedup.remove_later_repeats(read_table(spark, sf_dir, "documents")))
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_dedup(read_table(spark, sf_dir, "documents"))
 
@@ -81,7 +100,9 @@ def registered() -> dict[str, Query]:
     return {
         f.__name__: f
         for f in (
+            op1_suffix_dedup,
             op2_benchmark_decontamination,
+            op3_substring_dedup,
             op4_exact_dedup,
             op5_source_mix,
             op6_secret_scan,
@@ -128,5 +149,25 @@ FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
 
+OP3_SQL = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+places AS (
+    SELECT doc_id, i, array_to_string(list_slice(w, i, i + 19), ' ') AS key
+    FROM (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS i FROM d WHERE len(w) >= 20)),
+later AS (
+    SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY key ORDER BY doc_id, i) AS nth FROM places)
+    WHERE nth > 1),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 20)) AS i FROM later),
+words AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i FROM d),
+kept AS (
+    SELECT words.doc_id, string_agg(word, ' ' ORDER BY words.i) AS kept
+    FROM words ANTI JOIN gone ON words.doc_id = gone.doc_id AND words.i = gone.i GROUP BY words.doc_id),
+removed AS (SELECT doc_id, count(*) AS n_removed FROM gone GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_removed, 0) AS n_removed,
+       sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN removed USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op2_benchmark_decontamination": OP2_SQL, "op4_exact_dedup": OP4_SQL}
+    return {"op2_benchmark_decontamination": OP2_SQL, "op3_substring_dedup": OP3_SQL, "op4_exact_dedup": OP4_SQL}
