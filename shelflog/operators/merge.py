@@ -10,11 +10,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelflog.operators.dedup import latest_per_key
-from shelflog.session import materialize
+from shelflog.session import temporary_table
 
-# More touched days than this are not spelt out in a partition filter.
-MAX_LISTED_DAYS = 4000
 LOOKBACK_HOURS = 48
+# Fixed value: the folder of rows without a day.
+NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
 
 
 def table_or_none(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame | None:
@@ -36,17 +36,20 @@ def _with_day(df: DataFrame, day: str | None, moment: str) -> DataFrame:
     return df if day is None else df.withColumn(day, F.col(moment).cast("date"))
 
 
-def _days_of(batch: DataFrame, day: str) -> list:
-    """Distinct days, one more than MAX_LISTED_DAYS at most."""
-    return [row[0] for row in batch.select(day).distinct().limit(MAX_LISTED_DAYS + 1).collect()]
+def _only_days(target: DataFrame, touched: DataFrame, day: str) -> DataFrame:
+    """Target rows of the days in ``touched``, whatever their number.
 
-
-def _only_days(target: DataFrame, days: list, day: str) -> DataFrame:
-    """Target rows of ``days``; a literal filter, so other folders are skipped."""
-    if len(days) > MAX_LISTED_DAYS:
-        return target
-    listed = F.col(day).isin([d for d in days if d is not None])
-    return target.where(listed | F.col(day).isNull() if None in days else listed)
+    The range of days is a literal filter, so folders outside it are never listed for
+    reading; inside it the semi join on the partition column drops the days between.
+    """
+    low, high, undated = touched.agg(F.min(day), F.max(day), F.count_if(F.col(day).isNull())).first()
+    rows = target.where(F.lit(False))
+    if low is not None:
+        dated = touched.where(F.col(day).isNotNull()).select(day).distinct()
+        rows = target.where(F.col(day).between(F.lit(low), F.lit(high))).join(dated, day, "left_semi")
+    if undated:
+        rows = rows.unionByName(target.where(F.col(day).isNull()))
+    return rows
 
 
 def insert_new(
@@ -76,9 +79,9 @@ def insert_new(
     rows = _with_day(rows, day, moment)
     stored = T.StructType(schema.fields + ([T.StructField(day, T.DateType())] if day else []))
     target = read_table(spark, path, stored)
+    touched = _with_day(batch.select(moment), day, moment)
     if day and key_fixes_day:
-        days = _days_of(_with_day(batch.select(moment), day, moment), day)
-        target = _only_days(target, days, day)
+        target = _only_days(target, touched, day)
     # Distinct before the join: copies in the table cannot pile up in one task.
     known = target.where(F.col(key).isNotNull()).select(key).distinct()
     stamp = F.lit(loaded_at.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp_ntz")
@@ -93,23 +96,49 @@ def insert_new(
         ordered.write.mode("append").parquet(path)
     after = read_table(spark, path, stored)
     if day and key_fixes_day:
-        after = _only_days(after, days, day)
+        after = _only_days(after, touched, day)
     return after.count() - before
 
 
+def newest_moment(spark: SparkSession, path: str, schema: T.StructType, day: str = "observed_date"):
+    """Newest stored ``observed_at``, None for an empty table.
+
+    The newest day comes from a listing of the folders, then only that day's files are read.
+    A day whose rows all moved away leaves a folder without rows, so days are tried downwards.
+    """
+    try:
+        files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+    if day not in files.columns:  # no folder of a day yet
+        return None
+    files = files.select(F.col(day).cast("date").alias(day))
+    target = read_table(spark, path, schema)
+    below = None
+    while True:
+        listed = files if below is None else files.where(F.col(day) < F.lit(below))
+        below = listed.agg(F.max(day)).first()[0]
+        if below is None:
+            return None
+        newest = target.where(F.col(day) == F.lit(below)).agg(F.max("observed_at")).first()[0]
+        if newest is not None:
+            return newest
+
+
 def since_lookback(
-    staged: DataFrame, target: DataFrame, hours: int = LOOKBACK_HOURS, day: str = "observed_date"
+    staged: DataFrame, newest: datetime | None, hours: int = LOOKBACK_HOURS, day: str = "observed_date"
 ) -> DataFrame:
-    """Rows newer than the newest stored time less the lookback; all if nothing is stored.
+    """Rows newer than ``newest`` less the lookback; all if nothing is stored.
 
-    The newest day comes from the directory values, so only that day's files are read.
+    If ``staged`` still carries the ``day`` of a partitioned table, older folders are skipped.
     """
-    last_day = target.agg(F.max(day)).first()[0]
-    newest = target.where(F.col(day) == F.lit(last_day)).agg(F.max("observed_at")).first()[0]
     if newest is None:
         return staged
-    start = (newest - timedelta(hours=hours)).strftime("%Y-%m-%d %H:%M:%S.%f")
-    return staged.where(F.col("observed_at") > F.lit(start).cast("timestamp_ntz"))
+    start = newest - timedelta(hours=hours)
+    recent = staged.where(F.col("observed_at") > F.lit(start.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp_ntz"))
+    return recent.where(F.col(day) >= F.lit(start.date())) if day in staged.columns else recent
 
 
 def upsert(
@@ -124,36 +153,43 @@ def upsert(
     """Replace rows with a known ``key``, add the others. ``rows`` has one row per key.
 
     The table is partitioned by day and only days that hold new or replaced rows are
-    rewritten. The result is written to the shared folder first: a rewrite that fails half
-    way can be repeated from there, as it never reads what it overwrites.
+    rewritten. With ``key_fixes_day`` a dated row is looked for in its own day and among the
+    rows without a day; a row without a day is looked for everywhere. The result is written
+    to the shared folder first, as a rewrite must not read what it overwrites; both scratch
+    tables are deleted when the table is whole.
     """
     spark = rows.sparkSession
-    fresh = materialize(_with_day(rows, day, moment), "upsert-rows")
-    # Read in the new column set: added columns are null in old rows, removed ones dropped.
-    target = table_or_none(spark, path, fresh.schema)
-    if target is None:
-        fresh.hint("rebalance", day).write.partitionBy(day).parquet(path)
-        return
-    touched = fresh.select(day)
-    if not key_fixes_day:
-        # A replaced row may sit in another day than its successor.
-        moved = target.select(key, day).join(fresh.select(key), key, "left_semi").select(day)
-        touched = touched.union(moved)
-    kept = _only_days(target, _days_of(touched, day), day).join(fresh.select(key), key, "left_anti")
-    result = materialize(kept.unionByName(fresh), "upsert-result")
-    (
-        result.hint("rebalance", day)
-        .write.partitionBy(day)
-        .mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .parquet(path)
-    )
-    if not key_fixes_day:
-        _clear_emptied_days(touched, result, path, day)
+    with temporary_table(_with_day(rows, day, moment), "upsert-rows") as fresh:
+        # Read in the new column set: added columns are null in old rows, removed ones dropped.
+        target = table_or_none(spark, path, fresh.schema)
+        if target is None:
+            fresh.hint("rebalance", day).write.partitionBy(day).parquet(path)
+            return
+        wandering = fresh.where(F.col(day).isNull()) if key_fixes_day else fresh
+        touched = fresh.select(day)
+        if not wandering.isEmpty():
+            # A replaced row may sit in another day than its successor.
+            touched = touched.union(target.select(key, day).join(wandering.select(key), key, "left_semi").select(day))
+        if key_fixes_day:
+            undated = target.where(F.col(day).isNull()).select(key, day)
+            touched = touched.union(undated.join(fresh.select(key), key, "left_semi").select(day))
+        with temporary_table(touched.distinct(), "upsert-days") as days:
+            kept = _only_days(target, days, day).join(fresh.select(key), key, "left_anti")
+            with temporary_table(kept.unionByName(fresh), "upsert-result") as result:
+                (
+                    result.hint("rebalance", day)
+                    .write.partitionBy(day)
+                    .mode("overwrite")
+                    .option("partitionOverwriteMode", "dynamic")
+                    .parquet(path)
+                )
+                _clear_emptied_days(days, result, path, day)
 
 
 def _clear_emptied_days(touched: DataFrame, result: DataFrame, path: str, day: str) -> None:
     """A day whose rows all moved away gets no new files, so it is emptied explicitly."""
-    emptied = touched.distinct().join(result.select(day).distinct(), day, "left_anti").collect()
+    filled = result.select(F.col(day).alias("_filled")).distinct()
+    emptied = touched.join(filled, F.col(day).eqNullSafe(F.col("_filled")), "left_anti").collect()
     for row in emptied:
-        result.limit(0).drop(day).write.mode("overwrite").parquet(f"{path}/{day}={row[0]}")
+        folder = NULL_FOLDER if row[0] is None else row[0]
+        result.limit(0).drop(day).write.mode("overwrite").parquet(f"{path}/{day}={folder}")

@@ -142,18 +142,19 @@ def _odd_object(text: Column) -> Column:
     return ~text.isin(FALSY_JSON) & ~F.startswith(text, F.lit("{"))
 
 
-def _structure(layout: Layout) -> tuple[dict[str, Column], list[tuple[Column, str]]]:
+def _structure(source: str) -> tuple[dict[str, Column], list[tuple[Column, str]]]:
     """Enclosing values worth a look, and the defects they reveal.
 
-    A value is only printed when no leaf below it was found, else it is null.
+    A value is only printed for its own source and when no leaf below it was found, else it
+    is null.
     """
+    layout = LAYOUTS[source]
     looks: dict[str, Column] = {}
 
     def look(path: str) -> Column:
-        name = f"_at_{len(looks)}"
-        looks[name] = F.when(
-            _none_below(layout, path), F.coalesce(F.to_json(_at(path)), F.lit("null"))
-        )
+        name = f"_{source}_at_{len(looks)}"
+        wanted = (F.col("source") == source) & _none_below(layout, path)
+        looks[name] = F.when(wanted, F.coalesce(F.to_json(_at(path)), F.lit("null")))
         return F.col(name)
 
     defects = [(look(layout.required).isin(FALSY_JSON), layout.required_reason)]
@@ -243,14 +244,30 @@ def _joined(rules: list[tuple[Column, str]]) -> Column:
     return F.concat_ws(SEPARATOR, *[F.when(bad, F.lit(why)) for bad, why in rules])
 
 
-def _read_source(payloads: DataFrame, source: str) -> DataFrame:
-    """The payloads of one source, read by its layout."""
-    layout = LAYOUTS[source]
-    looks, defects = _structure(layout)
-    used = [leaf for leaf in LEAVES if getattr(layout, leaf)]
-    text = F.lit(None).cast("string")
+def _by_source(values: dict[str, Column], kind: str) -> Column:
+    """The value of the row's own source; the others' are not evaluated."""
+    chosen = None
+    for source, value in values.items():
+        own = F.col("source") == source
+        chosen = F.when(own, value) if chosen is None else chosen.when(own, value)
+    return F.lit(None).cast(kind) if chosen is None else chosen.otherwise(F.lit(None).cast(kind))
+
+
+def _read_payloads(payloads: DataFrame, sources: list[str]) -> DataFrame:
+    """Every payload read once, by the layout of its source."""
+    layouts = {source: LAYOUTS[source] for source in sources}
+
+    def using(leaf: str) -> dict[str, Layout]:
+        return {source: x for source, x in layouts.items() if getattr(x, leaf)}
+
+    looks: dict[str, Column] = {}
+    defects: dict[str, Column] = {}
+    for source in sources:
+        own, found = _structure(source)
+        looks |= own
+        defects[source] = _joined(found)
     return (
-        payloads.where(F.col("source") == source)
+        payloads.where(F.col("source").isin(sources))
         .select(
             "source",
             F.col("run_id").alias("ingestion_run_id"),
@@ -258,19 +275,20 @@ def _read_source(payloads: DataFrame, source: str) -> DataFrame:
             read_utc(F.col("observed_at")).alias("observed_at"),
             "extracted_at",
             "raw_response",
-            *[_leaf(layout, leaf).alias(f"_{leaf}") for leaf in used],
+            *[
+                _by_source({k: _leaf(x, leaf) for k, x in using(leaf).items()}, "variant").alias(f"_{leaf}")
+                for leaf in LEAVES
+            ],
         )
         .withColumns(
-            {f"_{leaf}_json": F.to_json(f"_{leaf}") for leaf in used}
+            {f"_{leaf}_json": F.to_json(f"_{leaf}") for leaf in LEAVES}
             | {"price": F.try_variant_get("_price", "$", "double")}
             | looks
         )
         .withColumns(
             {
-                "inventory_status": _status(source),
-                "quantity_available": _quantity()
-                if layout.quantity
-                else F.lit(None).cast("bigint"),
+                "inventory_status": _by_source({k: _status(k) for k in sources}, "string"),
+                "quantity_available": _by_source({k: _quantity() for k in using("quantity")}, "bigint"),
             }
         )
         .select(
@@ -282,15 +300,15 @@ def _read_source(payloads: DataFrame, source: str) -> DataFrame:
             "raw_response",
             F.try_variant_get("_name", "$", "string").alias("own_name"),
             *[
-                (F.try_variant_get(f"_{leaf}", "$", "string") if leaf in used else text).alias(leaf)
+                _by_source({k: F.try_variant_get(f"_{leaf}", "$", "string") for k in using(leaf)}, "string").alias(leaf)
                 for leaf in ("sku", "upc")
             ],
             "price",
             "inventory_status",
             "quantity_available",
-            F.lit(layout.keeps_store).alias("keeps_store"),
-            _joined(defects).alias("structure_reasons"),
-            _joined(_value_rules(layout)).alias("value_reasons"),
+            F.col("source").isin([k for k, x in layouts.items() if x.keeps_store]).alias("keeps_store"),
+            _by_source(defects, "string").alias("structure_reasons"),
+            _by_source({k: _joined(_value_rules(x)) for k, x in layouts.items()}, "string").alias("value_reasons"),
         )
     )
 
@@ -299,14 +317,11 @@ def examine(payloads: DataFrame, catalog: DataFrame, sources: list[str] | None =
     """Read every payload by its source's layout; adds ``reason``, empty for a good one.
 
     ``payloads``: source, run_id, retailer_product_id, observed_at (text), raw_response
-    (VARIANT), extracted_at. ``catalog``: columns of PRODUCT_CATALOG. The landing zone is
-    partitioned by source, so each source's branch reads its own files only. The catalog may
-    be large; Spark picks the join by measured size.
+    (VARIANT), extracted_at. ``catalog``: columns of PRODUCT_CATALOG. The payloads are scanned
+    once, whether or not they are partitioned by source. The catalog may be large; Spark
+    picks the join by measured size.
     """
-    parts = [_read_source(payloads, source) for source in sources or SOURCES]
-    read = parts[0]
-    for part in parts[1:]:
-        read = read.unionByName(part)
+    read = _read_payloads(payloads, list(sources or SOURCES))
     known = catalog.select(
         std_code(F.col("retailer")).alias("source"),
         "retailer_product_id",

@@ -114,9 +114,6 @@ def run_metrics(manifests: DataFrame, catalog: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("products_tracked"),
         F.count_distinct("retailer").alias("retailers_tracked"),
     )
-    # Both sides are single rows; the constant key keeps this an equi join.
-    return (
-        figures.withColumn("_one", F.lit(1))
-        .join(tracked.withColumn("_one", F.lit(1)), "_one")
-        .drop("_one")
-    )
+    # Two single rows become one by an aggregate over their union; no join is needed.
+    both = figures.unionByName(tracked, allowMissingColumns=True)
+    return both.agg(*[F.max(c).alias(c) for c in both.columns])

@@ -105,6 +105,10 @@ def percent_change(before, now):
     ).cast("double")
 
 
+# Numbers of the statuses in the daily roll-up; 0 is no known status.
+STATUS_ORDER = [None, "UNKNOWN", "BACKORDER", "PREORDER", "OUT_OF_STOCK", "IN_STOCK"]
+
+
 def daily_inventory(observations: DataFrame) -> DataFrame:
     """Roll-up per series and day, last status of the day included, in one aggregation."""
     in_stock = F.col("inventory_status") == "IN_STOCK"
@@ -119,9 +123,7 @@ def daily_inventory(observations: DataFrame) -> DataFrame:
                 "avg_price"
             ),
             F.max("observed_at").alias("last_observed_at"),
-            F.max_by("inventory_status", F.struct("observed_at", "event_id")).alias(
-                "last_status"
-            ),
+            F.max(_dated_status()).alias("_last"),
         )
         .select(
             *SERIES,
@@ -133,11 +135,24 @@ def daily_inventory(observations: DataFrame) -> DataFrame:
             "max_price",
             "avg_price",
             "last_observed_at",
-            "last_status",
+            F.get(F.array(*[F.lit(s).cast("string") for s in STATUS_ORDER]), F.pmod("_last", F.lit(8)).cast("int")).alias("last_status"),
         )
     )
 
 
+def _dated_status():
+    """Time and status in one whole number, so that the latest is found by a hash aggregate.
+
+    At equal times the status later in ``STATUS_ORDER`` counts.
+    """
+    code = F.lit(0)
+    for place, status in enumerate(STATUS_ORDER):
+        if status:
+            code = F.when(F.col("inventory_status") == status, place).otherwise(code)
+    instant = F.unix_micros(F.col("observed_at").cast("timestamp"))
+    return F.coalesce(instant, F.lit(-(1 << 59))) * 8 + code
+
+
 def share_pct(part, whole):
     """Percent to one place; null for an empty whole."""
     part = F.col(part) if isinstance(part, str) else part

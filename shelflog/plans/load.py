@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelflog.operators.merge import insert_new, read_table, since_lookback, upsert
+from shelflog.operators.merge import LOOKBACK_HOURS, insert_new, newest_moment, read_table, since_lookback, upsert
 from shelflog.operators.staging import stage_events
 from shelflog.plans.intermediate import OBSERVATION_COLUMNS, deduplicated
 from shelflog.schemas import INGESTION_RUNS, INVENTORY_EVENTS
@@ -88,10 +88,21 @@ def _count_files(spark: SparkSession, root: str, kind: str, combined: bool) -> i
     )
 
 
-def read_raw_events(spark: SparkSession, path: str) -> DataFrame:
-    return read_table(
+def read_raw_events(spark: SparkSession, path: str, with_day: bool = False) -> DataFrame:
+    table = read_table(
         spark, path, T.StructType(INVENTORY_EVENTS.fields + [T.StructField(DAY, T.DateType())])
-    ).drop(DAY)
+    )
+    return table if with_day else table.drop(DAY)
+
+
+def read_typed_events(spark: SparkSession, path: str) -> DataFrame:
+    """The raw table with the payload as VARIANT, for queries by path."""
+    return read_raw_events(spark, path).withColumn("raw_payload", F.try_parse_json("raw_payload"))
+
+
+def read_typed_runs(spark: SparkSession, path: str) -> DataFrame:
+    """The run table with the reject reasons as VARIANT."""
+    return read_table(spark, path, INGESTION_RUNS).withColumn("error_summary", F.try_parse_json("error_summary"))
 
 
 def refresh_observations(
@@ -103,19 +114,40 @@ def refresh_observations(
     wait for a ``full`` run. Running it again changes nothing. An empty table is filled
     completely.
     """
-    spark = staged.sparkSession
     recent = staged
     if not full:
-        recent = since_lookback(staged, read_table(spark, path, OBSERVATIONS))
+        recent = since_lookback(staged, newest_moment(staged.sparkSession, path, OBSERVATIONS))
     upsert(deduplicated(recent), path, "event_id", day=DAY, key_fixes_day=key_fixes_day)
 
 
+def refresh_from_raw(
+    spark: SparkSession, events_path: str, path: str, *, full: bool = False, key_fixes_day: bool = True
+) -> None:
+    """``refresh_observations`` from the raw table, opening only the days of the lookback."""
+    upsert(
+        deduplicated(recent_staged(spark, events_path, path, full)), path, "event_id", day=DAY, key_fixes_day=key_fixes_day
+    )
+
+
+def recent_staged(spark: SparkSession, events_path: str, path: str, full: bool = False) -> DataFrame:
+    """Staged rows of the raw table that a refresh of the observations at ``path`` takes."""
+    raw = read_raw_events(spark, events_path, with_day=True)
+    if not full:
+        raw = since_lookback(raw, newest_moment(spark, path, OBSERVATIONS))
+    return stage_events(raw.drop(DAY))
+
+
 def skipped_late_rows(staged: DataFrame, path: str) -> int:
-    """Rows outside the lookback that the table has never seen: a full run would add them."""
+    """Observations outside the lookback that the table has never seen, copies counted once."""
     spark = staged.sparkSession
-    target = read_table(spark, path, OBSERVATIONS)
-    late = staged.join(since_lookback(staged, target).select("event_id"), "event_id", "left_anti")
-    return late.join(target.select("event_id").distinct(), "event_id", "left_anti").count()
+    newest = newest_moment(spark, path, OBSERVATIONS)
+    if newest is None:
+        return 0
+    start = newest - timedelta(hours=LOOKBACK_HOURS)
+    bound = F.lit(start.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp_ntz")
+    late = staged.where((F.col("observed_at") <= bound) | F.col("observed_at").isNull()).select("event_id")
+    known = read_table(spark, path, OBSERVATIONS).select("event_id").distinct()
+    return late.join(known, "event_id", "left_anti").distinct().count()
 
 
 def recent_runs(raw_runs: DataFrame) -> DataFrame:

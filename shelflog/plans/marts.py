@@ -25,23 +25,32 @@ def dim_date(spark: SparkSession, as_of: datetime | None = None) -> DataFrame:
     """Days from CALENDAR_START up to, not including, one year after ``as_of``."""
     last = F.date_sub(F.add_months(day_of(as_moment(as_of)), 12), 1)
     days = F.sequence(F.lit(CALENDAR_START), last, F.expr("interval 1 day"))
+    return calendar(spark.range(1).select(F.explode(days).alias("date_day")))
+
+
+def observed_calendar(observations: DataFrame) -> DataFrame:
+    """All days from the first to the last observation."""
+    day = day_of(F.col("observed_at"))
+    span = observations.agg(F.min(day).alias("first"), F.max(day).alias("last")).where("first is not null")
+    days = F.sequence("first", "last", F.expr("interval 1 day"))
+    return calendar(span.select(F.explode(days).alias("date_day")))
+
+
+def calendar(days: DataFrame) -> DataFrame:
+    """The attributes of each ``date_day``."""
     day = F.col("date_day")
     sunday_based = F.dayofweek(day) - 1
-    return (
-        spark.range(1)
-        .select(F.explode(days).alias("date_day"))
-        .select(
-            "date_day",
-            F.date_format(day, "yyyyMMdd").cast("int").alias("date_key"),
-            F.year(day).alias("year"),
-            F.month(day).alias("month"),
-            F.day(day).alias("day_of_month"),
-            sunday_based.alias("day_of_week"),
-            F.dayname(day).alias("day_name"),
-            F.monthname(day).alias("month_name"),
-            F.weekofyear(day).alias("week_of_year"),
-            sunday_based.isin(0, 6).alias("is_weekend"),
-        )
+    return days.select(
+        "date_day",
+        F.date_format(day, "yyyyMMdd").cast("int").alias("date_key"),
+        F.year(day).alias("year"),
+        F.month(day).alias("month"),
+        F.day(day).alias("day_of_month"),
+        sunday_based.alias("day_of_week"),
+        F.dayname(day).alias("day_name"),
+        F.monthname(day).alias("month_name"),
+        F.weekofyear(day).alias("week_of_year"),
+        sunday_based.isin(0, 6).alias("is_weekend"),
     )
 
 

@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from shelflog.operators import staging
 from shelflog.plans import intermediate, marts
-from shelflog.plans.load import DAY, refresh_observations
+from shelflog.operators.merge import read_table
+from shelflog.plans.load import DAY, OBSERVATIONS, refresh_observations
 
 
 def build_warehouse(
@@ -44,7 +45,7 @@ def build_warehouse(
 
     name = "int_inventory_events_deduplicated"
     refresh_observations(models["stg_inventory_events"], f"{folder}/{name}")
-    observations = spark.read.parquet(f"{folder}/{name}").drop(DAY)
+    observations = read_table(spark, f"{folder}/{name}", OBSERVATIONS).drop(DAY)
     models[name] = observations
 
     changes = table("int_inventory_state_changes", intermediate.state_changes(observations))

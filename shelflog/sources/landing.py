@@ -43,10 +43,8 @@ SCHEMAS = {
     MANIFESTS: LANDED_MANIFEST,
 }
 LEVELS = PARTITIONS.names
-# Digest groups of about this many lines keep every task small.
-LINES_PER_CHUNK = 100_000
-# Above this many (source, day) folders one listing of the whole tree is cheaper.
-MAX_LISTED_FOLDERS = 500
+# Chunks of a run's digest: part of the digest's definition, whatever the size of the run.
+DIGEST_CHUNKS = 4096
 
 
 class RunExists(ValueError):
@@ -79,7 +77,9 @@ def _times_as_text(df: DataFrame) -> DataFrame:
 
 
 def append_files(df: DataFrame, root: str, kind: str) -> None:
-    """Append rows of one kind; ``df`` carries the directory columns."""
+    """Append rows of one kind; ``df`` carries the directory columns. No rows, no folder."""
+    if df.isEmpty():
+        return
     columns = [c for c in SCHEMAS[kind].names if c in df.columns and c not in LEVELS]
     # Rebalancing gathers small runs into few files and splits a run too large for one task.
     _times_as_text(df.select(*columns, *LEVELS)).hint("rebalance", *LEVELS).write.partitionBy(
@@ -87,23 +87,19 @@ def append_files(df: DataFrame, root: str, kind: str) -> None:
     ).mode("append").option("ignoreNullFields", False).json(f"{root}/{kind}")
 
 
-def list_files(spark: SparkSession, root: str, kind: str, days: list[tuple] | None = None) -> DataFrame:
+def list_files(spark: SparkSession, root: str, kind: str) -> DataFrame:
     """Files of one kind with their directory columns; lists names, opens nothing.
 
-    ``days``: (source, year, month, day) tuples to look at; all if not given.
+    Filters on the directory columns are partition filters, so other folders' files are not
+    looked at.
     """
     base = f"{root}/{kind}"
-    folder = base
-    if days is not None and len(days) <= MAX_LISTED_FOLDERS:
-        folder = base + "/{" + ",".join(
-            f"source={s}/year={y}/month={m}/day={d}" for s, y, m, d in days
-        ) + "}"
     try:
         return (
             spark.read.format("binaryFile")
             .schema(T.StructType(_binary_fields() + PARTITIONS.fields))
             .option("basePath", base)
-            .load(folder)
+            .load(base)
             .select("path", *LEVELS)
         )
     except AnalysisException as error:
@@ -121,24 +117,22 @@ def _binary_fields() -> list[T.StructField]:
     ]
 
 
-def refuse_existing_runs(payloads: DataFrame, root: str) -> None:
-    """Raise if a run of ``payloads`` (with directory columns) already has payload files.
+def refuse_existing_runs(incoming: DataFrame, root: str) -> None:
+    """Raise if a run of ``incoming`` (directory columns) has payload or manifest files.
 
-    Only the (source, day) folders concerned are listed; their number does not depend on
-    the number of rows.
+    A run that received nothing leaves only a manifest, so both kinds are looked at, within
+    the years of the incoming runs.
     """
-    spark = payloads.sparkSession
-    incoming = payloads.select(*LEVELS).distinct()
-    days = [tuple(row) for row in incoming.select(*LEVELS[:4]).distinct().collect()]
-    if not days:
+    spark = incoming.sparkSession
+    runs = incoming.select(*LEVELS).distinct()
+    first, last = runs.agg(F.min("year"), F.max("year")).first()
+    if first is None:
         return
-    taken = incoming.join(
-        list_files(spark, root, PAYLOADS, days).select("source", "run_id"),
-        ["source", "run_id"],
-        "left_semi",
-    ).take(1)
+    there = list_files(spark, root, PAYLOADS).unionByName(list_files(spark, root, MANIFESTS))
+    there = there.where(F.col("year").between(F.lit(first), F.lit(last))).select("source", "run_id")
+    taken = runs.join(there, ["source", "run_id"], "left_semi").take(1)
     if taken:
-        raise RunExists(f"run {taken[0]['run_id']} already has payloads under {root}")
+        raise RunExists(f"run {taken[0]['run_id']} already has files under {root}")
 
 
 def write_runs(
@@ -153,10 +147,9 @@ def write_runs(
     All frames carry the directory columns. The manifest goes last, so that a run with
     a manifest is complete.
     """
-    refuse_existing_runs(payloads, root)
+    refuse_existing_runs(payloads.select(*LEVELS).unionByName(manifests.select(*LEVELS)), root)
     append_files(payloads, root, PAYLOADS)
     append_files(events, root, EVENTS)
-    # No folder and no file appears for runs without rejects.
     append_files(rejects, root, REJECTS)
     append_files(with_paths(manifests), root, MANIFESTS)
 
@@ -185,25 +178,20 @@ def json_line(df: DataFrame, kind: str) -> Column:
     return F.to_json(F.struct(*columns), {"ignoreNullFields": "false"})
 
 
-def content_digests(lines: DataFrame, digest_name: str, per_chunk: int = LINES_PER_CHUNK) -> DataFrame:
+def content_digests(lines: DataFrame, digest_name: str, chunks: int = DIGEST_CHUNKS) -> DataFrame:
     """SHA-256 fingerprint per run over ``lines`` (run_id, line), whatever their order.
 
-    Equal lines are counted first; lines are spread over chunks of about ``per_chunk`` by
-    their own hash; chunk digests are hashed once more. No task sees a whole large run.
+    Equal lines are counted first; lines are spread over a fixed number of chunks by their
+    own hash; chunk digests are hashed once more. No task sees a whole large run.
     """
     counted = (
         lines.select("run_id", F.sha2("line", 256).alias("line_digest"))
         .groupBy("run_id", "line_digest")
         .agg(F.count(F.lit(1)).alias("copies"))
-    )
-    chunks = counted.groupBy("run_id").agg(
-        F.ceil(F.count(F.lit(1)) / per_chunk).alias("chunks")
-    )
-    numbered = counted.join(chunks, "run_id").withColumn(
-        "chunk", F.pmod(F.xxhash64("line_digest"), F.col("chunks"))
+        .withColumn("chunk", F.pmod(F.conv(F.substring("line_digest", 1, 8), 16, 10).cast("bigint"), F.lit(chunks)))
     )
     item = F.concat_ws(":", "line_digest", F.col("copies").cast("string"))
-    per_part = numbered.groupBy("run_id", "chunk").agg(
+    per_part = counted.groupBy("run_id", "chunk").agg(
         F.sha2(F.concat_ws("\n", F.sort_array(F.collect_list(item))), 256).alias("part")
     )
     ordered = F.sort_array(F.collect_list(F.struct("chunk", "part")))

@@ -38,12 +38,13 @@ def landed_events_stream(spark: SparkSession, root: str, files_per_batch: int =
 
 
 def stream_observations(
-    raw_events: DataFrame, table: str, checkpoint: str, *, full: bool = True
+    raw_events: DataFrame, table: str, checkpoint: str, *, full: bool = False
 ) -> StreamingQuery:
     """Upsert a stream of raw-table rows into the observation table until it is drained.
 
-    A replayed batch changes nothing. ``full`` takes rows however late they are; without it
-    each batch applies the 48-hour lookback of the batch job.
+    A replayed batch changes nothing. Each batch applies the 48-hour lookback of the batch
+    job, so a backlog should be drained in the order of its days or with ``full``, which takes
+    rows however late they are.
     """
 
     def apply(batch: DataFrame, _: int) -> None:

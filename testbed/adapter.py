@@ -14,21 +14,13 @@ from pyspark.sql import functions as F
 
 from shelflog.operators import normalize
 from shelflog.operators.runs import build_manifests
-from shelflog.schemas import INVENTORY_EVENTS, RETAILER_SEED
+from shelflog.schemas import INVENTORY_EVENTS
 from shelflog.session import materialize, prepare, scratch_path
 from shelflog.sources import landing
 
 AS_OF = datetime(2024, 2, 1)
 EARLY_AS_OF = datetime(2024, 1, 29)
 
-# The four retailers.
-RETAILERS = [
-    (" target ", "Target", "https://target.example", "fixture_only"),
-    ("Walmart", "Walmart", "https://walmart.example", "live"),
-    ("POKEMON_CENTER", "Pokemon Center", "https://pokemoncenter.example", "live "),
-    ("gamestop", "GameStop", "https://gamestop.example", "fixture_only"),
-]
-
 UNTIDY_SOURCE = """
     case user_id % 4 when 0 then ' target ' when 1 then 'Walmart'
                      when 2 then 'POKEMON_CENTER' else 'gamestop' end"""
@@ -130,8 +122,22 @@ def product_seed(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def retailer_seed(spark: SparkSession) -> DataFrame:
-    return prepare(spark).createDataFrame(RETAILERS, RETAILER_SEED)
+# The four retailers, by the source number of their products.
+RETAILER_NAME = """case user_id % 4 when 0 then 'Target' when 1 then 'Walmart'
+                                    when 2 then 'Pokemon Center' else 'GameStop' end"""
+RETAILER_SITE = "concat('https://', lower(replace(" + RETAILER_NAME + ", ' ', '')), '.example')"
+RETAILER_MODE = "case user_id % 4 when 0 then 'fixture_only' when 1 then 'live' when 2 then 'live ' else 'fixture_only' end"
+
+
+def retailer_seed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The retailers that any product belongs to."""
+    seen = table(spark, sf_dir, "events").selectExpr("user_id % 4 as user_id").distinct()
+    return seen.selectExpr(
+        f"{UNTIDY_SOURCE} as retailer_code",
+        f"{RETAILER_NAME} as retailer_name",
+        f"{RETAILER_SITE} as website",
+        f"{RETAILER_MODE} as integration_mode",
+    )
 
 
 def line_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -203,6 +209,12 @@ else
 end"""
 
 
+# Where the four layouts keep names, prices and codes.
+NAME_PATHS = ["$.data.product.item.product_description.title", "$.name", "$.product.title", "$.productName"]
+PRICE_PATHS = ["$.data.product.price.current_retail", "$.salePrice", "$.msrp", "$.pricing.salePrice", "$.pricing.listPrice"]
+CODE_PATHS = ["$.data.product.tcin", "$.itemId", "$.product.variants[0].sku", "$.sku"]
+
+
 def payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Collected responses as they arrive: times as text, bodies as VARIANT."""
     return (

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from testbed.adapter import PAYLOAD
+from testbed.adapter import CODE_PATHS, NAME_PATHS, PAYLOAD, PRICE_PATHS
 
 CTES: dict[str, str] = {}
 QUERIES: dict[str, str] = {}
@@ -74,13 +74,16 @@ select lower({_SRC}) || '-' || user_id as product_id, {_UNTIDY} as retailer,
        case user_id % 3 when 0 then 'trading-cards' when 1 then 'video-games' end as category,
        case when user_id % 4 = 0 then '3991' end as store_id
 from (select distinct user_id from events where user_id % 29 <> 0)"""
-CTES["retailer_seed"] = """
-select * from (values
-  (' target ', 'Target', 'https://target.example', 'fixture_only'),
-  ('Walmart', 'Walmart', 'https://walmart.example', 'live'),
-  ('POKEMON_CENTER', 'Pokemon Center', 'https://pokemoncenter.example', 'live '),
-  ('gamestop', 'GameStop', 'https://gamestop.example', 'fixture_only'))
-  t(retailer_code, retailer_name, website, integration_mode)"""
+CTES["retailer_seed"] = f"""
+select {_UNTIDY} as retailer_code,
+       case user_id when 0 then 'Target' when 1 then 'Walmart' when 2 then 'Pokemon Center'
+                    else 'GameStop' end as retailer_name,
+       case user_id when 0 then 'https://target.example' when 1 then 'https://walmart.example'
+                    when 2 then 'https://pokemoncenter.example'
+                    else 'https://gamestop.example' end as website,
+       case user_id when 0 then 'fixture_only' when 1 then 'live' when 2 then 'live '
+                    else 'fixture_only' end as integration_mode
+from (select distinct user_id % 4 as user_id from events)"""
 
 CTES["stg_inventory_events"] = """
 select event_id, upper(trim(source)) as source_name, retailer_product_id, product_name,
@@ -177,18 +180,25 @@ join (select source, retailer_product_id, cast(observed_at as date) as observati
       from deduplicated
       qualify row_number() over (
           partition by source, retailer_product_id, cast(observed_at as date)
-          order by observed_at desc nulls last, event_id desc) = 1)
+          order by observed_at desc nulls last,
+                   list_position(['UNKNOWN', 'BACKORDER', 'PREORDER', 'OUT_OF_STOCK',
+                                  'IN_STOCK'], inventory_status) desc) = 1)
 using (source, retailer_product_id, observation_date)"""
 
-CTES["dim_date"] = """
+_CALENDAR = """
 select date_day, cast(strftime(date_day, '%Y%m%d') as integer) as date_key,
        year(date_day)::integer as year, month(date_day)::integer as month,
        day(date_day)::integer as day_of_month, dayofweek(date_day)::integer as day_of_week,
        strftime(date_day, '%a') as day_name, strftime(date_day, '%b') as month_name,
        weekofyear(date_day)::integer as week_of_year,
        dayofweek(date_day) in (0, 6) as is_weekend
-from (select cast(unnest(generate_series(timestamp '2024-01-01', timestamp '2025-01-31',
-                                         interval 1 day)) as date) as date_day)"""
+from (select cast(unnest(generate_series({first}, {last}, interval 1 day)) as date) as date_day
+      {source})"""
+CTES["dim_date"] = _CALENDAR.format(first="timestamp '2024-01-01'", last="timestamp '2025-01-31'", source="")
+CTES["observed_calendar"] = _CALENDAR.format(
+    first="first", last="last",
+    source="from (select date_trunc('day', min(ts)) as first, date_trunc('day', max(ts)) as last from events)",
+)
 CTES["dim_product"] = """
 select md5(coalesce(retailer, '_dbt_utils_surrogate_key_null_') || '-'
            || coalesce(retailer_product_id, '_dbt_utils_surrogate_key_null_')) as product_key,
@@ -259,7 +269,7 @@ for _name, _cte in {
     "I3_state_changes": "state_changes",
     "I8_price_changes": "price_changes",
     "I11_daily_inventory": "daily_inventory",
-    "M1_dim_date": "dim_date",
+    "M1_dim_date": "observed_calendar",
     "M2_dim_product": "dim_product",
     "M3_dim_retailer": "dim_retailer",
     "M4_fact_inventory_observation": "fact_inventory_observation",
@@ -420,7 +430,9 @@ select event_id, {_ID} as uuid, {_ID.replace('(h,', '(h0,')} as uuid_whole_secon
 from (select event_id, {_name_digest(_SRC, 'user_id', 'ts')} as h,
              {_name_digest(_SRC, 'user_id', "date_trunc('second', ts)")} as h0 from events)"""
 QUERIES["N6_payload_hash"] = f"""
-select event_id, sha256('{{"a":' || {_K} || ',"z":' || user_id || '}}') as digest, true as same
+select event_id, sha256('{{"a":' || {_K} || ',"z":' || user_id || '}}') as digest, true as same,
+       sha256('{{"a":"' || event_type || '","n":{{"b":{{"t":true}},"y":[' || user_id || ',null]}}}}') as nested_digest,
+       true as nested_same
 from events"""
 QUERIES["N7_validation_reasons"] = """
 select source, reason, count(*)::bigint as records
@@ -431,7 +443,10 @@ select event_id, case when event_id % 5 <> 2 then ts end as observed_at,
 from events"""
 QUERIES["N9_rejected_records"] = """
 select run_id as ingestion_run_id, source, array_to_string(reasons, '; ') as reason,
-       retailer_product_id, extracted_at as occurred_at
+       retailer_product_id, extracted_at as occurred_at, true as excerpt_fits,
+       case when length(cast(j as varchar)) = 2 then cast(j as varchar) end as excerpt_if_empty,
+       (length(cast(j as varchar)) - length(replace(cast(j as varchar), '"', '')))::bigint
+           as excerpt_quotes
 from examined where len(reasons) > 0"""
 QUERIES["N9_valid_rejected_split"] = """
 select source, count(*) filter (len(reasons) = 0)::bigint as valid,
@@ -498,8 +513,17 @@ from manifests"""
 # ---- landing zone and raw tables ---------------------------------------------------------
 
 QUERIES["S1_scan_events"] = "select * from accepted"
-QUERIES["S2_scan_payloads"] = """
-select source, run_id, retailer_product_id, observed_at, true as has_response from payloads"""
+
+
+def _first_leaf(paths: list[str]) -> str:
+    return "coalesce(" + ", ".join(f"json_extract_string(j, '{path}')" for path in paths) + ")"
+
+
+_LEAVES = f"""{_first_leaf(NAME_PATHS)} as name, cast({_first_leaf(PRICE_PATHS)} as double) as price,
+       {_first_leaf(CODE_PATHS)} as code"""
+QUERIES["S2_scan_payloads"] = f"""
+select source, run_id, retailer_product_id, observed_at, true as has_response, {_LEAVES}
+from payloads"""
 QUERIES["S3_scan_manifests"] = "select * from manifests"
 
 
@@ -515,23 +539,34 @@ select run_id, {_folder('raw_payloads')} as raw_payload_path,
        {_folder('manifests')} as manifest_path
 from manifests"""
 QUERIES["S8_immutability_guard"] = """
-select source, count(*)::bigint as payloads, true as second_write_refused
+select source, count(*)::bigint as payloads, true as second_write_refused,
+       true as silent_run_refused
 from payloads group by 1"""
 QUERIES["S9_scan_rejects"] = QUERIES["N9_rejected_records"].replace(
     "run_id as ingestion_run_id", "run_id"
 )
 CTES["line_digests"] = f"""
-select {_SRC} || '-' || strftime(ts, '%Y%m%d') as run_id, sha256(event_type) as digest,
+select {_SRC} || '-' || strftime(ts, '%Y%m%d') as run_id, sha256(event_type || event_id) as digest,
        count(*) as copies
 from events group by 1, 2"""
+CTES["chunk_digests"] = """
+select run_id, cast('0x' || substr(digest, 1, 8) as bigint) % 8 as chunk,
+       sha256(string_agg(digest || ':' || copies, chr(10) order by digest || ':' || copies)) as part
+from line_digests group by 1, 2"""
 QUERIES["S10_content_digests"] = """
-select run_id, sha256(sha256(string_agg(digest || ':' || copies, chr(10)
-                                        order by digest || ':' || copies))) as digest
-from line_digests group by 1"""
+select run_id, sha256(string_agg(part, chr(10) order by chunk)) as digest
+from chunk_digests group by 1"""
 QUERIES["S11_run_files"] = "select distinct source, run_id from accepted join payloads using (source) " \
     "where ingestion_run_id = run_id"
-QUERIES["S13_attached_payloads"] = """
-select source, false as without, count(*)::bigint as events from accepted group by 1"""
+QUERIES["S13_attached_payloads"] = f"""
+select event_id, source, false as without, {_LEAVES}
+from accepted join last_payloads using (ingestion_run_id, retailer_product_id)"""
+CTES["last_payloads"] = """
+select run_id as ingestion_run_id, retailer_product_id, j from payloads
+qualify row_number() over (partition by run_id, retailer_product_id order by poll desc) = 1"""
+QUERIES["S16_payload_paths"] = f"""
+select distinct event_id, {_K.replace('props', 'raw_payload')} as k, 'OBJECT<k: BIGINT>' as kind from raw_events"""
+QUERIES["S6_retailer_seed"] = "select * from stg_retailers"
 QUERIES["S17_insert_only_events"] = """
 select source, timestamp '2024-02-01' as loaded_at, count(distinct event_id)::bigint as stored,
        count(distinct event_id)::bigint as ids,
@@ -543,8 +578,11 @@ QUERIES["S18_insert_only_runs"] = """
 select * replace (timestamp '2024-02-01' as loaded_at) from raw_runs"""
 QUERIES["S19_load_counters"] = """
 select 1::integer as load, (select count(*)::bigint from accepted) as events_loaded,
-       (select count(*)::bigint from manifests) as runs_loaded
-union all select 2, 0, 0"""
+       (select count(*)::bigint from manifests) as runs_loaded,
+       (select count(distinct ingestion_run_id)::bigint from accepted) as events_source_files,
+       (select count(*)::bigint from manifests) as runs_source_files
+union all select 2, 0, 0, (select count(distinct ingestion_run_id)::bigint from accepted),
+       (select count(*)::bigint from manifests)"""
 QUERIES["S21_recent_runs"] = """
 select run_id, source, started_at, completed_at, status, payloads_received, events_normalized,
        events_rejected, pipeline_version
@@ -560,7 +598,7 @@ from deduplicated group by 1"""
 QUERIES["L3_late_rows_skipped"] = """
 select count(*)::bigint as after_full,
        count(*) filter (observed_at >= timestamp '2024-01-25')::bigint as stored,
-       (select count(*)::bigint from stg_inventory_events
+       (select count(distinct event_id)::bigint from stg_inventory_events
         where observed_at < timestamp '2024-01-25') as skipped
 from deduplicated"""
 QUERIES["L4_freshness"] = """

@@ -84,6 +84,17 @@ def test_a_run_is_never_written_twice(spark, tmp_path):
     assert landing.scan_payloads(spark, root).count() == 4
 
 
+def test_a_run_without_payloads_is_never_written_twice(spark, tmp_path):
+    frames = sample_runs(spark, products=0)
+    landing.write_runs(str(tmp_path), **frames)
+    with pytest.raises(landing.RunExists):
+        landing.write_runs(str(tmp_path), **frames)
+    assert landing.scan_runs(spark, str(tmp_path)).count() == 1
+    landing.write_runs(str(tmp_path), **sample_runs(spark, "r2"))
+    with pytest.raises(landing.RunExists):
+        landing.write_runs(str(tmp_path), **sample_runs(spark, "r2"))
+
+
 def test_load_counts_and_repeats(spark, tmp_path):
     root, events, runs = (str(tmp_path / n) for n in ("zone", "events", "runs"))
     landing.write_runs(root, **sample_runs(spark))
@@ -139,10 +150,10 @@ def test_digests_do_not_depend_on_order_or_chunking_of_files(spark):
     a = spark.createDataFrame(lines, "run_id string, line string")
     b = spark.createDataFrame(lines[::-1], "run_id string, line string").repartition(7)
 
-    def digests(df, per_chunk):
-        return {r[0]: r[1] for r in landing.content_digests(df, "d", per_chunk).collect()}
+    def digests(df, chunks):
+        return {r[0]: r[1] for r in landing.content_digests(df, "d", chunks).collect()}
 
-    assert digests(a, 10) == digests(b, 10)
+    assert digests(a, 10) == digests(b, 10) != digests(a, 11)
     changed = spark.createDataFrame(lines[1:], "run_id string, line string")
     assert digests(changed, 10)["r"] != digests(a, 10)["r"]
     assert digests(changed, 10)["q"] == digests(a, 10)["q"]

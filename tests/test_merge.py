@@ -1,13 +1,15 @@
 import itertools
+import os
 from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
 
-from shelflog.operators.merge import upsert
+from shelflog.operators.merge import _only_days, newest_moment, read_table, upsert
 from shelflog.operators.staging import stage_events
 from shelflog.plans import load
 from shelflog.schemas import INVENTORY_EVENTS
+from shelflog.session import scratch_root
 from shelflog.streaming.ingest import first_copies, landed_events_stream, stream_observations
 from shelflog.sources import landing
 from test_landing import sample_runs
@@ -110,6 +112,62 @@ def test_a_row_may_move_to_another_day(spark, tmp_path):
     assert got == {("a", day(5), 2), ("b", day(3), 1)}
 
 
+@pytest.mark.parametrize("key_fixes_day", [False, True])
+def test_a_row_may_gain_or_lose_its_day(spark, tmp_path, key_fixes_day):
+    path = str(tmp_path / "t")
+    schema = "event_id string, observed_at timestamp_ntz, v int"
+
+    def put(*rows):
+        upsert(spark.createDataFrame(rows, schema), path, "event_id", key_fixes_day=key_fixes_day)
+        stored = spark.read.schema(schema + ", observed_date date").parquet(path).collect()
+        return sorted((r["event_id"], r["observed_at"], r["v"]) for r in stored)
+
+    assert put(("a", None, 1), ("b", day(3), 1)) == [("a", None, 1), ("b", day(3), 1)]
+    assert put(("a", day(5), 2)) == [("a", day(5), 2), ("b", day(3), 1)]
+    assert put(("b", None, 3)) == [("a", day(5), 2), ("b", None, 3)]
+    assert put(("b", None, 4), ("c", None, 1)) == [("a", day(5), 2), ("b", None, 4), ("c", None, 1)]
+
+
+def scans(df):
+    """Partition filters of the file scans in the plan that ran."""
+    df.collect()
+    plan = df._jdf.queryExecution().toString()
+    return [line for line in plan.splitlines() if "PartitionFilters: [" in line and "PartitionFilters: []" not in line]
+
+
+def test_a_refresh_reads_only_recent_days(spark, tmp_path):
+    raw_path, path = str(tmp_path / "raw"), str(tmp_path / "t")
+    rows = [(f"e{i}", day(i), day(i, 1), i) for i in range(30)]
+    load.merge_events(raw(spark, rows[:25]), raw_path, NOW)
+    load.refresh_from_raw(spark, raw_path, path)
+    load.merge_events(raw(spark, rows), raw_path, NOW)
+    recent = load.recent_staged(spark, raw_path, path)
+    assert any("observed_date" in line and "2024-01-23" in line for line in scans(recent))
+    assert {r["event_id"] for r in recent.collect()} == {f"e{i}" for i in range(23, 30)}
+    days = spark.createDataFrame([(day(28).date(),), (day(29).date(),)], "observed_date date")
+    target = read_table(spark, path, load.OBSERVATIONS)
+    assert any("observed_date" in line and "2024-01-29" in line for line in scans(_only_days(target, days, load.DAY)))
+    load.refresh_from_raw(spark, raw_path, path)
+    assert observed(spark, path) == {f"e{i}": i for i in range(30)}
+    assert newest_moment(spark, path, load.OBSERVATIONS) == day(29)
+    assert newest_moment(spark, str(tmp_path / "none"), load.OBSERVATIONS) is None
+
+
+def test_late_copies_count_once(spark, tmp_path):
+    path = str(tmp_path / "t")
+    load.refresh_observations(stage_events(raw(spark, [("a", day(20), NOW, 1)])), path)
+    late = [("b", day(1), NOW, 1), ("b", day(1), NOW, 2), ("c", day(2), NOW, 1)]
+    assert load.skipped_late_rows(stage_events(raw(spark, late)), path) == 2
+
+
+def test_scratch_tables_are_deleted(spark, tmp_path):
+    path, scratch = str(tmp_path / "t"), os.path.join(scratch_root(spark), "shelflog")
+    before = set(os.listdir(scratch)) if os.path.isdir(scratch) else set()
+    for n in (1, 2):
+        upsert(spark.createDataFrame([("a", day(n), n)], "event_id string, observed_at timestamp_ntz, v int"), path, "event_id")
+    assert set(os.listdir(scratch)) == before
+
+
 def test_columns_follow_the_new_batch(spark, tmp_path):
     path = str(tmp_path / "t")
     upsert(spark.createDataFrame([("a", day(0), 1)], "event_id string, observed_at timestamp_ntz, old int"), path, "event_id")

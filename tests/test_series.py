@@ -119,10 +119,9 @@ def test_daily_rollup_equals_the_two_step_form(spark):
         "price", F.expr("cast(cast(event_id as int) % 7 as decimal(12,2))")
     )
     day = F.to_date("observed_at").alias("observation_date")
+    place = F.array_position(F.array(*[F.lit(s or "") for s in intermediate.STATUS_ORDER]), F.col("inventory_status"))
     rank = F.row_number().over(
-        Window.partitionBy(*KEYS, F.to_date("observed_at")).orderBy(
-            F.col("observed_at").desc(), F.col("event_id").desc()
-        )
+        Window.partitionBy(*KEYS, F.to_date("observed_at")).orderBy(F.col("observed_at").desc(), place.desc())
     )
     last = df.withColumn("n", rank).where("n = 1").select(*KEYS, day, F.col("inventory_status").alias("last_status"))
     twin = df.groupBy(*KEYS, day).agg(F.count("*").alias("observation_count"))
@@ -130,6 +129,7 @@ def test_daily_rollup_equals_the_two_step_form(spark):
     want = twin.alias("t").join(last.alias("l"), cond).select("t.*", "l.last_status")
     got = intermediate.daily_inventory(df).select(want.columns)
     assert got.exceptAll(want).count() == 0 and got.count() == want.count()
+    assert "SortAggregate" not in intermediate.daily_inventory(df)._jdf.queryExecution().executedPlan().toString()
 
 
 def test_outage_runs_to_the_next_restock(spark):
