@@ -214,5 +214,6 @@ def identify_language(docs: DataFrame, model: LanguageModel, text_col: str = "te
     when nothing could be learned. Equal texts get equal results; ties go to the language that
     comes first by name. All columns of ``docs`` stay as they are.
     """
-    held = docs.sparkSession.sparkContext.broadcast(model)
-    return append_column(docs, text_col, name, PREDICTION, lambda: held.value.predict)
+    parts = (model.languages, model.idf, model.weights, model.bias, model.temperature)
+    held = docs.sparkSession.sparkContext.broadcast(parts)
+    return append_column(docs, text_col, name, PREDICTION, lambda: LanguageModel(*held.value).predict)

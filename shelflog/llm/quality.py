@@ -73,7 +73,7 @@ def passages(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
         return np.zeros((n, N_FEATURES), np.float32), counts
     same = at[1:] == at[:-1]
     pair = (at[:-1] * N_PAIRS + kind[:-1] * N_CLASSES + kind[1:])[same]
-    table = np.bincount(pair, minlength=n * N_PAIRS).reshape(n, N_PAIRS)
+    table = np.bincount(pair, minlength=n * N_PAIRS).reshape(n, N_PAIRS).astype(np.float32)
     out = np.zeros((n, N_FEATURES), np.float32)
     out[:, :N_PAIRS] = 3 * np.sqrt(table / np.maximum(table.sum(1, keepdims=True), 1))
     letters = np.bincount(at[~space], minlength=n)
@@ -239,5 +239,5 @@ def score_quality(docs: DataFrame, model: QualityModel, text_col: str = "text",
     passage's score. A text is split by words, so very long texts only have more passages.
     Equal texts have equal scores. All columns of ``docs`` stay as they are.
     """
-    held = docs.sparkSession.sparkContext.broadcast(model)
-    return append_column(docs, text_col, name, T.DoubleType(), lambda: held.value.scores)
+    held = docs.sparkSession.sparkContext.broadcast((model.parameters, model.prior))
+    return append_column(docs, text_col, name, T.DoubleType(), lambda: QualityModel(*held.value).scores)
