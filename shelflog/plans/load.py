@@ -100,9 +100,13 @@ def read_typed_events(spark: SparkSession, path: str) -> DataFrame:
     return read_raw_events(spark, path).withColumn("raw_payload", F.try_parse_json("raw_payload"))
 
 
+def read_raw_runs(spark: SparkSession, path: str) -> DataFrame:
+    return read_table(spark, path, INGESTION_RUNS)
+
+
 def read_typed_runs(spark: SparkSession, path: str) -> DataFrame:
     """The run table with the reject reasons as VARIANT."""
-    return read_table(spark, path, INGESTION_RUNS).withColumn("error_summary", F.try_parse_json("error_summary"))
+    return read_raw_runs(spark, path).withColumn("error_summary", F.try_parse_json("error_summary"))
 
 
 def refresh_observations(

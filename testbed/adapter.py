@@ -12,10 +12,9 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelflog.operators import normalize
-from shelflog.operators.runs import build_manifests
+from shelflog.plans.ingest import ingest, run_frames
 from shelflog.schemas import INVENTORY_EVENTS
-from shelflog.session import materialize, prepare, scratch_path
+from shelflog.session import prepare, scratch_path
 from shelflog.sources import landing
 
 AS_OF = datetime(2024, 2, 1)
@@ -256,59 +255,20 @@ def runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def examined(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Read payloads, written once: events, rejects and manifests all come from them."""
-    read = normalize.examine(payloads(spark, sf_dir), catalog(spark, sf_dir))
-    return materialize(read, "examined")
-
-
-def landed_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return landing.with_levels(payloads(spark, sf_dir), F.col("ts"), "run_id")
-
-
-def landed_events(read: DataFrame) -> DataFrame:
-    good = normalize.accepted(read)
-    return landing.with_levels(good, F.col("observed_at"), "ingestion_run_id")
-
-
-def landed_rejects(read: DataFrame) -> DataFrame:
-    return landing.with_levels(
-        normalize.rejected(read), F.col("occurred_at"), "ingestion_run_id"
-    )
-
-
-def landed_manifests(spark: SparkSession, sf_dir: str, read: DataFrame) -> DataFrame:
-    books = build_manifests(runs(spark, sf_dir), read)
-    return landing.with_levels(books, F.col("observed_at"), "run_id")
-
-
 def whole_runs(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """Everything one ingestion writes."""
-    read = examined(spark, sf_dir)
-    responses, events = landed_payloads(spark, sf_dir), landed_events(read)
-    return {
-        "payloads": responses,
-        "events": events,
-        "rejects": landed_rejects(read),
-        "manifests": landing.with_content_hashes(
-            landed_manifests(spark, sf_dir, read), responses, events
-        ),
-    }
+    return run_frames(payloads(spark, sf_dir), catalog(spark, sf_dir), runs(spark, sf_dir))
 
 
 def landed(spark: SparkSession, sf_dir: str, *kinds: str) -> str:
     """A new landing zone holding the given kinds of files, all if none is given."""
     root = scratch_path(prepare(spark), "landing")
     if not kinds:
-        landing.write_runs(root, **whole_runs(spark, sf_dir))
+        ingest(spark, root, payloads(spark, sf_dir), catalog(spark, sf_dir), runs(spark, sf_dir))
         return root
-    read = examined(spark, sf_dir) if set(kinds) != {landing.PAYLOADS} else None
-    build = {
-        landing.PAYLOADS: lambda: landed_payloads(spark, sf_dir),
-        landing.EVENTS: lambda: landed_events(read),
-        landing.REJECTS: lambda: landed_rejects(read),
-        landing.MANIFESTS: lambda: landing.with_paths(landed_manifests(spark, sf_dir, read)),
-    }
+    frames = whole_runs(spark, sf_dir)
+    names = {landing.PAYLOADS: "payloads", landing.EVENTS: "events", landing.REJECTS: "rejects", landing.MANIFESTS: "manifests"}
     for kind in kinds:
-        landing.append_files(build[kind](), root, kind)
+        frame = frames[names[kind]]
+        landing.append_files(landing.with_paths(frame) if kind == landing.MANIFESTS else frame, root, kind)
     return root

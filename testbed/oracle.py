@@ -163,7 +163,8 @@ from (select *, cast(price * 100 as bigint) as now_c, cast(previous_price * 100
 
 CTES["state_changes"] = _state_changes("deduplicated")
 CTES["price_changes"] = _price_changes("deduplicated")
-CTES["daily_inventory"] = f"""
+def _daily(source: str) -> str:
+    return f"""
 select source, retailer_product_id, observation_date, observation_count,
        in_stock_observations,
        {share('in_stock_observations', 'observation_count')} as availability_pct,
@@ -174,10 +175,10 @@ from (select source, retailer_product_id, cast(observed_at as date) as observati
              min(price) as min_price, max(price) as max_price,
              sum(price)::double / nullif(count(price), 0) as avg_price,
              max(observed_at) as last_observed_at
-      from deduplicated group by 1, 2, 3)
+      from {source} group by 1, 2, 3)
 join (select source, retailer_product_id, cast(observed_at as date) as observation_date,
              inventory_status as last_status
-      from deduplicated
+      from {source}
       qualify row_number() over (
           partition by source, retailer_product_id, cast(observed_at as date)
           order by observed_at desc nulls last,
@@ -185,6 +186,8 @@ join (select source, retailer_product_id, cast(observed_at as date) as observati
                                   'IN_STOCK'], inventory_status) desc) = 1)
 using (source, retailer_product_id, observation_date)"""
 
+
+CTES["daily_inventory"] = _daily("deduplicated")
 _CALENDAR = """
 select date_day, cast(strftime(date_day, '%Y%m%d') as integer) as date_key,
        year(date_day)::integer as year, month(date_day)::integer as month,
@@ -228,11 +231,15 @@ select e.event_id, product_key, retailer_key, date_key, e.source, e.retailer_pro
        previous_price, current_price, price_changed, pct_change, previous_observed_at,
        observed_at
 from price_changes e {_DIMS} {_DATE}"""
-CTES["mart_daily"] = f"""
+def _mart_daily(daily: str) -> str:
+    return f"""
 select product_key, retailer_key, e.source, e.retailer_product_id, product_name, category,
        observation_date, observation_count, in_stock_observations, availability_pct, min_price,
        max_price, avg_price, last_status, last_observed_at
-from daily_inventory e {_DIMS}"""
+from {daily} e {_DIMS}"""
+
+
+CTES["mart_daily"] = _mart_daily("daily_inventory")
 CTES["run_statistics"] = """
 select source_name as source, count(*)::bigint as total_runs,
        count(*) filter (status = 'SUCCESS')::bigint as successful_runs,
@@ -583,6 +590,13 @@ select 1::integer as load, (select count(*)::bigint from accepted) as events_loa
        (select count(*)::bigint from manifests) as runs_source_files
 union all select 2, 0, 0, (select count(distinct ingestion_run_id)::bigint from accepted),
        (select count(*)::bigint from manifests)"""
+# Landed prices have the raw table's two places.
+CTES["ingested"] = "select * replace (cast(price as decimal(12,2)) as price) from accepted"
+CTES["ingested_daily"] = _daily("ingested")
+CTES["ingested_mart"] = _mart_daily("ingested_daily")
+QUERIES["P1_payloads_to_mart"] = """
+select * replace (min_price::double as min_price, max_price::double as max_price)
+from ingested_mart"""
 QUERIES["S21_recent_runs"] = """
 select run_id, source, started_at, completed_at, status, payloads_received, events_normalized,
        events_rejected, pipeline_version
@@ -693,22 +707,51 @@ _TABLES = {
     "int_product_daily_inventory": "daily_inventory",
     "mart_daily_product_availability": "mart_daily",
 }
-_SUITE_KEYS = """inventory_events.event_id ingestion_runs.run_id stg_inventory_events.event_id
-stg_ingestion_runs.run_id stg_products.product_id stg_retailers.retailer_code
-seed_products.product_id seed_retailers.retailer_code int_inventory_events_deduplicated.event_id
-int_inventory_state_changes.event_id int_product_price_changes.event_id dim_product.product_key
-dim_retailer.retailer_key dim_retailer.source dim_date.date_key
-fact_inventory_observation.event_id fact_inventory_state_change.state_change_event_id
-fact_price_observation.event_id mart_retailer_summary.retailer_key""".split()
-_SUITE_PRESENT = _SUITE_KEYS + """inventory_events.source inventory_events.retailer_product_id
-inventory_events.observed_at inventory_events.ingestion_run_id ingestion_runs.source
-ingestion_runs.status stg_inventory_events.source_name stg_inventory_events.inventory_status
-stg_inventory_events.observed_at stg_ingestion_runs.status stg_products.retailer
-seed_products.retailer int_inventory_events_deduplicated.source
-int_inventory_events_deduplicated.observed_at int_product_daily_inventory.source
-int_product_daily_inventory.retailer_product_id int_product_daily_inventory.observation_date
-dim_product.source dim_product.retailer_product_id mart_daily_product_availability.product_key
-mart_daily_product_availability.observation_date""".split()
+# Columns declared unique and present, and columns declared present only.
+_SUITE_KEYS = [
+    "inventory_events.event_id",
+    "ingestion_runs.run_id",
+    "stg_inventory_events.event_id",
+    "stg_ingestion_runs.run_id",
+    "stg_products.product_id",
+    "stg_retailers.retailer_code",
+    "seed_products.product_id",
+    "seed_retailers.retailer_code",
+    "int_inventory_events_deduplicated.event_id",
+    "int_inventory_state_changes.event_id",
+    "int_product_price_changes.event_id",
+    "dim_product.product_key",
+    "dim_retailer.retailer_key",
+    "dim_retailer.source",
+    "dim_date.date_key",
+    "fact_inventory_observation.event_id",
+    "fact_inventory_state_change.state_change_event_id",
+    "fact_price_observation.event_id",
+    "mart_retailer_summary.retailer_key",
+]
+_SUITE_PRESENT = _SUITE_KEYS + [
+    "inventory_events.source",
+    "inventory_events.retailer_product_id",
+    "inventory_events.observed_at",
+    "inventory_events.ingestion_run_id",
+    "ingestion_runs.source",
+    "ingestion_runs.status",
+    "stg_inventory_events.source_name",
+    "stg_inventory_events.inventory_status",
+    "stg_inventory_events.observed_at",
+    "stg_ingestion_runs.status",
+    "stg_products.retailer",
+    "seed_products.retailer",
+    "int_inventory_events_deduplicated.source",
+    "int_inventory_events_deduplicated.observed_at",
+    "int_product_daily_inventory.source",
+    "int_product_daily_inventory.retailer_product_id",
+    "int_product_daily_inventory.observation_date",
+    "dim_product.source",
+    "dim_product.retailer_product_id",
+    "mart_daily_product_availability.product_key",
+    "mart_daily_product_availability.observation_date",
+]
 _STATUS_LIST = "'IN_STOCK', 'OUT_OF_STOCK', 'PREORDER', 'BACKORDER', 'UNKNOWN'"
 _SUITE_ROWS = [
     ("stg_inventory_events", "source_name", "accepted_values",

@@ -504,6 +504,23 @@ def load_counters(spark, sf_dir):
     return first.unionByName(again)
 
 
+@query("P1_payloads_to_mart")
+def payloads_to_mart(spark, sf_dir):
+    """The whole way: ingest, land, load the raw tables, build the warehouse, read the mart."""
+    root, events, runs = _loaded(spark, sf_dir)
+    load.load_landing(spark, root, events, runs, AS_OF)
+    models = build_warehouse(
+        spark,
+        scratch_path(spark, "warehouse"),
+        load.read_raw_events(spark, events),
+        load.read_raw_runs(spark, runs),
+        materialize(adapter.product_seed(spark, sf_dir), "products"),
+        adapter.retailer_seed(spark, sf_dir),
+        AS_OF,
+    )
+    return models["mart_daily_product_availability"]
+
+
 @query("S21_recent_runs")
 def recent_runs(spark, sf_dir):
     return load.recent_runs(adapter.raw_runs(spark, sf_dir))
