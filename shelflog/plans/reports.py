@@ -19,6 +19,8 @@ from shelflog.session import materialize
 STALE_AFTER_HOURS = 26
 STATE_CHANGE_LIMIT = 500
 LOWEST_LIMIT = 20
+# The day column that warehouse tables of facts are partitioned by.
+DAY = "observed_date"
 
 
 def among(column: str, selected: list | None) -> Column:
@@ -118,17 +120,21 @@ def availability_timeline(
     )
 
 
-def _within(start: date, end: date) -> Column:
-    moment = F.col("observed_at")
-    return moment.between(
-        F.lit(start).cast("timestamp_ntz"), F.lit(end).cast("timestamp_ntz")
-    )
+def within(facts: DataFrame, start: date, end: date) -> DataFrame:
+    """Rows observed from ``start`` to midnight of ``end``.
+
+    On a fact table of the warehouse, which is partitioned by day, other days' files are
+    not opened.
+    """
+    first, last = (F.lit(day).cast("timestamp_ntz") for day in (start, end))
+    rows = facts.where(F.col("observed_at").between(first, last))
+    return rows.where(F.col(DAY).between(F.lit(start), F.lit(end))) if DAY in facts.columns else rows
 
 
 def price_history(fact_price: DataFrame, product_key: str, start: date, end: date) -> DataFrame:
     return (
-        fact_price.where(F.col("product_key") == product_key)
-        .where(_within(start, end))
+        within(fact_price, start, end)
+        .where(F.col("product_key") == product_key)
         .select("observed_at", "current_price", "previous_price", "price_changed", "pct_change")
         .orderBy(F.col("observed_at").asc_nulls_last())
     )
@@ -149,7 +155,7 @@ def recent_state_changes(
     """The newest transitions. The top rows are taken before the product names are joined:
     product keys are unique, so the join neither adds nor drops rows."""
     newest = (
-        fact_state_change.where(_within(start, end))
+        within(fact_state_change, start, end)
         .where(among("source", selected_retailers))
         .orderBy(F.col("observed_at").desc_nulls_first(), F.col("state_change_event_id").desc())
         .limit(limit)
@@ -171,7 +177,7 @@ def recent_state_changes(
 
 
 def transition_totals(recent: DataFrame) -> DataFrame:
-    """Restocks and stock-outs among the rows shown, hence under the same limit."""
+    """Restocks and stock-outs among the rows given: the rows shown, or all of ``within``."""
     return recent.agg(
         F.count_if("restocked").alias("restocks"),
         F.count_if("went_out_of_stock").alias("stock_outs"),
@@ -185,7 +191,7 @@ def daily_observation_volume(
     selected_retailers: list[str] | None = None,
 ) -> DataFrame:
     return (
-        fact_observation.where(_within(start, end))
+        within(fact_observation, start, end)
         .where(among("source", selected_retailers))
         .groupBy(day_of(F.col("observed_at")).alias("observation_date"), "source")
         .agg(F.count(F.lit(1)).alias("observations"))

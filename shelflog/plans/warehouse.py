@@ -9,6 +9,7 @@ from __future__ import annotations
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from shelflog.operators import staging
 from shelflog.plans import intermediate, marts
@@ -16,6 +17,21 @@ from shelflog.operators.merge import read_table
 from shelflog.plans.load import DAY, OBSERVATIONS, refresh_observations
 
 
+def write_table(df: DataFrame, path: str, day: str | None = None) -> DataFrame:
+    """Write ``df`` and read it back; by ``day`` in folders, each sorted by product.
+
+    A missing ``day`` column is taken from ``observed_at`` and stays in the table.
+    """
+    if day is None:
+        df.write.mode("overwrite").parquet(path)
+    else:
+        if day not in df.columns:
+            df = df.withColumn(day, F.to_date("observed_at"))
+        laid = df.hint("rebalance", day).sortWithinPartitions(day, "product_key")
+        laid.write.partitionBy(day).mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path).select(df.columns)
+
+
 def build_warehouse(
     spark: SparkSession,
     folder: str,
@@ -37,10 +53,8 @@ def build_warehouse(
         "stg_retailers": staging.stage_retailers(retailer_seed),
     }
 
-    def table(name: str, df: DataFrame) -> DataFrame:
-        path = f"{folder}/{name}"
-        df.write.mode("overwrite").parquet(path)
-        models[name] = spark.read.schema(df.schema).parquet(path)
+    def table(name: str, df: DataFrame, day: str | None = None) -> DataFrame:
+        models[name] = write_table(df, f"{folder}/{name}", day)
         return models[name]
 
     name = "int_inventory_events_deduplicated"
@@ -56,12 +70,13 @@ def build_warehouse(
         table("dim_retailer", marts.dim_retailer(models["stg_retailers"])),
         table("dim_date", marts.dim_date(spark, as_of)),
     )
-    table("fact_inventory_observation", marts.fact_inventory_observation(observations, *dims))
-    table("fact_inventory_state_change", marts.fact_inventory_state_change(changes, *dims))
-    table("fact_price_observation", marts.fact_price_observation(prices, *dims))
+    table("fact_inventory_observation", marts.fact_inventory_observation(observations, *dims), DAY)
+    table("fact_inventory_state_change", marts.fact_inventory_state_change(changes, *dims), DAY)
+    table("fact_price_observation", marts.fact_price_observation(prices, *dims), DAY)
     table(
         "mart_daily_product_availability",
         marts.mart_daily_product_availability(daily, *dims[:2]),
+        "observation_date",
     )
     table(
         "mart_retailer_summary",

@@ -882,6 +882,11 @@ QUERIES["R12_transition_totals"] = f"""
 select count(*) filter (restocked)::bigint as restocks,
        count(*) filter (went_out_of_stock)::bigint as stock_outs
 from ({_newest("")})"""
+QUERIES["R12_all_transition_totals"] = """
+select count(*) filter (restocked)::bigint as restocks,
+       count(*) filter (went_out_of_stock)::bigint as stock_outs
+from fact_inventory_state_change
+where observed_at between timestamp '2024-01-05' and timestamp '2024-01-25'"""
 QUERIES["R13_price_change_points"] = "select * from one_price_history where price_changed"
 QUERIES["R14_lowest_availability"] = (
     f"select * from ({_availability('')}) "

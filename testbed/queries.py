@@ -9,11 +9,11 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelflog.functions import event_id, payload_hash, read_utc, utc_text
+from shelflog.functions import event_id, payload_hash, read_utc, surrogate_key, utc_text
 from shelflog.operators import normalize, quality, staging
 from shelflog.operators.runs import build_manifests, ingestion_summary, run_metrics
 from shelflog.plans import intermediate, load, marts, reports
-from shelflog.plans.warehouse import build_warehouse
+from shelflog.plans.warehouse import build_warehouse, write_table
 from shelflog.session import materialize, scratch_path
 from shelflog.sources import landing, seeds
 from shelflog.streaming.ingest import landed_events_stream, stream_observations
@@ -113,6 +113,14 @@ class Models:
             self.daily, self.dim_product, self.dim_retailer
         )
 
+    def laid_out(self, attribute: str, day: str) -> DataFrame:
+        """A fact or mart as the warehouse keeps it."""
+        return write_table(getattr(self, attribute), scratch_path(self.spark, attribute), day)
+
+    @property
+    def daily_table(self) -> DataFrame:
+        return self.laid_out("mart_daily", "observation_date")
+
     @property
     def mart_retailer(self) -> DataFrame:
         return marts.mart_retailer_summary(self.dim_retailer, self.stg_runs, self.daily, AS_OF)
@@ -686,9 +694,9 @@ CHOSEN = ["TARGET", "GAMESTOP"]
 CHOSEN_PRODUCTS = ["3", "4", "5", "7", "8", "9", "12"]
 
 
-def _busiest(models: Models) -> str:
-    """A product key present at every scale."""
-    return models.dim_product.where("retailer_product_id = '7'").first()["product_key"]
+def _busiest(_: Models) -> Column:
+    """The key of a product present at every scale."""
+    return surrogate_key(F.lit("GAMESTOP"), F.lit("7"))
 
 
 def _report(name: str, build: Callable[[Models], DataFrame]) -> None:
@@ -696,13 +704,13 @@ def _report(name: str, build: Callable[[Models], DataFrame]) -> None:
 
 
 def _by_product(m: Models) -> DataFrame:
-    wanted = m.dim_product.where(F.col("retailer_product_id").isin(CHOSEN_PRODUCTS))
-    chosen = [row["product_key"] for row in wanted.collect()]
-    return reports.availability_by_product(m.mart_daily, START, END, CHOSEN + ["WALMART"], chosen)
+    sources = ["TARGET", "WALMART", "POKEMON_CENTER", "GAMESTOP"]
+    chosen = [surrogate_key(F.lit(sources[int(p) % 4]), F.lit(p)) for p in CHOSEN_PRODUCTS]
+    return reports.availability_by_product(m.daily_table, START, END, CHOSEN + ["WALMART"], chosen)
 
 
 def _recent(m: Models, chosen: list[str] | None = None) -> DataFrame:
-    return reports.recent_state_changes(m.fact_state_change, m.dim_product, START, END, chosen)
+    return reports.recent_state_changes(m.laid_out("fact_state_change", reports.DAY), m.dim_product, START, END, chosen)
 
 
 _report("R1_overview_totals", lambda m: reports.overview_totals(m.mart_retailer))
@@ -712,37 +720,43 @@ _report("R4_products", lambda m: reports.products(m.dim_product, CHOSEN))
 _report("R4_products_all", lambda m: reports.products(m.dim_product))
 _report(
     "R5_availability_by_product",
-    lambda m: reports.availability_by_product(m.mart_daily, START, END),
+    lambda m: reports.availability_by_product(m.daily_table, START, END),
 )
 _report(
     "R6_availability_timeline",
-    lambda m: reports.availability_timeline(m.mart_daily, _busiest(m), START, END),
+    lambda m: reports.availability_timeline(m.daily_table, _busiest(m), START, END),
 )
-_report("R7_price_history", lambda m: reports.price_history(m.fact_price, _busiest(m), START, END))
+_report("R7_price_history", lambda m: reports.price_history(m.laid_out("fact_price", reports.DAY), _busiest(m), START, END))
 _report("R8_recent_state_changes", lambda m: _recent(m, CHOSEN))
 _report(
     "R9_daily_observation_volume",
-    lambda m: reports.daily_observation_volume(m.fact_observation, START, END),
+    lambda m: reports.daily_observation_volume(m.laid_out("fact_observation", reports.DAY), START, END),
 )
 _report("R10_membership_filters", _by_product)
 _report("R11_stale_sources", lambda m: reports.stale_sources(m.mart_retailer))
 _report("R12_transition_totals", lambda m: reports.transition_totals(_recent(m)))
+_report(
+    "R12_all_transition_totals",
+    lambda m: reports.transition_totals(
+        reports.within(m.laid_out("fact_state_change", reports.DAY), START, END)
+    ),
+)
 _report(
     "R13_price_change_points",
     lambda m: reports.price_change_points(
-        reports.price_history(m.fact_price, _busiest(m), START, END)
+        reports.price_history(m.laid_out("fact_price", reports.DAY), _busiest(m), START, END)
     ),
 )
 _report(
     "R14_lowest_availability",
     lambda m: reports.lowest_availability(
-        reports.availability_by_product(m.mart_daily, START, END)
+        reports.availability_by_product(m.daily_table, START, END)
     ),
 )
 _report("R15_filtered_summary", lambda m: reports.retailer_summary(m.mart_retailer, CHOSEN))
 _report(
     "R15_filtered_volume",
-    lambda m: reports.daily_observation_volume(m.fact_observation, START, END, CHOSEN),
+    lambda m: reports.daily_observation_volume(m.laid_out("fact_observation", reports.DAY), START, END, CHOSEN),
 )
 _report(
     "X1_outages",

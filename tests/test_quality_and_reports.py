@@ -5,6 +5,7 @@ import pytest
 from shelflog.operators import quality
 from shelflog.operators.quality import Check
 from shelflog.plans import marts, reports
+from shelflog.plans.warehouse import write_table
 
 
 def test_suite_declares_all_checks():
@@ -109,3 +110,18 @@ def test_retailers_without_runs_stay(spark):
     assert total["total_runs"] == 2 and total["overall_success_rate_pct"] == 50.0
     empty = reports.overview_totals(summary.where("false")).first()
     assert empty["total_runs"] is None
+
+
+def test_reports_open_only_the_days_asked_for(spark, tmp_path):
+    rows = [(f"k{i % 3}", f"s{i % 2}", "n", "c", date(2024, 1, 1 + i % 28), 50.0, i) for i in range(200)]
+    columns = "product_key string, source string, product_name string, category string, observation_date date, availability_pct double, observation_count int"
+    mart = write_table(spark.createDataFrame(rows, columns), str(tmp_path / "mart"), "observation_date")
+    facts = spark.createDataFrame([(f"k{i % 3}", "s", datetime(2024, 1, 1 + i % 28, 5)) for i in range(200)], "product_key string, source string, observed_at timestamp_ntz")
+    fact = write_table(facts, str(tmp_path / "fact"), reports.DAY)
+    span = date(2024, 1, 5), date(2024, 1, 9)
+    for df in (reports.availability_by_product(mart, *span), reports.daily_observation_volume(fact, *span)):
+        df.collect()
+        plan = df._jdf.queryExecution().toString()
+        assert any("PartitionFilters: [" in line and "2024-01-05" in line.split("PartitionFilters")[1].split("PushedFilters")[0] for line in plan.splitlines() if "PartitionFilters: [" in line)
+    want = reports.daily_observation_volume(facts, *span).collect()
+    assert reports.daily_observation_volume(fact, *span).collect() == want
