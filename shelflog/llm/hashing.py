@@ -18,6 +18,12 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
+def _powers(base: int, n: int) -> np.ndarray:
+    out = np.full(n + 1, base, np.uint64)
+    out[0] = 1
+    return np.cumprod(out, dtype=np.uint64)
+
+
 class Powers:
     """Powers of the base and of its inverse, grown as needed."""
 
@@ -27,8 +33,7 @@ class Powers:
     def get(self, n: int) -> tuple[np.ndarray, np.ndarray]:
         if len(self.up) < n:
             size = max(n, 2 * len(self.up))
-            self.up = np.cumprod(np.concatenate([[1], np.full(size, _BASE, np.uint64)]).astype(np.uint64), dtype=np.uint64)
-            self.down = np.cumprod(np.concatenate([[1], np.full(size, _INVERSE, np.uint64)]).astype(np.uint64), dtype=np.uint64)
+            self.up, self.down = _powers(_BASE, size), _powers(_INVERSE, size)
         return self.up, self.down
 
 

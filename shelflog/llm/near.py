@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import hashlib
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,10 +18,10 @@ from shelflog.llm.hashing import Powers, Spans, mix, symbols, word_hashes
 from shelflog.session import materialize
 
 SHINGLE = 5
-SKETCHES = 24
-KEPT = 2  # k-mers in a sketch
+SKETCHES = 32
+KEPT = 3  # k-mers in a sketch
 SIMILARITY = 0.8
-LEADERS_GROW = 32
+LEADERS_GROW = 256
 _MATRIX = 1 << 21  # hashes held at once
 
 
@@ -77,65 +76,59 @@ class OrderMinHash:
         return {"key": key, "words": len(ids), "sketch": sketch.view(np.int64).tolist()}
 
 
-def banded_distance(a: list, b: list, most: int) -> int | None:
-    """Edit distance of two sequences if it is at most ``most``, else None.
+class Aligner:
+    """Edit distance to one sequence of words, within a band around the main diagonal.
 
-    Only diagonals within ``most`` of the main one are followed; for each number of edits the
-    furthest cell of each diagonal is kept. Equal stretches are compared in growing slices.
+    A column of the band is two whole numbers, one bit per cell: where a cell is one more and
+    where it is one less than the cell above. A new column follows from the last by a few
+    operations on whole numbers (a band-wise form of Myers' bit-parallel algorithm), and the
+    distance is counted along the diagonal that ends in the last cell.
     """
-    n, m = len(a), len(b)
-    if abs(n - m) > most:
-        return None
-    # At most so many words can be matched, wherever they stand.
-    if max(n, m) - sum((Counter(a) & Counter(b)).values()) > most:
-        return None
-
-    def slide(i: int, j: int) -> int:
-        size = 8
-        while i < n and j < m:
-            if a[i : i + size] == b[j : j + size] and i + size <= n and j + size <= m:
-                i, j, size = i + size, j + size, 2 * size
-            elif size > 1:
-                size //= 2 if size > 1 else 1
-                if size <= 4:
-                    while i < n and j < m and a[i] == b[j]:
-                        i, j = i + 1, j + 1
-                    return i
-            else:
-                return i
-        return i
-
-    goal = n - m
-    furthest = {0: slide(0, 0)}
-    if goal == 0 and furthest[0] == n:
-        return 0
-    for edits in range(1, most + 1):
-        now = {}
-        for d in range(-edits, edits + 1):
-            # What is left at least to reach the goal must fit into the band.
-            if abs(d - goal) > most - edits:
-                continue
-            i = max(
-                furthest.get(d, -1) + 1 if d in furthest else -1,
-                furthest[d - 1] + 1 if d - 1 in furthest else -1,
-                furthest.get(d + 1, -1),
-            )
-            if i < 0:
-                continue
-            i = min(i, n, m + d)
-            if i < max(0, d):
-                continue
-            now[d] = slide(i, i - d)
-        if now.get(goal, -1) >= n:
-            return edits
-        furthest = now
-    return None
+
+    def __init__(self, sequence: list):
+        self.size = len(sequence)
+        self.places: dict = {}
+        for i, word in enumerate(sequence):
+            self.places[word] = self.places.get(word, 0) | 1 << i
+
+    def distance(self, other: list, most: int) -> int | None:
+        """The distance to ``other`` if it is at most ``most``, else None."""
+        goal = self.size - len(other)
+        if abs(goal) > most:
+            return None
+        cells = (1 << 2 * most + 1) - 1
+        # Bit b of column j is row b + j - most; above row 1 all cells of a column are equal.
+        more, less = cells ^ (1 << most) - 1, 0
+        followed = 1 << goal + most
+        found = abs(goal)
+        places = self.places.get
+        for j, word in enumerate(other, 1):
+            equal = places(word, 0)
+            shift = j - most - 1
+            equal = (equal >> shift if shift >= 0 else equal << -shift) & cells
+            same = ((equal & more) + more ^ more | equal | less) & cells
+            right_more = less | cells & ~(same | more)
+            right_less = same & more
+            if not same & followed and j + goal >= 1:
+                found += 1
+                if found > most:
+                    return None
+            below = same >> 1
+            more, less = right_less | cells & ~(below | right_more), below & right_more
+        return found
+
+
+def banded_distance(a: list, b: list, most: int) -> int | None:
+    return Aligner(a).distance(b, most)
+
+
+def allowed(n: int, m: int, least: float) -> int:
+    """Most edits at which 1 - edits / longer length is still ``least``."""
+    return int(max(n, m) * (1 - least) + 1e-9)
 
 
 def similar(a: list, b: list, least: float = SIMILARITY) -> bool:
-    """Whether 1 - distance / longer length is at least ``least``."""
-    longer = max(len(a), len(b))
-    return banded_distance(a, b, int(longer * (1 - least) + 1e-9)) is not None
+    return banded_distance(a, b, allowed(len(a), len(b), least)) is not None
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
@@ -145,8 +138,14 @@ def _verified(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
     both = pairs.join(left, "a").join(right, "b").select("a", "b", F.col("text_a").cast("binary"), F.col("text_b").cast("binary"))
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, aligner = None, Aligner([])  # pairs come sorted by b
         for batch in batches:
-            ok = [similar(words(x.as_py()), words(y.as_py()), least) for x, y in zip(batch.column(2), batch.column(3))]
+            ok = []
+            for b, x, y in zip(batch.column(1).to_pylist(), batch.column(2), batch.column(3)):
+                if b != key:
+                    key, aligner = b, Aligner(words(y.as_py()))
+                other = words(x.as_py())
+                ok.append(aligner.distance(other, allowed(aligner.size, len(other), least)) is not None)
             yield batch.select([0, 1]).filter(pa.array(ok, pa.bool_()))
 
     return both.mapInArrow(check, "a binary, b binary")
@@ -208,7 +207,7 @@ def near_classes(
     doc_id in it, and that row is ``kept``.
 
     All nodes with a sketch are compared with one leader, then nodes of the same sketch that
-    are still in different components with 32 leaders, with 1024, and so on until no sketch
+    are still in different components with 256 leaders, and so on until no sketch
     has an uncompared pair across components. A large group so costs one comparison per
     node, and no cap hides a pair.
 
