@@ -371,7 +371,7 @@ def accepted(examined: DataFrame) -> DataFrame:
     )
 
 
-def rejected(examined: DataFrame) -> DataFrame:
+def rejected(examined: DataFrame, excerpt_length: int = EXCERPT_LENGTH) -> DataFrame:
     """What was wrong, with a short excerpt of the payload."""
     bad = examined.where("reason <> ''")
     return bad.select(
@@ -379,6 +379,6 @@ def rejected(examined: DataFrame) -> DataFrame:
         "source",
         "reason",
         "retailer_product_id",
-        F.substring(F.to_json("raw_response"), 1, EXCERPT_LENGTH).alias("raw_excerpt"),
+        F.substring(F.to_json("raw_response"), 1, excerpt_length).alias("raw_excerpt"),
         F.col("extracted_at").alias("occurred_at"),
     )

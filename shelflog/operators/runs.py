@@ -35,7 +35,10 @@ def first_reasons(examined: DataFrame, limit: int = REASONS_KEPT) -> DataFrame:
 
 
 def build_manifests(
-    runs: DataFrame, examined: DataFrame, pipeline_version: str = "0.1.0"
+    runs: DataFrame,
+    examined: DataFrame,
+    pipeline_version: str = "0.1.0",
+    reasons_kept: int = REASONS_KEPT,
 ) -> DataFrame:
     """``runs`` (run_id, source, observed_at, started_at, completed_at) with their outcome.
 
@@ -47,7 +50,7 @@ def build_manifests(
         F.count_if(good).alias("normalized"),
         F.count_if(~good).alias("rejected"),
     )
-    outcome = counts.join(first_reasons(examined), "ingestion_run_id", "left").withColumnRenamed(
+    outcome = counts.join(first_reasons(examined, reasons_kept), "ingestion_run_id", "left").withColumnRenamed(
         "ingestion_run_id", "run_id"
     )
     received = F.coalesce("received", F.lit(0))
