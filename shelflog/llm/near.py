@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from itertools import combinations
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -17,23 +19,69 @@ from shelflog.llm.decontaminate import words
 from shelflog.llm.hashing import Powers, Spans, mix, symbols, word_hashes
 from shelflog.session import materialize
 
-SHINGLE = 5
-SKETCHES = 32
-KEPT = 3  # k-mers in a sketch
+SHINGLE = 3
+SKETCHES = 64
+KEPT = 2  # k-mers in a sketch
 SIMILARITY = 0.8
 LEADERS_GROW = 256
 _MATRIX = 1 << 21  # hashes held at once
+_SUBSETS = 100  # most rests of equal length that a short text lists
+
+
+def allowed(n: int, m: int, least: float) -> int:
+    """Most edits at which 1 - edits / longer length is still ``least``."""
+    return int(max(n, m) * (1 - least) + 1e-9)
+
+
+def exact_words(least: float) -> int:
+    """Most words of a text whose rests without the allowed edits are few enough to list."""
+    n = 0
+    while n < _SUBSETS and comb(n + 1, allowed(n + 1, 0, least)) <= _SUBSETS:
+        n += 1
+    return n
+
+
+class Rests:
+    """Hashes of what is left of a short text when some of its words are left out.
+
+    Texts of n >= m words with at most e edits have n - e words in common, in order. So both
+    list all their rests of n - e words, for each n that a partner may have, and no pair of
+    texts with at most ``exact_words`` words is missed.
+    """
+
+    def __init__(self, least: float):
+        self.longest = exact_words(least)
+        self.sizes = {n: n - allowed(n, 0, least) for n in range(1, self.longest + 1)}
+        self.chosen: dict = {}
+
+    def __call__(self, ids: np.ndarray) -> np.ndarray:
+        n = len(ids)
+        if n > self.longest:
+            return np.empty(0, np.uint64)
+        out = []
+        for size in {self.sizes[m] for m in range(n, self.longest + 1)}:
+            if size > n:
+                continue
+            if (n, size) not in self.chosen:
+                self.chosen[n, size] = np.array(list(combinations(range(n), size)), np.int64).reshape(-1, size)
+            at = self.chosen[n, size]
+            rest = mix(np.full(len(at), (1 << 32) + size, np.uint64))
+            for j in range(size):
+                rest = mix(rest * np.uint64(0x9E3779B97F4A7C15) + ids[at[:, j]])
+            out.append(rest)
+        return np.unique(np.concatenate(out))
 
 
 class OrderMinHash:
     """Sketches of whole texts: of each of ``sketches`` random orders the least k-mers.
 
     A k-mer is ``k`` words with the number of its earlier occurrences; the chosen ones are
-    listed as they stand in the text, and their hash is the sketch.
+    listed as they stand in the text, and their hash is the sketch. The ``Rests`` of a short
+    text are added to its sketches.
     """
 
-    def __init__(self, k: int = SHINGLE, sketches: int = SKETCHES, kept: int = KEPT):
-        self.k, self.kept = k, kept
+    def __init__(self, k: int = SHINGLE, sketches: int = SKETCHES, kept: int = KEPT, similarity: float = SIMILARITY):
+        self.k, self.kept, self.rests = k, kept, Rests(similarity)
         self.seeds = mix(np.arange(1, sketches + 1, dtype=np.uint64)) | np.uint64(1)
         self.powers, self.symbols = Powers(), symbols()
         self.letters = np.zeros(256, bool)
@@ -72,6 +120,7 @@ class OrderMinHash:
         sketch = mix(np.arange(len(self.seeds), dtype=np.uint64) + np.uint64(1))
         for j in range(kept):
             sketch = mix(sketch * np.uint64(0x9E3779B97F4A7C15) + grams[chosen[:, j]])
+        sketch = np.concatenate([sketch, self.rests(ids)])
         key = hashlib.blake2b(joined, digest_size=16).digest()
         return {"key": key, "words": len(ids), "sketch": sketch.view(np.int64).tolist()}
 
@@ -122,11 +171,6 @@ def banded_distance(a: list, b: list, most: int) -> int | None:
     return Aligner(a).distance(b, most)
 
 
-def allowed(n: int, m: int, least: float) -> int:
-    """Most edits at which 1 - edits / longer length is still ``least``."""
-    return int(max(n, m) * (1 - least) + 1e-9)
-
-
 def similar(a: list, b: list, least: float = SIMILARITY) -> bool:
     return banded_distance(a, b, allowed(len(a), len(b), least)) is not None
 
@@ -201,7 +245,8 @@ def near_classes(
 
     Words are taken as in the benchmark search (small letters, no punctuation). Texts with
     equal words are one node, so copies cost nothing further. Nodes that share an Order
-    MinHash sketch of five-word k-mers are candidates; a pair is linked if the banded
+    MinHash sketch of three-word k-mers are candidates, and so are nodes of few words (14 at
+    a similarity of 0.8) that share a rest (``Rests``), which misses no pair of them; a pair is linked if the banded
     alignment of its whole word sequences has a similarity (1 - edits / longer length) of
     ``similarity`` or more. Classes are the components of the links; class_id is the least
     doc_id in it, and that row is ``kept``.
@@ -213,16 +258,19 @@ def near_classes(
 
     Cases: a text without words (null, empty, only signs) is a class of its own and kept. Of
     rows that agree in doc_id and words one is kept. A null doc_id comes after all others.
-    Texts under five words have one k-mer. An empty table gives no rows. Other columns are
+    Texts under three words have one k-mer. An empty table gives no rows. Other columns are
     not read.
     """
     rows = id_and_text(docs, id_col, text_col)
-    sketched = append_column(rows, "text", "node", SKETCHED, lambda: OrderMinHash(sketches=sketches))
+    sketched = append_column(rows, "text", "node", SKETCHED, lambda: OrderMinHash(sketches=sketches, similarity=similarity))
     nodes = materialize(sketched.select("doc_id", "node.*"), "sketches")
     distinct = nodes.where("words > 0").groupBy("key").agg(F.first("words").alias("words"), F.first("sketch").alias("sketch"))
-    banded = materialize(distinct.select("key", "words", F.explode("sketch").alias("band")), "bands")
-    shared = banded.groupBy("band").count().where("count > 1").select("band")
-    members = materialize(banded.join(shared, "band", "left_semi"), "members")
+    banded = materialize(distinct, "distinct").select("key", "words", F.explode("sketch").alias("band"))
+    shared = materialize(banded.groupBy("band").count().where("count > 1").select("band"), "shared-bands")
+    # Most bands are alone; those surely alone don't move.
+    band_pages, band_bits = known_keys(shared, "band", "band-filter")
+    maybe = probe(banded, band_pages, "band", band_bits, "hit").where("hit").drop("hit")
+    members = materialize(maybe.join(shared, "band", "left_semi"), "members")
     needed = materialize(members.select("key").distinct(), "candidates")
     pages, n_bits = known_keys(needed, "key", "candidate-filter")
     first = nodes.where("words > 0").groupBy("key").agg(F.min("doc_id").alias("doc_id"))

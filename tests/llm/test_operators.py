@@ -319,6 +319,45 @@ def test_near_classes_against_all_pairs(spark, odd, none):
     assert stay.columns == odd.columns and stay.count() == 7
 
 
+def test_near_classes_with_spread_edits_and_short_texts(spark):
+    r = random.Random(11)
+    pairs = []
+    for i in range(60):  # at random places, similarity 0.8, 0.85 and 0.9
+        a = [f"w{r.randrange(5000)}" for _ in range(100)]
+        b = a[:]
+        for at in r.sample(range(100), (20, 15, 10)[i % 3]):
+            b[at] = f"edit{i}at{at}"
+        pairs.append((a, b))
+    for i in range(60):  # every tenth word
+        a = [f"w{r.randrange(5000)}" for _ in range(100)]
+        pairs.append((a, [f"edit{i}at{k}" if k % 10 == 5 else w for k, w in enumerate(a)]))
+    for n in range(5, 15):  # in the middle, one word off or another
+        a = [f"short{n}w{k}" for k in range(n)]
+        pairs += [(a, a[: n // 2] + a[n // 2 + 1 :]), ([w + "o" for w in a], [w + "o" * (k != n // 2) for k, w in enumerate(a)])]
+        pairs.append(([w + "l" for w in a], [w + "l" * (n < 10 and k != 0 or k % 7 != 3) for k, w in enumerate(a)]))
+    assert all(near.similar(a, b) for a, b in pairs)
+    docs = [(2 * i + j, " ".join(w)) for i, p in enumerate(pairs) for j, w in enumerate(p)]
+    docs += [(10_001, "one two three four five six"), (10_002, "one two three five six seven"), (10_003, "lone")]
+    got = {x.doc_id: x.class_id for x in near.near_classes(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert got == {d: d if d > 10_000 else d // 2 * 2 for d, _ in docs}
+
+
+def test_rests_miss_no_short_pair():
+    r, shorts = random.Random(3), near.OrderMinHash()
+    linked = 0
+    for _ in range(3000):
+        a = [r.choice("abcdef") for _ in range(r.randint(1, 14))]
+        b = a[:]
+        for _ in range(r.randint(1, 3)):
+            i = r.randint(0, len(b))
+            b[i : i + r.randint(0, 1)] = [r.choice("abcdef")] * r.randint(0, 1)
+        if b and len(b) <= 14 and near.similar(a, b):
+            linked += 1
+            x, y = (shorts.one(" ".join(t).encode())["sketch"] for t in (a, b))
+            assert set(x) & set(y)
+    assert near.exact_words(0.8) == 14 and linked > 500
+
+
 def test_language(spark, odd, none):
     letters = {"xx": "abcde", "yy": "vwxyz", "zz": "mnopq"}
     r = random.Random(2)
