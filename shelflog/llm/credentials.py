@@ -114,9 +114,9 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     candidate is reported only if a complementary part begins within ``scope`` code points
     before its start or after its end: an identifier (access, user) or endpoint for a
     secret, a secret (assign, weak, opaque) for an identifier or endpoint. Parts are joined
-    as intervals on (document, scope cell); a part stands in each cell it reaches, so a cell
-    holds no more parts than fit in its few hundred characters, however long or frequent a
-    text is. Spans are arrays of (start, kind, end); ``spelt`` writes them as text.
+    as intervals on (document, scope cell); a part of either side stands in each cell from its
+    start to ``scope`` after its end, so a cell holds no more parts than fit in its few hundred
+    characters, however long or frequent a text is, and a part may be of any length. Spans are arrays of (start, kind, end); ``spelt`` writes them as text.
 
     Cases: a null text is empty; empty texts and tables have no spans. Rows equal in doc_id
     and text get the same spans each. A null doc_id is a value like any other. Other columns
@@ -172,8 +172,11 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         return F.when(secret, 0).when(other, 1)
 
     candidate = several.select("row", F.explode("weak").alias("part")).select("row", "part.*")
-    candidate = candidate.select("*", role(F.col("kind")).alias("role"), F.expr(f"start div {scope}").alias("cell"))
-    reach = F.sequence(F.expr(f"(start - {scope}) div {scope} - 1"), F.expr(f"(end + {scope}) div {scope}"))
+    # Of two parts within ``scope`` the later start lies in the reach of the earlier part or at
+    # its edge, so each stands in all cells from its start to its end and ``scope`` further.
+    candidate = candidate.withColumn("role", role(F.col("kind")))
+    candidate = candidate.withColumn("cell", F.explode(F.sequence(F.expr(f"start div {scope}"), F.expr(f"(end + {scope}) div {scope}"))))
+    reach = F.sequence(F.expr(f"start div {scope}"), F.expr(f"(end + {scope}) div {scope}"))
     partner = (
         several.select("row", F.explode(F.concat("base", "weak")).alias("part"))
         .select("row", "part.*")
@@ -192,6 +195,8 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             & near,
             "left_semi",
         )
+        .select("row", "start", "kind", "end")
+        .distinct()
         .groupBy("row")
         .agg(F.collect_list(F.struct("start", "kind", "end")).alias("linked"))
     )

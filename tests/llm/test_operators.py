@@ -255,6 +255,27 @@ def test_secrets(spark, odd, none):
     assert "Python" not in plan and "Arrow" not in plan
 
 
+def test_secrets_link_after_long_parts(spark):
+    docs, want = [], {}
+    for size in (32, 320, 620, 700, 900, 1600, 4000):
+        for gap in (1, 150, 299, 300, 301):
+            for lead in (0, 37, 290):
+                key = ("Ab3" * size)[:size]
+                url = "https://" + "xyz" * (size // 3 - 2)
+                # The partner begins ``gap`` after the end of the long part, or ends before it.
+                texts = [
+                    "." * lead + key + " " * gap + "user=alice",
+                    "." * lead + "user=alice" + " " * gap + key,
+                    "." * lead + url + " " * gap + "token=short12",
+                ]
+                for kinds, text in zip((("opaque", "user"), ("user", "opaque"), ("endpoint", "weak")), texts):
+                    docs.append((len(docs), text))
+                    want[len(want)] = list(kinds) if gap <= 300 else []
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    got = {r.doc_id: [s.split(":")[0] for s in r.spans.split(",") if s] for r in credentials.digest(credentials.scan_secrets(df)).collect()}
+    assert got == want
+
+
 def distance(a, b):
     last = list(range(len(b) + 1))
     for i, x in enumerate(a, 1):
