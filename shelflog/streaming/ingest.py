@@ -12,10 +12,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from shelflog.operators.merge import upsert
+from shelflog.operators.merge import newest_moment, since_lookback, upsert
 from shelflog.operators.staging import stage_events
 from shelflog.plans.intermediate import deduplicated
-from shelflog.plans.load import DAY, refresh_observations
+from shelflog.plans.load import DAY, OBSERVATIONS
 from shelflog.schemas import LANDED_EVENT, PARTITIONS
 from shelflog.sources.landing import EVENTS, conform_events
 
@@ -42,17 +42,17 @@ def stream_observations(
 ) -> StreamingQuery:
     """Upsert a stream of raw-table rows into the observation table until it is drained.
 
-    A replayed batch changes nothing. Each batch applies the 48-hour lookback of the batch
-    job, so a backlog should be drained in the order of its days or with ``full``, which takes
-    rows however late they are.
+    A replayed batch changes nothing. All batches apply the 48-hour lookback of the batch job
+    to the newest moment stored before the first of them, so neither the size nor the order of
+    the batches changes which rows are taken; an empty table is filled completely. ``full``
+    takes rows however late they are; the rest of a drain that failed midway needs it, as the
+    next call sees the rows that were already stored.
     """
+    newest = None if full else newest_moment(raw_events.sparkSession, table, OBSERVATIONS)
 
     def apply(batch: DataFrame, _: int) -> None:
-        staged = stage_events(batch)
-        if full:
-            upsert(deduplicated(staged), table, "event_id", day=DAY, key_fixes_day=True)
-        else:
-            refresh_observations(staged, table)
+        recent = since_lookback(stage_events(batch), newest)
+        upsert(deduplicated(recent), table, "event_id", day=DAY, key_fixes_day=True)
 
     return (
         raw_events.writeStream.foreachBatch(apply)

@@ -557,7 +557,7 @@ def incremental_observations(spark, sf_dir):
 def streamed_observations(spark, sf_dir):
     """The zone as a stream: first what was landed, then late rows that the lookback refuses."""
     root, table = adapter.landed(spark, sf_dir, landing.EVENTS), scratch_path(spark, "observations")
-    stream = landed_events_stream(spark, root, files_per_batch=1_000_000)
+    stream = landed_events_stream(spark, root, files_per_batch=100)
     checkpoint = scratch_path(spark, "stream")
     stream_observations(stream, table, checkpoint).awaitTermination()
     late = landing.scan_events(spark, root).where("observed_at < timestamp_ntz'2024-01-10'")

@@ -1,4 +1,6 @@
+import glob
 import itertools
+import json
 import os
 from datetime import datetime, timedelta
 
@@ -197,6 +199,35 @@ def test_stream_is_drained_once(spark, tmp_path):
     assert set(observed(spark, table)) == {"e0", "e1", "e2", "e3", "e4"}
 
 
+def test_stream_takes_old_days_in_later_batches(spark, tmp_path):
+    root, table = str(tmp_path / "zone"), str(tmp_path / "t")
+    landing.write_runs(root, **sample_runs(spark))
+    files = sorted(glob.glob(f"{root}/{landing.EVENTS}/**/*.json*", recursive=True))
+    source = files[0]
+    lines = open(source).read().splitlines()
+
+    def land(name, n, modified):  # one file a day, the newest day modified first
+        rows = [json.loads(line) for line in lines]
+        for i, row in enumerate(rows):
+            row["event_id"], row["observed_at"] = f"{name}{i}", day(n).strftime("%Y-%m-%dT%H:%M:%SZ")
+        path = os.path.join(os.path.dirname(source), f"{name}.json")
+        with open(path, "w") as out:
+            out.write("\n".join(json.dumps(r) for r in rows))
+        os.utime(path, (modified, modified))
+
+    def drain():
+        stream = landed_events_stream(spark, root, 1)
+        stream_observations(stream, table, str(tmp_path / "checkpoint")).awaitTermination()
+
+    for k, name in enumerate(("dayC", "dayB", "dayA")):
+        land(name, 300 - 40 * k, 1_000_000 + 1000 * k)
+    drain()
+    assert {e[:4] for e in observed(spark, table)} >= {"dayA", "dayB", "dayC"}
+    land("late", 100, 2_000_000)  # a later drain still refuses what is older than its lookback
+    drain()
+    assert not any(e.startswith("late") for e in observed(spark, table))
+
+
 def test_watermark_deduplication_keeps_one_copy(spark, tmp_path):
     folder, out = str(tmp_path / "in"), str(tmp_path / "out")
     rows = [("a", day(0), NOW, 1), ("a", day(0), NOW, 2), ("b", day(0, 1), NOW, 3)]
