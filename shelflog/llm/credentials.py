@@ -113,7 +113,7 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     candidates: user names, short secret values, opaque mixed strings and endpoints. A weak
     candidate is reported only if a complementary part begins within ``scope`` code points
     before its start or after its end: an identifier (access, user) or endpoint for a
-    secret, a secret (assign, weak, opaque) for an identifier or endpoint. Parts are joined
+    secret, a secret (assign, hex, weak, opaque) for an identifier or endpoint. Parts are joined
     as intervals on (document, scope cell); a part of either side stands in each cell from its
     start to ``scope`` after its end, so a cell holds no more parts than fit in its few hundred
     characters, however long or frequent a text is, and a part may be of any length. Spans are arrays of (start, kind, end); ``spelt`` writes them as text.
@@ -167,7 +167,7 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     several = parts.where((F.size("weak") > 0) & (F.size("weak") + F.size("base") > 1)).dropDuplicates(["row"])
 
     def role(kind: Column) -> Column:
-        secret = kind.isin([KINDS.index(k) for k in ("assign", "weak", "opaque")])
+        secret = kind.isin([KINDS.index(k) for k in ("assign", "hex", "weak", "opaque")])
         other = kind.isin([KINDS.index(k) for k in ("access", "user", "endpoint")])
         return F.when(secret, 0).when(other, 1)
 

@@ -276,6 +276,14 @@ def test_secrets_link_after_long_parts(spark):
     assert got == want
 
 
+def test_secrets_link_beside_a_hex_key(spark):
+    key = "0af" * 7
+    docs = [(1, f"user: maria {key}"), (2, f"{key} at mysql://db.example:3306/x"), (3, f"user: maria {'x ' * 400} {key}"), (4, f"AKIA{'Z9' * 8} {key}")]
+    rows = credentials.digest(credentials.scan_secrets(spark.createDataFrame(docs, "doc_id long, text string"))).collect()
+    linked = {r.doc_id: [s.split(":")[0] for s in r.spans.split(",")] for r in rows}
+    assert linked == {1: ["user", "hex"], 2: ["hex", "endpoint"], 3: ["hex"], 4: ["access", "hex"]}
+
+
 def distance(a, b):
     last = list(range(len(b) + 1))
     for i, x in enumerate(a, 1):
