@@ -36,7 +36,7 @@ def _with_day(df: DataFrame, day: str | None, moment: str) -> DataFrame:
     return df if day is None else df.withColumn(day, F.col(moment).cast("date"))
 
 
-def _only_days(target: DataFrame, touched: DataFrame, day: str) -> DataFrame:
+def only_days(target: DataFrame, touched: DataFrame, day: str) -> DataFrame:
     """Target rows of the days in ``touched``, whatever their number.
 
     The range of days is a literal filter, so folders outside it are never listed for
@@ -66,24 +66,26 @@ def insert_new(
 ) -> int:
     """Append the rows of ``batch`` whose ``key`` the table does not hold; returns how many.
 
-    Rows already there are left alone. ``newest`` lists the columns deciding between copies
+    Rows already there are left alone; rows without a key are never inserted, as no load could
+    know them again. ``newest`` lists the columns deciding between copies
     inside the batch, so that one is inserted; without it all copies of a new key are.
     ``day`` partitions the table by the date of ``moment``. With ``key_fixes_day`` (ids
     derived from the time) only the days of the batch are compared.
     """
     spark = batch.sparkSession
     columns = [f.name for f in schema if f.name != "loaded_at"]
+    batch = batch.where(F.col(key).isNotNull())
     rows = batch.select(*columns)
     if newest:
         rows = latest_per_key(rows, key, newest)
     rows = _with_day(rows, day, moment)
     stored = T.StructType(schema.fields + ([T.StructField(day, T.DateType())] if day else []))
     target = read_table(spark, path, stored)
-    touched = _with_day(batch.select(moment), day, moment)
     if day and key_fixes_day:
-        target = _only_days(target, touched, day)
+        touched = _with_day(batch.select(moment), day, moment)
+        target = only_days(target, touched, day)
     # Distinct before the join: copies in the table cannot pile up in one task.
-    known = target.where(F.col(key).isNotNull()).select(key).distinct()
+    known = target.select(key).distinct()
     stamp = F.lit(loaded_at.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp_ntz")
     new = rows.join(known, key, "left_anti").withColumn("loaded_at", stamp)
     ordered = new.select(*schema.names, *([day] if day else []))
@@ -96,7 +98,7 @@ def insert_new(
         ordered.write.mode("append").parquet(path)
     after = read_table(spark, path, stored)
     if day and key_fixes_day:
-        after = _only_days(after, touched, day)
+        after = only_days(after, touched, day)
     return after.count() - before
 
 
@@ -174,16 +176,25 @@ def upsert(
             undated = target.where(F.col(day).isNull()).select(key, day)
             touched = touched.union(undated.join(fresh.select(key), key, "left_semi").select(day))
         with temporary_table(touched.distinct(), "upsert-days") as days:
-            kept = _only_days(target, days, day).join(fresh.select(key), key, "left_anti")
-            with temporary_table(kept.unionByName(fresh), "upsert-result") as result:
-                (
-                    result.hint("rebalance", day)
-                    .write.partitionBy(day)
-                    .mode("overwrite")
-                    .option("partitionOverwriteMode", "dynamic")
-                    .parquet(path)
-                )
-                _clear_emptied_days(days, result, path, day)
+            kept = only_days(target, days, day).join(fresh.select(key), key, "left_anti")
+            rewrite_days(kept.unionByName(fresh), path, day, days)
+
+
+def rewrite_days(rows: DataFrame, path: str, day: str, days: DataFrame) -> None:
+    """Let the folders ``days`` of the table at ``path`` hold ``rows``, which may be read from it.
+
+    The rows are written to the shared folder first, as a rewrite must not read what it
+    overwrites. A day without rows is emptied.
+    """
+    with temporary_table(rows, "rewritten-days") as result:
+        (
+            result.hint("rebalance", day)
+            .write.partitionBy(day)
+            .mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .parquet(path)
+        )
+        _clear_emptied_days(days, result, path, day)
 
 
 def _clear_emptied_days(touched: DataFrame, result: DataFrame, path: str, day: str) -> None:

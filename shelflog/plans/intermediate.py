@@ -111,35 +111,52 @@ STATUS_ORDER = [None, "UNKNOWN", "BACKORDER", "PREORDER", "OUT_OF_STOCK", "IN_ST
 
 def daily_inventory(observations: DataFrame) -> DataFrame:
     """Roll-up per series and day, last status of the day included, in one aggregation."""
-    in_stock = F.col("inventory_status") == "IN_STOCK"
-    return (
-        observations.groupBy(*SERIES, day_of(F.col("observed_at")).alias("observation_date"))
-        .agg(
-            F.count(F.lit(1)).alias("observation_count"),
-            F.count_if(in_stock).alias("in_stock_observations"),
-            F.min("price").alias("min_price"),
-            F.max("price").alias("max_price"),
-            (F.sum("price").cast("double") / F.nullif(F.count("price"), F.lit(0))).alias(
-                "avg_price"
-            ),
-            F.max("observed_at").alias("last_observed_at"),
-            F.max(_dated_status()).alias("_last"),
-        )
-        .select(
-            *SERIES,
-            "observation_date",
-            "observation_count",
-            "in_stock_observations",
-            share_pct("in_stock_observations", "observation_count").alias("availability_pct"),
-            "min_price",
-            "max_price",
-            "avg_price",
-            "last_observed_at",
-            F.get(F.array(*[F.lit(s).cast("string") for s in STATUS_ORDER]), F.pmod("_last", F.lit(8)).cast("int")).alias("last_status"),
-        )
+    return finish_daily(daily_states(observations))
+
+
+def daily_states(observations: DataFrame) -> DataFrame:
+    """Sums, counts and the dated last status per series and day: what the roll-up is made of."""
+    return observations.groupBy(*SERIES, day_of(F.col("observed_at")).alias("observation_date")).agg(
+        F.count(F.lit(1)).alias("observation_count"),
+        F.count_if(F.col("inventory_status") == "IN_STOCK").alias("in_stock_observations"),
+        F.min("price").alias("min_price"),
+        F.max("price").alias("max_price"),
+        F.sum("price").alias("price_sum"),
+        F.count("price").alias("priced"),
+        F.max("observed_at").alias("last_observed_at"),
+        F.max(_dated_status()).alias("dated_status"),
     )
 
 
+def finish_daily(states: DataFrame) -> DataFrame:
+    statuses = F.array(*[F.lit(s).cast("string") for s in STATUS_ORDER])
+    return states.select(
+        *SERIES,
+        "observation_date",
+        "observation_count",
+        "in_stock_observations",
+        share_pct("in_stock_observations", "observation_count").alias("availability_pct"),
+        "min_price",
+        "max_price",
+        (F.col("price_sum").cast("double") / F.nullif("priced", F.lit(0))).alias("avg_price"),
+        "last_observed_at",
+        F.get(statuses, F.pmod("dated_status", F.lit(8)).cast("int")).alias("last_status"),
+    )
+
+
+def source_days(states: DataFrame, day: str = "observed_date") -> DataFrame:
+    """Per source and day the sum of its products' availability and their number."""
+    # Shares have one decimal, so they are summed as decimals: exact in any order.
+    share = share_pct("in_stock_observations", "observation_count").cast("decimal(4,1)")
+    return states.groupBy("source", day).agg(F.sum(share).alias("share_sum"), F.count(share).alias("shares"))
+
+
+def availability_of(days: DataFrame) -> DataFrame:
+    """Mean over product-days from the partial sums of ``source_days``."""
+    mean = F.sum("share_sum").cast("double") / F.nullif(F.sum("shares"), F.lit(0))
+    return days.groupBy("source").agg(mean.alias("avg_availability_pct"))
+
+
 def _dated_status():
     """Time and status in one whole number, so that the latest is found by a hash aggregate.
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from contextlib import ExitStack
 from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,6 +12,7 @@ from shelflog.operators.merge import LOOKBACK_HOURS, insert_new, newest_moment,
 from shelflog.operators.staging import stage_events
 from shelflog.plans.intermediate import OBSERVATION_COLUMNS, deduplicated
 from shelflog.schemas import INGESTION_RUNS, INVENTORY_EVENTS
+from shelflog.session import temporary_table
 from shelflog.sources import landing
 from pyspark.sql import types as T
 
@@ -46,6 +48,11 @@ def merge_runs(batch: DataFrame, path: str, loaded_at: datetime, dedupe: bool =
     )
 
 
+def merge_bad_lines(batch: DataFrame, path: str, loaded_at: datetime) -> int:
+    """Quarantine bad lines that the table does not hold yet."""
+    return insert_new(batch, path, landing.BAD_LINE, "line_id", loaded_at)
+
+
 def load_landing(
     spark: SparkSession,
     root: str,
@@ -53,39 +60,52 @@ def load_landing(
     runs_path: str,
     loaded_at: datetime,
     combined: bool = False,
+    quarantine_path: str | None = None,
 ) -> DataFrame:
-    """Load everything landed under ``root``; one row of counters.
+    """Load all runs published under ``root``; one row of counters.
 
-    Loading the same files again inserts nothing.
+    Loading the same files again inserts nothing. With bad lines (cut, no JSON object, values
+    of another type, observations without an id) nothing is loaded and ``BadLines`` is raised,
+    unless ``quarantine_path`` names a table for them: then the good lines are loaded and the
+    bad ones are kept there, once each.
     """
-    events = landing.attach_payloads(
-        landing.scan_events(spark, root, combined), landing.scan_payloads(spark, root, combined)
-    )
-    runs = landing.scan_runs(spark, root, combined)
-    counters = (
-        merge_events(events, events_path, loaded_at),
-        merge_runs(runs, runs_path, loaded_at),
-        _count_files(spark, root, landing.EVENTS, combined),
-        _count_files(spark, root, landing.MANIFESTS, combined),
-    )
+    with ExitStack() as scratch:
+        # Parsed once; loads and quarantine read the outcome.
+        lines = {
+            kind: scratch.enter_context(temporary_table(_without_good_text(landing.examined(spark, root, kind, combined)), "landed-lines"))
+            for kind in (landing.EVENTS, landing.PAYLOADS, landing.MANIFESTS)
+        }
+        bad = [landing.bad_lines(rows, kind) for kind, rows in lines.items()]
+        bad = bad[0].unionByName(bad[1]).unionByName(bad[2])
+        diverted = 0
+        if quarantine_path is not None:
+            diverted = merge_bad_lines(bad, quarantine_path, loaded_at)
+        else:
+            first = bad.take(1)
+            if first:
+                where = "/".join(str(first[0][c]) for c in ("kind", "source", "run_id", "file"))
+                raise landing.BadLines(f"{first[0]['fault']} line in {where}: {first[0]['line'][:200]}")
+        events = landing.attach_payloads(
+            landing.conform_events(landing.good_lines(lines[landing.EVENTS])),
+            landing.good_lines(lines[landing.PAYLOADS], "position"),
+        )
+        runs = landing.conform_runs(landing.good_lines(lines[landing.MANIFESTS]))
+        counters = (
+            merge_events(events, events_path, loaded_at),
+            merge_runs(runs, runs_path, loaded_at),
+            landing.list_files(spark, root, landing.EVENTS, combined).count(),
+            landing.list_files(spark, root, landing.MANIFESTS, combined).count(),
+            diverted,
+        )
     return spark.createDataFrame(
         [counters],
         "events_loaded bigint, runs_loaded bigint, events_source_files bigint, "
-        "runs_source_files bigint",
+        "runs_source_files bigint, bad_lines bigint",
     )
 
 
-def _count_files(spark: SparkSession, root: str, kind: str, combined: bool) -> int:
-    if not combined:
-        return landing.list_files(spark, root, kind).count()
-    return (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", landing.COMBINED_FILES[kind])
-        .option("recursiveFileLookup", True)
-        .load(root)
-        .select("path")
-        .count()
-    )
+def _without_good_text(lines: DataFrame) -> DataFrame:
+    return lines.withColumn("value", F.when(F.col("fault").isNotNull(), F.col("value")))
 
 
 def read_raw_events(spark: SparkSession, path: str, with_day: bool = False) -> DataFrame:

@@ -219,13 +219,16 @@ def source_availability(daily: DataFrame) -> DataFrame:
 def mart_retailer_summary(
     retailers: DataFrame,
     staged_runs: DataFrame,
-    daily: DataFrame,
+    daily: DataFrame | None,
     as_of: datetime | None = None,
+    availability: DataFrame | None = None,
 ) -> DataFrame:
+    """One row per retailer; ``availability`` stands in for ``daily`` where it is known already."""
+    availability = source_availability(daily) if availability is None else availability
     good = F.col("successful_runs") + F.col("partial_failure_runs")
     return (
         retailers.join(run_statistics(staged_runs), "source", "left")
-        .join(source_availability(daily), "source", "left")
+        .join(availability, "source", "left")
         .select(
             "retailer_key",
             "source",

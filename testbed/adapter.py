@@ -261,14 +261,17 @@ def whole_runs(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 
 def landed(spark: SparkSession, sf_dir: str, *kinds: str) -> str:
-    """A new landing zone holding the given kinds of files, all if none is given."""
+    """A new landing zone holding the given kinds of files, all if none is given.
+
+    The manifests are always there, as runs without one are not read.
+    """
     root = scratch_path(prepare(spark), "landing")
     if not kinds:
         ingest(spark, root, payloads(spark, sf_dir), catalog(spark, sf_dir), runs(spark, sf_dir))
         return root
     frames = whole_runs(spark, sf_dir)
     names = {landing.PAYLOADS: "payloads", landing.EVENTS: "events", landing.REJECTS: "rejects", landing.MANIFESTS: "manifests"}
-    for kind in kinds:
+    for kind in dict.fromkeys([*kinds, landing.MANIFESTS]):
         frame = frames[names[kind]]
         landing.append_files(landing.with_paths(frame) if kind == landing.MANIFESTS else frame, root, kind)
     return root

@@ -552,6 +552,29 @@ from payloads group by 1"""
 QUERIES["S9_scan_rejects"] = QUERIES["N9_rejected_records"].replace(
     "run_id as ingestion_run_id", "run_id"
 )
+_BAD_EVENT = """'{"event_id": "' || retailer_product_id || '-' || text_time || '"'"""
+CTES["payload_texts"] = "select *, strftime(observed_at, '%Y-%m-%dT%H:%M:%S.%f') || '+00:00' as text_time from payloads"
+CTES["bad_lines"] = f"""
+select source, run_id, case when cast(retailer_product_id as bigint) % 20 = 3 then 'without key' else 'unreadable' end as fault,
+       case cast(retailer_product_id as bigint) % 20
+            when 0 then {_BAD_EVENT}
+            when 1 then {_BAD_EVENT} || ', "quantity_available": "many"}}'
+            when 2 then {_BAD_EVENT} || '}}' || {_BAD_EVENT} || '}}'
+            else '{{"retailer_product_id": "' || retailer_product_id || '"}}' end as line
+from payload_texts where cast(retailer_product_id as bigint) % 20 < 4"""
+QUERIES["S1_bad_lines"] = """
+select 'normalized_events' as kind, source, run_id, fault, line, count(*)::bigint as copies,
+       (select count(*)::bigint from accepted) as good_lines, 0::bigint as loaded_again
+from bad_lines group by all"""
+QUERIES["S8_unfinished_runs"] = """
+select source, ingestion_run_id as run_id, count(*)::bigint as events, 0::bigint as seen_before,
+       (select count(distinct run_id)::bigint from payloads) as open_runs
+from accepted where cast(retailer_product_id as bigint) % 2 = 0 group by 1, 2"""
+QUERIES["S10_artefact_audit"] = """
+select source, run_id, case day(observed_at) when 3 then 'raw_payloads' else 'normalized_events' end as kind,
+       run_id in (select run_id from payloads) and (day(observed_at) = 3
+           or run_id in (select ingestion_run_id from accepted)) as was_booked, true as is_there
+from manifests where day(observed_at) in (3, 17)"""
 CTES["line_digests"] = f"""
 select {_SRC} || '-' || strftime(ts, '%Y%m%d') as run_id, sha256(event_type || event_id) as digest,
        count(*) as copies
@@ -587,9 +610,9 @@ QUERIES["S19_load_counters"] = """
 select 1::integer as load, (select count(*)::bigint from accepted) as events_loaded,
        (select count(*)::bigint from manifests) as runs_loaded,
        (select count(distinct ingestion_run_id)::bigint from accepted) as events_source_files,
-       (select count(*)::bigint from manifests) as runs_source_files
+       (select count(*)::bigint from manifests) as runs_source_files, 0::bigint as bad_lines
 union all select 2, 0, 0, (select count(distinct ingestion_run_id)::bigint from accepted),
-       (select count(*)::bigint from manifests)"""
+       (select count(*)::bigint from manifests), 0"""
 # Landed prices have the raw table's two places.
 CTES["ingested"] = "select * replace (cast(price as decimal(12,2)) as price) from accepted"
 CTES["ingested_daily"] = _daily("ingested")
@@ -606,6 +629,17 @@ QUERIES["L1_streamed_observations"] = """
 select event_id, source, retailer_product_id, cast(price as decimal(12,2))::double as price,
        inventory_status, quantity_available, observed_at
 from accepted"""
+QUERIES["L1_resumed_drain"] = QUERIES["L1_streamed_observations"]
+CTES["first_half"] = "select distinct event_id, observed_at from raw_events where cast(event_id as bigint) % 2 = 0"
+CTES["second_half"] = """
+select event_id, observed_at, observed_at <= (select date_trunc('milliseconds', max(observed_at)) - interval 48 hours
+                                             from first_half) as late
+from raw_events"""
+QUERIES["L2_watermark_deduplication"] = """
+select event_id, observed_at, (select count(*)::bigint from second_half where late) as late_rows from first_half
+union
+select event_id, observed_at, (select count(*)::bigint from second_half where late) as late_rows
+from second_half where not late"""
 QUERIES["L2_repeated_delivery"] = """
 select source, count(*)::bigint as stored, count(distinct event_id)::bigint as ids
 from deduplicated group by 1"""

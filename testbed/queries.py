@@ -16,7 +16,7 @@ from shelflog.plans import intermediate, load, marts, reports
 from shelflog.plans.warehouse import build_warehouse, write_table
 from shelflog.session import materialize, scratch_path
 from shelflog.sources import landing, seeds
-from shelflog.streaming.ingest import landed_events_stream, stream_observations
+from shelflog.streaming.ingest import drain_first_copies, landed_events_stream, stream_observations
 from testbed import adapter
 from testbed.adapter import AS_OF, EARLY_AS_OF
 
@@ -431,6 +431,78 @@ def scan_rejects(spark, sf_dir):
     )
 
 
+def _write_lines(lines: DataFrame, root: str, kind: str) -> None:
+    """Text lines (directory columns, value) into the folders of their runs."""
+    folders = lines.select("value", *landing.LEVELS).hint("rebalance", *landing.LEVELS)
+    folders.write.partitionBy(*landing.LEVELS).mode("append").text(f"{root}/{kind}")
+
+
+def _damaged(spark, sf_dir) -> str:
+    """A landing zone with bad lines among the good ones: every 20th poll leaves one behind."""
+    root = adapter.landed(spark, sf_dir)
+    polls = adapter.payloads(spark, sf_dir).where("cast(retailer_product_id as bigint) % 20 < 4")
+    event = F.concat(F.lit('{"event_id": "'), "retailer_product_id", F.lit('-'), "observed_at", F.lit('"'))
+    of_kind = F.expr("cast(retailer_product_id as bigint) % 20")
+    value = (
+        F.when(of_kind == 0, event)  # cut
+        .when(of_kind == 1, F.concat(event, F.lit(', "quantity_available": "many"}')))
+        .when(of_kind == 2, F.concat(event, F.lit("}"), event, F.lit("}")))
+        .otherwise(F.concat(F.lit('{"retailer_product_id": "'), "retailer_product_id", F.lit('"}')))
+    )
+    _write_lines(landing.with_levels(polls.withColumn("value", value), read_utc(F.col("observed_at")), "run_id"), root, landing.EVENTS)
+    return root
+
+
+@query("S1_bad_lines")
+def bad_lines(spark, sf_dir):
+    """What a damaged zone quarantines; the good lines are those of an undamaged one."""
+    root, tables = _damaged(spark, sf_dir), scratch_path(spark, "raw")
+    paths = f"{tables}/events", f"{tables}/runs"
+    first = load.load_landing(spark, root, *paths, AS_OF, quarantine_path=f"{tables}/bad").first()
+    again = load.load_landing(spark, root, *paths, AS_OF, quarantine_path=f"{tables}/bad").first()
+    kept = spark.read.parquet(f"{tables}/bad")
+    return kept.groupBy("kind", "source", "run_id", "fault", "line").agg(F.sum("copies").alias("copies")).withColumns(
+        {
+            "good_lines": F.lit(first["events_loaded"]).cast("bigint"),
+            "loaded_again": F.lit(again["events_loaded"] + again["bad_lines"]).cast("bigint"),
+        }
+    )
+
+
+@query("S8_unfinished_runs")
+def unfinished_runs(spark, sf_dir):
+    """A write that broke before its manifests shows nothing and can be repeated with other content."""
+    root = scratch_path(spark, "landing")
+    frames = adapter.whole_runs(spark, sf_dir)
+    landing.append_files(frames["payloads"], root, landing.PAYLOADS)
+    landing.append_files(frames["events"], root, landing.EVENTS)
+    unseen = landing.scan_payloads(spark, root).count() + landing.scan_events(spark, root).count()
+    open_runs = landing.unpublished_runs(spark, root).count()
+    half = F.expr("cast(retailer_product_id as bigint) % 2 = 0")
+    landing.write_runs(
+        root, frames["payloads"].where(half), frames["events"].where(half), frames["rejects"].where(half), frames["manifests"]
+    )
+    return (
+        landing.scan_events(spark, root)
+        .groupBy("source", "run_id")
+        .agg(F.count(F.lit(1)).alias("events"))
+        .withColumns({"seen_before": F.lit(unseen).cast("bigint"), "open_runs": F.lit(open_runs).cast("bigint")})
+    )
+
+
+@query("S10_artefact_audit")
+def artefact_audit(spark, sf_dir):
+    """Files of two days are tampered with after landing; the audit names these runs."""
+    root = adapter.landed(spark, sf_dir)
+    touched = adapter.runs(spark, sf_dir).where("day(observed_at) in (3, 17)")
+    added = landing.with_levels(touched.withColumn("value", F.lit("{}")), F.col("observed_at"), "run_id")
+    _write_lines(added.where("day(observed_at) = 3"), root, landing.PAYLOADS)
+    _write_lines(added.where("day(observed_at) = 17"), root, landing.EVENTS)
+    return landing.audit_digests(spark, root).select(
+        "source", "run_id", "kind", F.col("booked").isNotNull().alias("was_booked"), F.col("found").isNotNull().alias("is_there")
+    )
+
+
 @query("S10_content_digests")
 def content_digests(spark, sf_dir):
     polls = adapter.table(spark, sf_dir, "events")
@@ -571,6 +643,37 @@ def streamed_observations(spark, sf_dir):
     )
 
 
+@query("L1_resumed_drain")
+def resumed_drain(spark, sf_dir):
+    """A drain that broke off after the newest days goes on under the mark it began with."""
+    root, table, checkpoint = scratch_path(spark, "landing"), scratch_path(spark, "observations"), scratch_path(spark, "stream")
+    frames = adapter.whole_runs(spark, sf_dir)
+    recent = F.col("observed_at") >= F.expr("timestamp_ntz'2024-01-25'")
+    landing.append_files(frames["events"].where(recent), root, landing.EVENTS)
+    stream = landed_events_stream(spark, root, files_per_batch=50)
+    broken = stream_observations(stream, table, checkpoint)
+    broken.query.awaitTermination()  # never closed in the ledger
+    landing.append_files(frames["events"].where(~recent), root, landing.EVENTS)
+    stream_observations(stream, table, checkpoint).awaitTermination()
+    return spark.read.parquet(table).select(
+        "event_id", "source", "retailer_product_id", "price", "inventory_status",
+        "quantity_available", "observed_at",
+    )
+
+
+@query("L2_watermark_deduplication")
+def watermark_deduplication(spark, sf_dir):
+    """First copies by the stream's own state: late rows of the second batch are dropped and counted."""
+    raw, out = scratch_path(spark, "raw-stream"), scratch_path(spark, "first-copies")
+    polls = adapter.raw_events(spark, sf_dir).select("event_id", "observed_at", "retailer_product_id")
+    late = 0
+    for part in ("cast(event_id as bigint) % 2 = 0", "true"):
+        polls.where(part).write.mode("append").parquet(raw)
+        stream = spark.readStream.schema(polls.schema).parquet(raw)
+        late += drain_first_copies(stream, out, f"{out}-checkpoint")
+    return spark.read.parquet(out).select("event_id", "observed_at", F.lit(late).cast("bigint").alias("late_rows"))
+
+
 @query("L2_repeated_delivery")
 def repeated_delivery(spark, sf_dir):
     models = Models(spark, sf_dir)

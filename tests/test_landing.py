@@ -112,7 +112,7 @@ def test_empty_landing_zone(spark, tmp_path):
     counters = load.load_landing(
         spark, str(tmp_path / "none"), str(tmp_path / "e"), str(tmp_path / "r"), NOW
     ).first()
-    assert tuple(counters) == (0, 0, 0, 0)
+    assert tuple(counters) == (0, 0, 0, 0, 0)
 
 
 def test_combined_layout(spark, tmp_path):
@@ -136,7 +136,7 @@ def test_combined_layout(spark, tmp_path):
     )
     root, events, runs = str(tmp_path / "raw"), str(tmp_path / "e"), str(tmp_path / "r")
     counters = load.load_landing(spark, root, events, runs, NOW, combined=True).first()
-    assert tuple(counters) == (2, 1, 1, 1)
+    assert tuple(counters) == (2, 1, 1, 1, 0)
     got = {r["event_id"]: r for r in load.read_raw_events(spark, events).collect()}
     assert got["x"]["observed_at"] == datetime(2024, 1, 2, 3)
     assert str(got["x"]["price"]) == "2.35" and got["x"]["raw_payload"] == '{"new":2}'
@@ -145,6 +145,141 @@ def test_combined_layout(spark, tmp_path):
     assert run["error_summary"] == "[]" and run["started_at"] == datetime(2024, 1, 2, 3)
 
 
+BAD = [
+    '{"event_id": "cut", "pri',
+    '{"event_id": "t", "quantity_available": "many"}',
+    '{"event_id": "u", "price": 1}{"event_id": "v", "price": 2}',
+    '{"event_id": "w"}}',
+    '[{"event_id": "x"}]',
+    "null",
+    '"text"',
+]
+NO_ID = '{"retailer_product_id": "p9", "price": 1.0}'
+
+
+def add_lines(root, kind, lines, run="r1", name="more.json"):
+    folder = root / f"{kind}/source=TARGET/year=2024/month=01/day=02/run_id={run}"
+    folder.mkdir(parents=True, exist_ok=True)
+    (folder / name).write_text("\n".join(lines) + "\n")
+
+
+def test_bad_lines_are_kept_apart(spark, tmp_path):
+    root = tmp_path / "zone"
+    landing.write_runs(str(root), **sample_runs(spark))
+    good = '{"event_id": "good", "price": 2, "unknown": {"a": [1]}}'
+    add_lines(root, landing.EVENTS, [*BAD, NO_ID, BAD[0], "", "  \t", good])
+    add_lines(root, landing.PAYLOADS, ['{"retailer_product_id": "p0", "raw_response": {"n": 7}', "{}"])
+    add_lines(root, landing.REJECTS, ['{"reason": "why"'])
+    add_lines(root, landing.MANIFESTS, ['{"status": 1,'])
+    ids = {r["event_id"] for r in landing.scan_events(spark, str(root)).collect()}
+    assert ids == {"e0", "e1", "e2", "good"}
+    assert landing.scan_payloads(spark, str(root)).count() == 4
+    assert landing.scan_rejects(spark, str(root)).count() == 0
+    assert landing.scan_runs(spark, str(root)).count() == 1
+    rows = landing.scan_bad_lines(spark, str(root)).collect()
+    events = {r["line"]: (r["fault"], r["copies"]) for r in rows if r["kind"] == landing.EVENTS}
+    assert events == {b: (landing.UNREADABLE, 1 + (b == BAD[0])) for b in BAD} | {NO_ID: (landing.WITHOUT_KEY, 1)}
+    assert {(r["kind"], r["file"], r["run_id"]) for r in rows if r["kind"] != landing.EVENTS} == {
+        (k, "more.json", "r1") for k in (landing.PAYLOADS, landing.REJECTS, landing.MANIFESTS)
+    }
+    assert len({r["line_id"] for r in rows}) == len(rows) == len(BAD) + 4
+
+
+def test_what_is_read_does_not_change_what_is_bad(spark, tmp_path):
+    root = tmp_path / "zone"
+    landing.write_runs(str(root), **sample_runs(spark))
+    add_lines(root, landing.EVENTS, BAD)
+    events = landing.scan_events(spark, str(root))
+    assert events.count() == events.select("price").count() == len(events.select("event_id", "sku").collect()) == 3
+
+
+def test_a_load_fails_or_diverts_and_never_repeats(spark, tmp_path):
+    root, events, runs, bad = (str(tmp_path / n) for n in ("zone", "events", "runs", "bad"))
+    landing.write_runs(root, **sample_runs(spark))
+    add_lines(tmp_path / "zone", landing.EVENTS, [BAD[0], NO_ID])
+    with pytest.raises(landing.BadLines):
+        load.load_landing(spark, root, events, runs, NOW)
+    assert load.read_raw_events(spark, events).count() == load.read_raw_runs(spark, runs).count() == 0
+    for want in ((3, 1, 2, 1, 2), (0, 0, 2, 1, 0)):
+        assert tuple(load.load_landing(spark, root, events, runs, NOW, quarantine_path=bad).first()) == want
+    add_lines(tmp_path / "zone", landing.EVENTS, [BAD[1]], name="later.json")
+    assert load.load_landing(spark, root, events, runs, NOW, quarantine_path=bad).first()["bad_lines"] == 1
+    kept = spark.read.parquet(bad)
+    assert {r["line"] for r in kept.collect()} == {BAD[0], NO_ID, BAD[1]}
+    assert kept.where("loaded_at is null").isEmpty()
+
+
+def test_rows_without_a_key_are_never_inserted(spark, tmp_path):
+    path = str(tmp_path / "t")
+    batch = landing.scan_events(spark, str(tmp_path / "none")).unionByName(
+        spark.createDataFrame([(None,), ("a",)], "event_id string"), allowMissingColumns=True
+    ).withColumn("raw_payload", F.lit("null"))
+    assert [load.merge_events(batch, path, NOW) for _ in range(2)] == [1, 0]
+
+
+def test_a_combined_layout_with_a_cut_manifest(spark, tmp_path):
+    folder = tmp_path / "raw/source=GAMESTOP/year=2024/month=01/day=02/run_id=abc"
+    folder.mkdir(parents=True)
+    (folder / "normalized_events.ndjson").write_text('{"event_id": "x"}\n{"event_id": "y"')
+    (folder / "manifest.json").write_text('{\n "run_id": "abc",\n "status": "SUC')
+    root = str(tmp_path / "raw")
+    bad = {(r["kind"], r["file"]) for r in landing.scan_bad_lines(spark, root, combined=True).collect()}
+    assert bad == {(landing.EVENTS, "normalized_events.ndjson"), (landing.MANIFESTS, "manifest.json")}
+    assert landing.scan_events(spark, root, combined=True).count() == 1
+    assert landing.scan_runs(spark, root, combined=True).count() == 0
+
+
+@pytest.mark.parametrize("breaks_at", [landing.EVENTS, landing.REJECTS, landing.MANIFESTS])
+def test_an_unfinished_run_is_invisible_and_can_be_written_again(spark, tmp_path, monkeypatch, breaks_at):
+    root = str(tmp_path / "zone")
+    landing.write_runs(root, **sample_runs(spark, "r0", products=2))
+    append = landing.append_files
+
+    def failing(df, where, kind):
+        if kind == breaks_at:
+            raise RuntimeError("lost")
+        append(df, where, kind)
+
+    monkeypatch.setattr(landing, "append_files", failing)
+    with pytest.raises(RuntimeError):
+        landing.write_runs(root, **sample_runs(spark, "r1"))
+    monkeypatch.undo()
+    assert {r["run_id"] for r in landing.unpublished_runs(spark, root).collect()} == {"r1"}
+    assert {r["run_id"] for r in landing.scan_payloads(spark, root).collect()} == {"r0"}
+    assert landing.scan_events(spark, root).count() == 2
+    # The second attempt holds less than the first left behind.
+    landing.write_runs(root, **sample_runs(spark, "r1", products=1))
+    assert landing.unpublished_runs(spark, root).isEmpty()
+    assert landing.scan_payloads(spark, root).count() == landing.scan_events(spark, root).count() == 3
+    assert landing.audit_digests(spark, root).isEmpty()
+    with pytest.raises(landing.RunExists):
+        landing.write_runs(root, **sample_runs(spark, "r1"))
+
+
+def test_many_unpublished_runs_take_a_plain_join(spark, tmp_path, monkeypatch):
+    root = str(tmp_path / "zone")
+    for run in ("r0", "r1", "r2"):
+        landing.append_files(sample_runs(spark, run)["payloads"], root, landing.PAYLOADS)
+    landing.write_runs(root, **sample_runs(spark, "r3", products=1))
+    monkeypatch.setattr(landing, "FEW_RUNS", 1)
+    assert {r["run_id"] for r in landing.scan_payloads(spark, root).collect()} == {"r3"}
+
+
+def test_the_audit_names_exactly_the_changed_runs(spark, tmp_path):
+    root = tmp_path / "zone"
+    for run in ("a", "b", "c", "d", "e"):
+        landing.write_runs(str(root), **sample_runs(spark, run))
+    assert landing.audit_digests(spark, str(root)).isEmpty()
+    add_lines(root, landing.EVENTS, ['{"event_id": "added"}'], run="b")
+    changed = next((root / landing.PAYLOADS).rglob("run_id=c/*.json"))
+    (changed.parent / f".{changed.name}.crc").unlink()
+    changed.write_text(changed.read_text().replace('{"n":1}', '{"n":2}'))
+    for gone in (root / landing.EVENTS).rglob("run_id=d/*.json"):
+        gone.unlink()
+    found = {(r["run_id"], r["kind"], r["found"] is None) for r in landing.audit_digests(spark, str(root)).collect()}
+    assert found == {("b", landing.EVENTS, False), ("c", landing.PAYLOADS, False), ("d", landing.EVENTS, True)}
+
+
 def test_digests_do_not_depend_on_order_or_chunking_of_files(spark):
     lines = [("r", f"line {i % 50}") for i in range(200)] + [("q", "one")]
     a = spark.createDataFrame(lines, "run_id string, line string")

@@ -7,7 +7,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from shelflog.operators.merge import _only_days, newest_moment, read_table, upsert
+from shelflog.operators.merge import only_days, newest_moment, read_table, upsert
 from shelflog.operators.staging import stage_events
 from shelflog.plans import load
 from shelflog.schemas import INVENTORY_EVENTS
@@ -148,7 +148,7 @@ def test_a_refresh_reads_only_recent_days(spark, tmp_path):
     assert {r["event_id"] for r in recent.collect()} == {f"e{i}" for i in range(23, 30)}
     days = spark.createDataFrame([(day(28).date(),), (day(29).date(),)], "observed_date date")
     target = read_table(spark, path, load.OBSERVATIONS)
-    assert any("observed_date" in line and "2024-01-29" in line for line in scans(_only_days(target, days, load.DAY)))
+    assert any("observed_date" in line and "2024-01-29" in line for line in scans(only_days(target, days, load.DAY)))
     load.refresh_from_raw(spark, raw_path, path)
     assert observed(spark, path) == {f"e{i}": i for i in range(30)}
     assert newest_moment(spark, path, load.OBSERVATIONS) == day(29)
@@ -241,3 +241,82 @@ def test_watermark_deduplication_keeps_one_copy(spark, tmp_path):
     )
     query.awaitTermination()
     assert sorted(r["event_id"] for r in spark.read.parquet(out).collect()) == ["a", "b"]
+
+
+def land(spark, root, run, days, kind=landing.EVENTS):
+    """One file of a run with one observation for each of ``days``."""
+    frames = sample_runs(spark, run, products=1)
+    rows = spark.createDataFrame([(f"{run}-{n}", day(n), n) for n in days], "event_id string, observed_at timestamp_ntz, n int")
+    events = rows.select(
+        "event_id", F.lit("TARGET").alias("source"), F.lit("p").alias("retailer_product_id"), F.col("n").cast("double").alias("price"),
+        "observed_at", F.col("observed_at").alias("extracted_at"), F.lit(run).alias("ingestion_run_id"),
+    )
+    landing.append_files(landing.with_levels(events, F.lit("2024-01-02").cast("timestamp_ntz"), "ingestion_run_id"), root, kind)
+
+
+@pytest.mark.parametrize("breaks_at, after", [(1, False), (2, False), (2, True)])
+def test_a_broken_drain_goes_on_with_its_mark(spark, tmp_path, monkeypatch, breaks_at, after):
+    from shelflog.streaming import ingest
+
+    root, table, checkpoint = (str(tmp_path / n) for n in ("zone", "t", "c"))
+    land(spark, root, "old", [20])
+    stream = landed_events_stream(spark, root, files_per_batch=1)
+    stream_observations(stream, table, checkpoint).awaitTermination()
+    assert set(observed(spark, table)) == {"old-20"}
+    # Newest first: without the mark of the drain's start the later files would be too late.
+    for run, days in (("x", [30]), ("y", [19]), ("z", [18, 21])):
+        land(spark, root, run, days)
+    calls, apply = [], ingest.upsert
+
+    def failing(rows, *args, **options):
+        calls.append(1)
+        if len(calls) == breaks_at and not after:
+            raise RuntimeError("lost")
+        apply(rows, *args, **options)
+        if len(calls) == breaks_at:
+            raise RuntimeError("lost after the write")
+
+    monkeypatch.setattr(ingest, "upsert", failing)
+    with pytest.raises(Exception):
+        stream_observations(stream, table, checkpoint).awaitTermination()
+    monkeypatch.undo()
+    ledger = ingest.Ledger(spark, checkpoint)
+    assert ledger.open_drain()[1] == day(20)
+    stream_observations(stream, table, checkpoint).awaitTermination()
+    assert set(observed(spark, table)) == {"old-20", "x-30", "y-19", "z-21"}
+    assert ledger.open_drain() is None
+    # The next drain begins with the newest moment again.
+    land(spark, root, "late", [25, 29])
+    stream_observations(stream, table, checkpoint).awaitTermination()
+    assert set(observed(spark, table)) == {"old-20", "x-30", "y-19", "z-21", "late-29"}
+
+
+def test_a_booked_batch_is_not_applied_again(spark, tmp_path, monkeypatch):
+    from shelflog.streaming import ingest
+
+    root, table, checkpoint = (str(tmp_path / n) for n in ("zone", "t", "c"))
+    land(spark, root, "a", [1])
+    book = ingest.Ledger.book
+
+    def failing(self, drain, event, **more):
+        book(self, drain, event, **more)
+        if event == "batch":
+            raise RuntimeError("lost between ledger and checkpoint")
+
+    monkeypatch.setattr(ingest.Ledger, "book", failing)
+    stream = landed_events_stream(spark, root)
+    with pytest.raises(Exception):
+        stream_observations(stream, table, checkpoint).awaitTermination()
+    monkeypatch.undo()
+    monkeypatch.setattr(ingest, "upsert", lambda *a, **k: pytest.fail("applied twice"))
+    stream_observations(stream, table, checkpoint).awaitTermination()
+    assert set(observed(spark, table)) == {"a-1"}
+
+
+def test_the_stream_leaves_bad_lines_out(spark, tmp_path):
+    root = str(tmp_path / "zone")
+    land(spark, root, "a", [1, 2])
+    folder = tmp_path / "zone" / landing.EVENTS / "source=TARGET/year=2024/month=01/day=02/run_id=a"
+    (folder / "cut.json").write_text('{"event_id": "cut", "observ\n{"price": 1}\n')
+    stream_observations(landed_events_stream(spark, root), str(tmp_path / "t"), str(tmp_path / "c")).awaitTermination()
+    assert set(observed(spark, str(tmp_path / "t"))) == {"a-1", "a-2"}
