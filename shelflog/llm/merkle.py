@@ -15,7 +15,8 @@ from shelflog.session import materialize
 FAN_OUT = 16
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
 TAMPER_EVERY = 5
-PAGE = 1 << 16  # ids of one bitmap
+PAGE_BITS = 12
+PAGE = 1 << PAGE_BITS  # ids of one bitmap
 _DENSE = PAGE // 8  # bytes of a full bitmap; fewer bytes are a list of two-byte offsets
 _GATHER = 1 << 18  # ids gathered in a task before their bitmaps are written
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -172,7 +173,7 @@ def bitmap_index(ids: DataFrame) -> DataFrame:
     range-partitioned by part and page and merged. A part may take up any number of tasks;
     their totals are added up, one row per task and part.
     """
-    offsets = ids.select("part", F.shiftright("doc_id", 16).alias("page"), F.col("doc_id").bitwiseAND(F.lit(PAGE - 1)).alias("offset"))
+    offsets = ids.select("part", F.shiftright("doc_id", PAGE_BITS).alias("page"), F.col("doc_id").bitwiseAND(F.lit(PAGE - 1)).alias("offset"))
     gathered = materialize(offsets.mapInArrow(_gathered, _PAGES), "bitmaps")
     ranged = gathered.repartitionByRange("part", "page").sortWithinPartitions("part", "page")
     pages = materialize(ranged.mapInArrow(_merged, _PAGES + ", slot int, before bigint"), "bitmap-pages")
@@ -230,7 +231,7 @@ def placed_leaves(leaves: DataFrame) -> DataFrame:
         "doc_id",
         "leaf",
         "tampered",
-        F.shiftright("doc_id", 16).alias("page"),
+        F.shiftright("doc_id", PAGE_BITS).alias("page"),
     )
     met = maps.unionByName(rows).repartition("part", "page").sortWithinPartitions("part", "page", F.col("bits").isNull())
     ranked = materialize(met.drop("page").mapInArrow(_ranked, _LEAVES + ", rank bigint, rows bigint, n bigint"), "ranked")
