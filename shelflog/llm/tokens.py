@@ -19,8 +19,9 @@ from shelflog.llm.common import id_and_text, per_worker, slices
 from shelflog.session import materialize, scratch_path
 
 SHARD_IDS = 16 << 20
+SHARDS_OF_TASK = 1_000_000
 END_ID = 2
-MEMO_PIECES = 600_000
+MEMO_PIECES = 1_500_000  # some 300 MB a worker
 SELECT_EVERY = 256
 
 # The printable character that byte-level tokenizers use for each byte.
@@ -97,7 +98,8 @@ class Encoder:
 
     A single space between two characters that are no spaces always begins a piece of its
     own, so texts are cut there and the ids of each distinct piece are looked up. New pieces
-    go through the tokenizer's own pre-tokenizer and model.
+    go through the tokenizer's own pre-tokenizer and model. A text that spells one of the
+    tokenizer's added tokens is encoded whole, by the library's default.
     """
 
     def __init__(self, path: str, memo_pieces: int = MEMO_PIECES):
@@ -107,12 +109,12 @@ class Encoder:
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_file(path)
-        tokenizer.encode_special_tokens = True
         with open(path) as f:
             spec = json.load(f)
         pre = spec.get("pre_tokenizer") or {}
         plain = pre.get("type") == "ByteLevel" and pre.get("use_regex") and not pre.get("add_prefix_space")
         self.by_piece = bool(plain and not spec.get("normalizer") and not spec["model"].get("dropout"))
+        self.added = [t["content"] for t in spec.get("added_tokens") or []]
         self.tokenizer, self.model, self.pre = tokenizer, tokenizer.model, tokenizer.pre_tokenizer
         self.width = 2 if tokenizer.get_vocab_size() <= 1 << 16 else 4
         self.dtype = np.dtype(f"<u{self.width}")
@@ -164,7 +166,7 @@ class Encoder:
     def encode(self, text: str | None) -> bytes:
         if not text:
             return b""
-        if not self.by_piece:
+        if not self.by_piece or any(a in text for a in self.added):
             return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
         known = self.pieces
         first, *rest = self.cut(text)
@@ -242,7 +244,8 @@ def write_tokens(
 
     Manifest columns: shard (its place in the order), path, n_docs, n_ids.
 
-    Cases: a null text counts as empty, an empty text has only ``end_id``. A null doc_id comes
+    Cases: a null text counts as empty, an empty text has only ``end_id``. An added token of
+    the tokenizer that a text spells, such as its end mark, has its own id, as in the library. A null doc_id comes
     before all others. Rows with equal doc_ids are ordered by a hash of their text, so a
     frequent id is split too. An empty table writes no shard. Other columns are not read.
     """
@@ -276,7 +279,7 @@ def write_tokens(
             at = f"{path}/shard-{part:06d}-{made:06d}.tok"
             shard.write(at)
             made += 1
-            row = {"shard": part * 1_000_000 + made, "path": at, "n_docs": len(shard.docs), "n_ids": shard.n_ids}
+            row = {"shard": part * SHARDS_OF_TASK + made, "path": at, "n_docs": len(shard.docs), "n_ids": shard.n_ids}
             return pa.RecordBatch.from_pylist([row])
 
         shard = _Shard(encoder.dtype)
@@ -323,11 +326,16 @@ class ShardReader:
 def read_tokens(manifest: DataFrame, block_ids: int = 4 << 20) -> DataFrame:
     """Documents back from the shard files: doc_id, start, n_tokens, ids_crc32, shard.
 
-    ``start`` counts the ids of all documents before it: the manifest's running sum (one row
-    per shard) plus the decoded boundary. Ids are read in blocks of about ``block_ids``.
+    ``start`` counts the ids of all documents before it: the manifest's running sum, first over
+    the writing tasks, then over the shards of one, plus the decoded boundary. Ids are read in blocks of about ``block_ids``.
     """
-    before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
-    shards = manifest.withColumn("base", F.coalesce(F.sum("n_ids").over(before), F.lit(0)))
+    earlier = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
+    task = F.expr(f"shard div {SHARDS_OF_TASK}").alias("shard")
+    tasks = manifest.groupBy(task).agg(F.sum("n_ids").alias("n_ids"))
+    tasks = tasks.select(F.col("shard").alias("task"), F.coalesce(F.sum("n_ids").over(earlier), F.lit(0)).alias("of_tasks"))
+    of_shards = F.coalesce(F.sum("n_ids").over(Window.partitionBy("task").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    shards = manifest.withColumn("task", F.expr(f"shard div {SHARDS_OF_TASK}")).withColumn("of_shards", of_shards)
+    shards = shards.join(tasks, "task").withColumn("base", F.col("of_tasks") + F.col("of_shards")).drop("task", "of_tasks", "of_shards")
     n = int(manifest.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     schema = "doc_id long, start long, n_tokens long, ids_crc32 long, shard long"
 
