@@ -1021,5 +1021,10 @@ def _final(name: str, body: str) -> str:
     return compose(f"select * replace ({swaps}) from ({body})")
 
 
+for _name in ("R1_overview_totals", "R8_recent_state_changes", "R9_daily_observation_volume", "R10_membership_filters"):
+    QUERIES[f"{_name}_text"] = QUERIES[_name]
+QUERIES["S22_incremental_refresh"] = QUERIES["M5_fact_inventory_state_change"]
+
+
 def oracle_sql() -> dict[str, str]:
     return {name: _final(name, body) for name, body in QUERIES.items()}

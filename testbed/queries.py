@@ -12,7 +12,8 @@ from pyspark.sql import types as T
 from shelflog.functions import event_id, payload_hash, read_utc, surrogate_key, utc_text
 from shelflog.operators import normalize, quality, staging
 from shelflog.operators.runs import build_manifests, ingestion_summary, run_metrics
-from shelflog.plans import intermediate, load, marts, reports
+from shelflog.plans import intermediate, load, marts, reports, sql_reports
+from shelflog.plans.incremental import Warehouse
 from shelflog.plans.warehouse import build_warehouse, write_table
 from shelflog.session import materialize, scratch_path
 from shelflog.sources import landing, seeds
@@ -868,6 +869,62 @@ _report(
 _report("X2_last_restocks", lambda m: reports.last_restocks(m.fact_state_change))
 
 
+def _as_text(name: str, text: str, views: dict[str, Callable[[Models], DataFrame]], **arguments) -> None:
+    """A report run as SQL over views of the models."""
+
+    def run(spark, sf_dir):
+        models = Models(spark, sf_dir)
+        sql_reports.register_views({view: build(models) for view, build in views.items()})
+        bound = {k: v(spark) if callable(v) else v for k, v in arguments.items()}
+        return sql_reports.report(spark, text, **bound)
+
+    REGISTRY[name] = run
+
+
+def _chosen_keys(spark: SparkSession) -> list[str]:
+    sources = ["TARGET", "WALMART", "POKEMON_CENTER", "GAMESTOP"]
+    keys = [surrogate_key(F.lit(sources[int(p) % 4]), F.lit(p)) for p in CHOSEN_PRODUCTS]
+    return list(spark.range(1).select(*keys).first())
+
+
+_DAYS = {"first_day": START, "last_day": END}
+_as_text("R1_overview_totals_text", "overview_totals", {"mart_retailer_summary": lambda m: m.mart_retailer})
+_as_text(
+    "R8_recent_state_changes_text",
+    "recent_state_changes",
+    {"fact_inventory_state_change": lambda m: m.laid_out("fact_state_change", reports.DAY), "dim_product": lambda m: m.dim_product},
+    **_DAYS,
+    retailers=CHOSEN,
+)
+_as_text(
+    "R9_daily_observation_volume_text",
+    "daily_observation_volume",
+    {"fact_inventory_observation": lambda m: m.laid_out("fact_observation", reports.DAY)},
+    **_DAYS,
+)
+_as_text(
+    "R10_membership_filters_text",
+    "availability_by_product",
+    {"mart_daily_product_availability": lambda m: m.daily_table},
+    **_DAYS,
+    retailers=CHOSEN + ["WALMART"],
+    products=_chosen_keys,
+)
+
+
+@query("S22_incremental_refresh")
+def incremental_refresh(spark, sf_dir):
+    """The state-change facts after an early half, late rows of all days, and newer copies."""
+    models = Models(spark, sf_dir)
+    warehouse = Warehouse(spark, scratch_path(spark, "warehouse"))
+    staged = models.stg_events
+    for part in ("cast(event_id as bigint) % 3 = 0", "cast(event_id as bigint) % 3 <> 0"):
+        warehouse.refresh(staged.where(part), models.stg_runs, models.stg_products, models.stg_retailers, AS_OF, full=True)
+    return spark.read.schema(models.fact_state_change.schema).parquet(warehouse.path("fact_inventory_state_change")).select(
+        models.fact_state_change.columns
+    )
+
+
 # ---- single rules of the models ------------------------------------------------------------
 
 
