@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import numpy as np
 
-_MASK = (1 << 64) - 1
 _BASE = 0x9E3779B97F4A7C15 | 1
-_INVERSE = pow(_BASE, -1, 1 << 64)
+# Spans are hashed modulo a prime. A power of two would not do: texts built by repeated
+# complementing (Thue-Morse words) agree modulo 2**64 under every base.
+_PRIME = (1 << 61) - 1
+_P, _LOW31, _LOW30 = np.uint64(_PRIME), np.uint64((1 << 31) - 1), np.uint64((1 << 30) - 1)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -18,10 +20,34 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
+def _reduced(x: np.ndarray) -> np.ndarray:
+    x = (x & _P) + (x >> np.uint64(61))
+    return np.where(x >= _P, x - _P, x)
+
+
+def _times(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Products modulo the prime of numbers below it, from halves of 31 bits."""
+    a1, a0 = a >> np.uint64(31), a & _LOW31
+    b1, b0 = b >> np.uint64(31), b & _LOW31
+    middle = a1 * b0 + a0 * b1
+    return _reduced((a1 * b1 << np.uint64(1)) + (middle >> np.uint64(30)) + ((middle & _LOW30) << np.uint64(31)) + a0 * b0)
+
+
+def _sums(x: np.ndarray) -> np.ndarray:
+    """Running sums modulo the prime; high and low halves are summed apart."""
+    high = _reduced(np.cumsum(x >> np.uint64(32), dtype=np.uint64))
+    low = _reduced(np.cumsum(x & np.uint64(0xFFFFFFFF), dtype=np.uint64))
+    return _reduced(_times(high, np.uint64(1 << 32)) + low)
+
+
 def _powers(base: int, n: int) -> np.ndarray:
-    out = np.full(n + 1, base, np.uint64)
-    out[0] = 1
-    return np.cumprod(out, dtype=np.uint64)
+    out = np.ones(n + 1, np.uint64)
+    have = 1
+    while have <= n:
+        more = min(have, n + 1 - have)
+        out[have : have + more] = _times(out[:more], np.uint64(pow(base, have, _PRIME)))
+        have += more
+    return out
 
 
 class Powers:
@@ -33,7 +59,8 @@ class Powers:
     def get(self, n: int) -> tuple[np.ndarray, np.ndarray]:
         if len(self.up) < n:
             size = max(n, 2 * len(self.up))
-            self.up, self.down = _powers(_BASE, size), _powers(_INVERSE, size)
+            base = _BASE % _PRIME
+            self.up, self.down = _powers(base, size), _powers(pow(base, -1, _PRIME), size)
         return self.up, self.down
 
 
@@ -43,10 +70,12 @@ class Spans:
     def __init__(self, symbols: np.ndarray, powers: Powers):
         up, self.down = powers.get(len(symbols) + 1)
         self.sums = np.zeros(len(symbols) + 1, np.uint64)
-        np.cumsum(symbols * up[: len(symbols)], dtype=np.uint64, out=self.sums[1:])
+        self.sums[1:] = _sums(_times(_reduced(symbols), up[: len(symbols)]))
 
     def hash(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        return mix((self.sums[end] - self.sums[start]) * self.down[start] + (end - start).astype(np.uint64))
+        between = self.sums[end] + (_P - self.sums[start])
+        value = _times(np.where(between >= _P, between - _P, between), self.down[start])
+        return mix(value + (end - start).astype(np.uint64) * np.uint64(_BASE))
 
 
 def word_hashes(raw: np.ndarray, letter: np.ndarray, powers: Powers, symbol: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -97,6 +97,51 @@ def test_suffix_dedup_against_all_windows(spark, window):
     assert sum(n for _, n, _ in want.values()) > 0
 
 
+def complement_words(levels):
+    """Two texts that differ everywhere and agree under any polynomial hash modulo 2**64."""
+    a = "a"
+    for _ in range(levels):
+        a += a.translate(str.maketrans("ab", "ba"))
+    return a, a.translate(str.maketrans("ab", "ba"))
+
+
+def test_span_hashes_modulo_a_prime():
+    from shelflog.llm import hashing
+
+    powers, prime = hashing.Powers(), hashing._PRIME
+    r = np.random.default_rng(5)
+    values = r.integers(0, 1 << 64, 3000, dtype=np.uint64)
+    a, b = hashing._reduced(values[:1500]), hashing._reduced(values[1500:])
+    assert a.tolist() == [int(v) % prime for v in values[:1500]]
+    assert hashing._times(a, b).tolist() == [x * y % prime for x, y in zip(a.tolist(), b.tolist())]
+    total, sums = 0, []
+    for x in a.tolist():
+        sums.append(total := (total + x) % prime)
+    assert hashing._sums(a).tolist() == sums
+    spans = hashing.Spans(np.tile(values[:40], 50), powers)
+    start = np.arange(0, 1900)
+    assert len(set(spans.hash(start, start + 37).tolist())) == 40
+    one, other = (hashing.Spans(hashing.symbols()[np.frombuffer(t.encode(), np.uint8)], powers) for t in complement_words(12))
+    whole = np.array([0]), np.array([4096])
+    assert one.hash(*whole) != other.hash(*whole)
+
+
+def test_complementary_words_are_no_repeats(spark):
+    one, other = complement_words(10)
+    words = [f"word{i}" for i in range(10)]
+    docs = [(1, " ".join([*words, one, *words[::-1]])), (2, " ".join([*words, other, *words[::-1]]))]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    assert [sized(r)[1] for r in substring_dedup.remove_later_repeats(df).collect()] == [0, 0]
+    long = spark.createDataFrame([(1, complement_words(12)[0] + "x" * 30), (2, complement_words(12)[1] + "y" * 30)], "doc_id long, text string")
+    plain = {d: t.encode() for d, t in long.collect()}
+    seen = defaultdict(set)
+    for d, t in plain.items():
+        for i in range(len(t) - 399):
+            seen[t[i : i + 400]].add((d, i))
+    want = {d: len({j for w, at in seen.items() if len(at) > 1 for e, i in at if e == d for j in range(i, i + 400)}) for d in plain}
+    assert {r.doc_id: sized(r)[1] for r in suffix_dedup.remove_repeats(long, window=400).collect()} == want
+
+
 @pytest.mark.parametrize("window", [3, 7])
 def test_substring_dedup_against_all_windows(spark, window):
     docs = patchwork(window)
@@ -462,7 +507,7 @@ def test_token_shards(spark, odd, none, tmp_path):
         (i, f"It's  {prose(i, 9)}\n\n naïve straße 12,5 'quoted'  {prose(i + 1, i % 7)}? x y \U0001f600 日本 ") for i in range(80)
     ] + [(90, None), (91, ""), (92, " lead"), (93, "a\n b \t c"), (94, "<|endoftext|> x")]
     df = spark.createDataFrame(docs, "doc_id long, text string").repartition(5)
-    tokenizer.encode_special_tokens = True
+    assert 50256 in tokenizer.encode(docs[-1][1], add_special_tokens=False).ids
     want, start = {}, 0
     for d, t in docs:
         ids = tokenizer.encode(t or "", add_special_tokens=False).ids + [2]
