@@ -31,7 +31,7 @@ def _schema(columns: str) -> T.StructType:
     return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in fields])
 
 
-# Raw tables.
+# Columns of the raw tables.
 INVENTORY_EVENTS = _schema(
     "event_id string, source string, retailer_product_id string, product_name string, "
     "product_url string, sku string, upc string, category string, price price, "
@@ -48,7 +48,7 @@ INGESTION_RUNS = _schema(
     "pipeline_version string, loaded_at timestamp_ntz"
 )
 
-# Landing files, one JSON document per line; times are ISO-8601 text.
+# Columns of the landing files, one JSON document per line; times are ISO-8601 text.
 LANDED_EVENT = _schema(
     "event_id string, source string, retailer_product_id string, product_name string, "
     "product_url string, sku string, upc string, category string, price double, "
