@@ -32,6 +32,17 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFram
     return spark.createDataFrame([], schema) if table is None else table
 
 
+def keeps_variant(spark: SparkSession, path: str, column: str) -> bool | None:
+    """Whether the table keeps ``column`` as VARIANT; None while nothing has been written."""
+    try:
+        stored = spark.read.parquet(path).schema
+    except AnalysisException as error:
+        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return None
+    return isinstance(stored[column].dataType, T.VariantType)
+
+
 def _with_day(df: DataFrame, day: str | None, moment: str) -> DataFrame:
     return df if day is None else df.withColumn(day, F.col(moment).cast("date"))
 
@@ -63,6 +74,7 @@ def insert_new(
     day: str | None = None,
     moment: str = "observed_at",
     key_fixes_day: bool = False,
+    parse: str | None = None,
 ) -> int:
     """Append the rows of ``batch`` whose ``key`` the table does not hold; returns how many.
 
@@ -70,7 +82,9 @@ def insert_new(
     know them again. ``newest`` lists the columns deciding between copies
     inside the batch, so that one is inserted; without it all copies of a new key are.
     ``day`` partitions the table by the date of ``moment``. With ``key_fixes_day`` (ids
-    derived from the time) only the days of the batch are compared.
+    derived from the time) only the days of the batch are compared. ``parse`` names a column of
+    JSON text that ``schema`` keeps as VARIANT: it is parsed here, for the new rows alone, and
+    text that is no JSON is an error.
     """
     spark = batch.sparkSession
     columns = [f.name for f in schema if f.name != "loaded_at"]
@@ -88,6 +102,8 @@ def insert_new(
     known = target.select(key).distinct()
     stamp = F.lit(loaded_at.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp_ntz")
     new = rows.join(known, key, "left_anti").withColumn("loaded_at", stamp)
+    if parse:
+        new = new.withColumn(parse, F.parse_json(parse))
     ordered = new.select(*schema.names, *([day] if day else []))
 
     # Counting rows reads file footers only; the difference is what this call added.

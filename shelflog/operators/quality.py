@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 from datetime import datetime
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from shelflog.plans.marts import as_moment
@@ -225,20 +226,54 @@ def _result(model: str, column: str, kind: str, failures: Column) -> Column:
     )
 
 
+class Watch:
+    """Row rules counted by the jobs that write the tables, so that no second scan is needed.
+
+    ``on`` hangs the rules of a model on rows about to be written. Call it on the frame that is
+    written itself, behind its last shuffle: the counts then come from the tasks of the writing
+    stage, each of which is counted once even if it is run again. Only ``on`` frames whose write
+    then happens may be handed to ``run_checks``.
+    """
+
+    def __init__(self, checks: list[Check], as_of: datetime | None = None):
+        self.checks, self.as_of = list(checks), as_of
+        self._seen: dict[str, tuple[Observation, list[Check]]] = {}
+
+    def on(self, model: str, df: DataFrame) -> DataFrame:
+        rules = [(c, _row_rule(c, self.as_of)) for c in self.checks if c.model == model]
+        rules = [(c, rule) for c, rule in rules if rule is not None]
+        if not rules:
+            return df
+        seen = Observation(f"{model}-{uuid.uuid4().hex}")
+        self._seen[model] = seen, [c for c, _ in rules]
+        return df.observe(seen, *[F.count(F.when(rule, 1)).alias(f"c{i}") for i, (_, rule) in enumerate(rules)])
+
+    def failures(self) -> dict[Check, int]:
+        """Offending rows of each check that a write has counted."""
+        return {c: seen.get[f"c{i}"] for seen, checks in self._seen.values() for i, c in enumerate(checks)}
+
+
 def run_checks(
-    models: dict[str, DataFrame], checks: list[Check], as_of: datetime | None = None
+    models: dict[str, DataFrame], checks: list[Check], as_of: datetime | None = None, watch: Watch | None = None
 ) -> DataFrame:
     """One row per check: model, column_name, check, failures.
 
     All row rules of a model share one scan and one aggregate; each uniqueness or parent
     check is one more aggregate. Hand in tables rather than views, as every model is read
-    several times.
+    several times. Rules that ``watch`` counted while their table was written are not counted again.
     """
+    counted_before = watch.failures() if watch else {}
+    if watch and watch.as_of != as_of:
+        raise ValueError("the watch and the checks look at different times")
     results: list[DataFrame] = []
+    known = [(c.model, c.column, c.kind, counted_before[c]) for c in checks if c in counted_before]
+    if known:
+        spark = models[known[0][0]].sparkSession
+        results.append(spark.createDataFrame(known, "model string, column_name string, check string, failures bigint"))
     for model in dict.fromkeys(c.model for c in checks):
         df = models[model]
         row_rules = []
-        for check in (c for c in checks if c.model == model):
+        for check in (c for c in checks if c.model == model and c not in counted_before):
             rule = _row_rule(check, as_of)
             if rule is not None:
                 row_rules.append((check, rule))

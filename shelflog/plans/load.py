@@ -8,10 +8,10 @@ from datetime import datetime, timedelta
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelflog.operators.merge import LOOKBACK_HOURS, insert_new, newest_moment, read_table, since_lookback, upsert
+from shelflog.operators.merge import LOOKBACK_HOURS, insert_new, keeps_variant, newest_moment, read_table, since_lookback, upsert
 from shelflog.operators.staging import stage_events
 from shelflog.plans.intermediate import OBSERVATION_COLUMNS, deduplicated
-from shelflog.schemas import INGESTION_RUNS, INVENTORY_EVENTS
+from shelflog.schemas import INGESTION_RUNS, INVENTORY_EVENTS, with_variant
 from shelflog.session import temporary_table
 from shelflog.sources import landing
 from pyspark.sql import types as T
@@ -23,28 +23,47 @@ OBSERVATIONS = T.StructType(
 )
 
 
-def merge_events(batch: DataFrame, path: str, loaded_at: datetime, dedupe: bool = True) -> int:
-    """Insert observations with a new event_id. Ids are derived from the time."""
+TYPED_EVENTS = with_variant(INVENTORY_EVENTS, "raw_payload")
+TYPED_RUNS = with_variant(INGESTION_RUNS, "error_summary")
+
+
+def _takes_variant(spark: SparkSession, path: str, column: str, typed: bool) -> bool:
+    """A table stays as it was begun; ``typed`` decides about a new one."""
+    stored = keeps_variant(spark, path, column)
+    return typed if stored is None else stored
+
+
+def merge_events(batch: DataFrame, path: str, loaded_at: datetime, dedupe: bool = True, typed: bool = False) -> int:
+    """Insert observations with a new event_id. Ids are derived from the time.
+
+    ``typed`` begins a table that keeps the payloads parsed, as VARIANT columns; an existing
+    table keeps its form.
+    """
+    typed = _takes_variant(batch.sparkSession, path, "raw_payload", typed)
     return insert_new(
         batch,
         path,
-        INVENTORY_EVENTS,
+        TYPED_EVENTS if typed else INVENTORY_EVENTS,
         "event_id",
         loaded_at,
         newest=["extracted_at", "ingestion_run_id"] if dedupe else None,
         day=DAY,
         key_fixes_day=True,
+        parse="raw_payload" if typed else None,
     )
 
 
-def merge_runs(batch: DataFrame, path: str, loaded_at: datetime, dedupe: bool = True) -> int:
+def merge_runs(batch: DataFrame, path: str, loaded_at: datetime, dedupe: bool = True, typed: bool = False) -> int:
+    """Insert run manifests with a new run_id; ``typed`` as in ``merge_events``, for the reject reasons."""
+    typed = _takes_variant(batch.sparkSession, path, "error_summary", typed)
     return insert_new(
         batch,
         path,
-        INGESTION_RUNS,
+        TYPED_RUNS if typed else INGESTION_RUNS,
         "run_id",
         loaded_at,
         newest=["completed_at", "started_at"] if dedupe else None,
+        parse="error_summary" if typed else None,
     )
 
 
@@ -61,13 +80,14 @@ def load_landing(
     loaded_at: datetime,
     combined: bool = False,
     quarantine_path: str | None = None,
+    typed: bool = False,
 ) -> DataFrame:
     """Load all runs published under ``root``; one row of counters.
 
     Loading the same files again inserts nothing. With bad lines (cut, no JSON object, values
     of another type, observations without an id) nothing is loaded and ``BadLines`` is raised,
     unless ``quarantine_path`` names a table for them: then the good lines are loaded and the
-    bad ones are kept there, once each.
+    bad ones are kept there, once each. ``typed`` begins raw tables that keep JSON parsed.
     """
     with ExitStack() as scratch:
         # Parsed once; loads and quarantine read the outcome.
@@ -91,8 +111,8 @@ def load_landing(
         )
         runs = landing.conform_runs(landing.good_lines(lines[landing.MANIFESTS]))
         counters = (
-            merge_events(events, events_path, loaded_at),
-            merge_runs(runs, runs_path, loaded_at),
+            merge_events(events, events_path, loaded_at, typed=typed),
+            merge_runs(runs, runs_path, loaded_at, typed=typed),
             landing.list_files(spark, root, landing.EVENTS, combined).count(),
             landing.list_files(spark, root, landing.MANIFESTS, combined).count(),
             diverted,
@@ -108,24 +128,40 @@ def _without_good_text(lines: DataFrame) -> DataFrame:
     return lines.withColumn("value", F.when(F.col("fault").isNotNull(), F.col("value")))
 
 
+def _dated(schema: T.StructType) -> T.StructType:
+    return T.StructType(schema.fields + [T.StructField(DAY, T.DateType())])
+
+
 def read_raw_events(spark: SparkSession, path: str, with_day: bool = False) -> DataFrame:
-    table = read_table(
-        spark, path, T.StructType(INVENTORY_EVENTS.fields + [T.StructField(DAY, T.DateType())])
-    )
+    """The raw table with the payload as text, whichever way it is kept."""
+    if keeps_variant(spark, path, "raw_payload"):
+        table = read_table(spark, path, _dated(TYPED_EVENTS)).withColumn("raw_payload", F.to_json("raw_payload"))
+    else:
+        table = read_table(spark, path, _dated(INVENTORY_EVENTS))
     return table if with_day else table.drop(DAY)
 
 
 def read_typed_events(spark: SparkSession, path: str) -> DataFrame:
-    """The raw table with the payload as VARIANT, for queries by path."""
+    """The raw table with the payload as VARIANT, for queries by path.
+
+    A table begun ``typed`` is read as it is, so paths reach the scan; text is parsed here.
+    """
+    if keeps_variant(spark, path, "raw_payload"):
+        return read_table(spark, path, _dated(TYPED_EVENTS)).drop(DAY)
     return read_raw_events(spark, path).withColumn("raw_payload", F.try_parse_json("raw_payload"))
 
 
 def read_raw_runs(spark: SparkSession, path: str) -> DataFrame:
+    """The run table with the reject reasons as text, whichever way they are kept."""
+    if keeps_variant(spark, path, "error_summary"):
+        return read_table(spark, path, TYPED_RUNS).withColumn("error_summary", F.to_json("error_summary"))
     return read_table(spark, path, INGESTION_RUNS)
 
 
 def read_typed_runs(spark: SparkSession, path: str) -> DataFrame:
     """The run table with the reject reasons as VARIANT."""
+    if keeps_variant(spark, path, "error_summary"):
+        return read_table(spark, path, TYPED_RUNS)
     return read_raw_runs(spark, path).withColumn("error_summary", F.try_parse_json("error_summary"))
 
 

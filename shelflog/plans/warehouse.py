@@ -6,29 +6,34 @@ and marts are written as tables so that each is computed once.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelflog.operators import staging
+from shelflog.operators.quality import Watch
 from shelflog.plans import intermediate, marts
 from shelflog.operators.merge import read_table
 from shelflog.plans.load import DAY, OBSERVATIONS, refresh_observations
 
 
-def write_table(df: DataFrame, path: str, day: str | None = None) -> DataFrame:
+def write_table(
+    df: DataFrame, path: str, day: str | None = None, last: Callable[[DataFrame], DataFrame] = lambda rows: rows
+) -> DataFrame:
     """Write ``df`` and read it back; by ``day`` in folders, each sorted by product.
 
-    A missing ``day`` column is taken from ``observed_at`` and stays in the table.
+    A missing ``day`` column is taken from ``observed_at`` and stays in the table. ``last`` is
+    applied to the rows as they are written.
     """
     if day is None:
-        df.write.mode("overwrite").parquet(path)
+        last(df).write.mode("overwrite").parquet(path)
     else:
         if day not in df.columns:
             df = df.withColumn(day, F.to_date("observed_at"))
         laid = df.hint("rebalance", day).sortWithinPartitions(day, "product_key")
-        laid.write.partitionBy(day).mode("overwrite").parquet(path)
+        last(laid).write.partitionBy(day).mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path).select(df.columns)
 
 
@@ -40,8 +45,13 @@ def build_warehouse(
     product_seed: DataFrame,
     retailer_seed: DataFrame,
     as_of: datetime | None = None,
+    watch: Watch | None = None,
 ) -> dict[str, DataFrame]:
-    """Write every model and return all of them by name, tables read back."""
+    """Write every model and return all of them by name, tables read back.
+
+    ``watch`` counts its row rules of the tables written here in the writing jobs. The
+    observations are merged into their table, so their rules stay with ``run_checks``.
+    """
     models: dict[str, DataFrame] = {
         "inventory_events": raw_events,
         "ingestion_runs": raw_runs,
@@ -54,7 +64,8 @@ def build_warehouse(
     }
 
     def table(name: str, df: DataFrame, day: str | None = None) -> DataFrame:
-        models[name] = write_table(df, f"{folder}/{name}", day)
+        last = (lambda rows: watch.on(name, rows)) if watch else (lambda rows: rows)
+        models[name] = write_table(df, f"{folder}/{name}", day, last)
         return models[name]
 
     name = "int_inventory_events_deduplicated"

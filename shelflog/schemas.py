@@ -48,6 +48,13 @@ INGESTION_RUNS = _schema(
     "pipeline_version string, loaded_at timestamp_ntz"
 )
 
+
+
+def with_variant(schema: T.StructType, name: str) -> T.StructType:
+    """``schema`` with the JSON text of column ``name`` kept parsed."""
+    return T.StructType([T.StructField(f.name, T.VariantType()) if f.name == name else f for f in schema])
+
+
 # Columns of the landing files, one JSON document per line; times are ISO-8601 text.
 LANDED_EVENT = _schema(
     "event_id string, source string, retailer_product_id string, product_name string, "

@@ -73,6 +73,22 @@ def remove_path(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def mount(spark: SparkSession, table: str, **folders: str) -> str:
+    """Root of a mount table under which each of ``folders`` appears by its name.
+
+    Paths below the root read and write whatever store the folder lies on, so the parts of a
+    warehouse can move to another store without a change of path. The links are Hadoop settings,
+    which Spark sends to the executors with every scan and write.
+    """
+    settings = spark._jsc.hadoopConfiguration()
+    for name, folder in folders.items():
+        target = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        store = target.getFileSystem(settings)
+        store.mkdirs(target)
+        settings.set(f"fs.viewfs.mounttable.{table}.link./{name}", store.makeQualified(target).toString())
+    return f"viewfs://{table}"
+
+
 @contextmanager
 def temporary_table(df: DataFrame, label: str) -> Iterator[DataFrame]:
     """``df`` as a written table that is deleted at the end of the block.

@@ -260,6 +260,11 @@ def whole_runs(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return run_frames(payloads(spark, sf_dir), catalog(spark, sf_dir), runs(spark, sf_dir))
 
 
+def land_all(spark: SparkSession, sf_dir: str, root: str) -> None:
+    """All runs, with their manifests, in the landing zone ``root``."""
+    ingest(prepare(spark), root, payloads(spark, sf_dir), catalog(spark, sf_dir), runs(spark, sf_dir))
+
+
 def landed(spark: SparkSession, sf_dir: str, *kinds: str) -> str:
     """A new landing zone holding the given kinds of files, all if none is given.
 
@@ -267,7 +272,7 @@ def landed(spark: SparkSession, sf_dir: str, *kinds: str) -> str:
     """
     root = scratch_path(prepare(spark), "landing")
     if not kinds:
-        ingest(spark, root, payloads(spark, sf_dir), catalog(spark, sf_dir), runs(spark, sf_dir))
+        land_all(spark, sf_dir, root)
         return root
     frames = whole_runs(spark, sf_dir)
     names = {landing.PAYLOADS: "payloads", landing.EVENTS: "events", landing.REJECTS: "rejects", landing.MANIFESTS: "manifests"}

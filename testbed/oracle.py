@@ -431,7 +431,7 @@ for _name, _source in {
     "N3_storefront_mapping": "POKEMON_CENTER",
     "N4_gamestop_mapping": "GAMESTOP",
 }.items():
-    QUERIES[_name] = f"select * from accepted where source = '{_source}'"
+    QUERIES[_name] = f"select *, cast(null as varchar) as raw_file_path from accepted where source = '{_source}'"
 QUERIES["N5_event_id"] = f"""
 select event_id, {_ID} as uuid, {_ID.replace('(h,', '(h0,')} as uuid_whole_second
 from (select event_id, {_name_digest(_SRC, 'user_id', 'ts')} as h,
@@ -519,7 +519,8 @@ from manifests"""
 
 # ---- landing zone and raw tables ---------------------------------------------------------
 
-QUERIES["S1_scan_events"] = "select * from accepted"
+QUERIES["S1_scan_events"] = """
+select *, cast(null as varchar) as raw_file_path, ingestion_run_id as run_id from accepted"""
 
 
 def _first_leaf(paths: list[str]) -> str:
@@ -580,7 +581,7 @@ select {_SRC} || '-' || strftime(ts, '%Y%m%d') as run_id, sha256(event_type || e
        count(*) as copies
 from events group by 1, 2"""
 CTES["chunk_digests"] = """
-select run_id, cast('0x' || substr(digest, 1, 8) as bigint) % 8 as chunk,
+select run_id, cast('0x' || substr(digest, 1, 8) as bigint) % 4096 as chunk,
        sha256(string_agg(digest || ':' || copies, chr(10) order by digest || ':' || copies)) as part
 from line_digests group by 1, 2"""
 QUERIES["S10_content_digests"] = """
@@ -629,6 +630,7 @@ QUERIES["L1_streamed_observations"] = """
 select event_id, source, retailer_product_id, cast(price as decimal(12,2))::double as price,
        inventory_status, quantity_available, observed_at
 from accepted"""
+QUERIES["S12_mounted_stores"] = QUERIES["L1_streamed_observations"]
 QUERIES["L1_resumed_drain"] = QUERIES["L1_streamed_observations"]
 CTES["first_half"] = "select distinct event_id, observed_at from raw_events where cast(event_id as bigint) % 2 = 0"
 CTES["second_half"] = """
