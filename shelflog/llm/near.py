@@ -6,6 +6,7 @@ import hashlib
 from collections.abc import Iterator
 from itertools import combinations
 from math import comb
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -24,6 +25,10 @@ SKETCHES = 64
 KEPT = 2  # k-mers in a sketch
 SIMILARITY = 0.8
 LEADERS_GROW = 256
+SMALL = 32  # nodes up to which all of a band are compared with each other
+COMMON = 1 << 20  # entries of the table of common k-mers, at most
+WORDS_KEPT = 6  # labelled words in a second sketch
+BUCKETS = 128  # word counts kept of each text
 _MATRIX = 1 << 21  # hashes held at once
 _SUBSETS = 100  # most rests of equal length that a short text lists
 
@@ -96,18 +101,32 @@ class OrderMinHash:
         if not found:
             return {"key": None, "words": 0, "sketch": []}
         raw = np.frombuffer(joined, np.uint8)
-        _, _, ids = word_hashes(raw, self.letters[raw], self.powers, self.symbols)
-        n = max(1, len(ids) - self.k + 1)
+        ids = self.ids(raw)
+        grams, labelled = self.labelled(ids, self.k)
+        sketch = np.concatenate([self.sketches(grams, labelled, self.kept, 0), self.rests(ids)])
+        key = hashlib.blake2b(joined, digest_size=16).digest()
+        return {"key": key, "words": len(ids), "sketch": sketch.view(np.int64).tolist()}
+
+    def ids(self, raw: np.ndarray) -> np.ndarray:
+        """Hashes of the words of joined words."""
+        return word_hashes(raw, self.letters[raw], self.powers, self.symbols)[2]
+
+    def labelled(self, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """Hashes of all k-mers, without and with the number of earlier occurrences."""
+        n = max(1, len(ids) - k + 1)
         at = np.arange(n)
-        grams = Spans(ids, self.powers).hash(at, np.minimum(at + self.k, len(ids)))
+        grams = Spans(ids, self.powers).hash(at, np.minimum(at + k, len(ids)))
         order = np.argsort(grams, kind="stable")
         ranked = grams[order]
         fresh = np.concatenate([[True], ranked[1:] != ranked[:-1]])
-        place = np.arange(n)
         label = np.empty(n, np.uint64)
-        label[order] = place - np.maximum.accumulate(np.where(fresh, place, 0))
-        labelled = mix(grams + label * np.uint64(0x9E3779B97F4A7C15))
-        kept = min(self.kept, n)
+        label[order] = at - np.maximum.accumulate(np.where(fresh, at, 0))
+        return grams, mix(grams + label * np.uint64(0x9E3779B97F4A7C15))
+
+    def sketches(self, grams: np.ndarray, labelled: np.ndarray, kept: int, family: int) -> np.ndarray:
+        """One hash per order: the ``kept`` least of ``labelled``, as they stand in the text."""
+        n = len(grams)
+        kept = min(kept, n)
         chosen = np.empty((len(self.seeds), kept), np.int64)
         step = max(1, _MATRIX // n)
         for a in range(0, len(self.seeds), step):
@@ -117,12 +136,43 @@ class OrderMinHash:
                 chosen[a : a + step, j] = least = table.argmin(axis=1)
                 table[rows, least] = np.uint64(0xFFFFFFFFFFFFFFFF)
         chosen.sort(axis=1)
-        sketch = mix(np.arange(len(self.seeds), dtype=np.uint64) + np.uint64(1))
+        sketch = mix(np.arange(len(self.seeds), dtype=np.uint64) + np.uint64(1 + 1000 * family))
         for j in range(kept):
             sketch = mix(sketch * np.uint64(0x9E3779B97F4A7C15) + grams[chosen[:, j]])
-        sketch = np.concatenate([sketch, self.rests(ids)])
-        key = hashlib.blake2b(joined, digest_size=16).digest()
-        return {"key": key, "words": len(ids), "sketch": sketch.view(np.int64).tolist()}
+        return sketch
+
+
+class SecondSketches:
+    """Sketches of texts that share common k-mers with many others that they don't resemble.
+
+    Similar texts of n words with e edits share all but 3 e of their n - 2 three-word k-mers. So
+    either a text has at least that many common k-mers (less n / 10), or over n / 10 of the
+    shared ones are not common. The second case is met by sketches of one k-mer that is not
+    common. In the first, texts get sketches of six labelled words: edits spoil as many words as
+    they are, wherever they stand, so two thirds of all words of similar texts agree at 0.8.
+    """
+
+    def __init__(self, common: np.ndarray, similarity: float = SIMILARITY, sketches: int = SKETCHES):
+        self.common, self.least, self.hashes = common, similarity, OrderMinHash(sketches=sketches, similarity=similarity)
+
+    def grams(self, text: bytes | None) -> list[int]:
+        """The different k-mers of a text."""
+        ids = self.hashes.ids(np.frombuffer(b" ".join(words(text)), np.uint8))
+        return np.unique(self.hashes.labelled(ids, SHINGLE)[0]).view(np.int64).tolist()
+
+    def one(self, text: bytes | None) -> list[int]:
+        ids = self.hashes.ids(np.frombuffer(b" ".join(words(text)), np.uint8))
+        grams, labelled = self.hashes.labelled(ids, SHINGLE)
+        common = np.zeros(len(grams), bool)
+        if len(self.common):
+            at = np.minimum(np.searchsorted(self.common, grams), len(self.common) - 1)
+            common = self.common[at] == grams
+        out = []
+        if not common.all():
+            out.append(self.hashes.sketches(grams[~common], labelled[~common], 1, 1))
+        if common.sum() >= len(grams) - SHINGLE * allowed(len(ids), 0, self.least) - len(ids) / 10:
+            out.append(self.hashes.sketches(*self.hashes.labelled(ids, 1), WORDS_KEPT, 2))
+        return np.unique(np.concatenate(out)).view(np.int64).tolist()
 
 
 class Aligner:
@@ -131,14 +181,28 @@ class Aligner:
     A column of the band is two whole numbers, one bit per cell: where a cell is one more and
     where it is one less than the cell above. A new column follows from the last by a few
     operations on whole numbers (a band-wise form of Myers' bit-parallel algorithm), and the
-    distance is counted along the diagonal that ends in the last cell.
+    distance is counted along the diagonal that ends in the last cell. The places of words are
+    kept by blocks of rows, so that memory is in proportion to the text.
     """
 
+    ROWS = 4096
+
     def __init__(self, sequence: list):
         self.size = len(sequence)
-        self.places: dict = {}
+        self.blocks: list[dict] = [{} for _ in range(0, self.size, self.ROWS)]
         for i, word in enumerate(sequence):
-            self.places[word] = self.places.get(word, 0) | 1 << i
+            places = self.blocks[i // self.ROWS]
+            places[word] = places.get(word, 0) | 1 << i % self.ROWS
+
+    def places(self, word, first: int, count: int) -> int:
+        """Bit b is set if ``word`` stands in row ``first`` + b; rows from 0, ``count`` at least."""
+        found = 0
+        for block in range(max(first, 0) // self.ROWS, min((first + count) // self.ROWS + 1, len(self.blocks))):
+            bits = self.blocks[block].get(word)
+            if bits:
+                shift = block * self.ROWS - first
+                found |= bits << shift if shift >= 0 else bits >> -shift
+        return found
 
     def distance(self, other: list, most: int) -> int | None:
         """The distance to ``other`` if it is at most ``most``, else None."""
@@ -150,11 +214,8 @@ class Aligner:
         more, less = cells ^ (1 << most) - 1, 0
         followed = 1 << goal + most
         found = abs(goal)
-        places = self.places.get
         for j, word in enumerate(other, 1):
-            equal = places(word, 0)
-            shift = j - most - 1
-            equal = (equal >> shift if shift >= 0 else equal << -shift) & cells
+            equal = self.places(word, j - most - 1, 2 * most + 1) & cells
             same = ((equal & more) + more ^ more | equal | less) & cells
             right_more = less | cells & ~(same | more)
             right_less = same & more
@@ -175,11 +236,42 @@ def similar(a: list, b: list, least: float = SIMILARITY) -> bool:
     return banded_distance(a, b, allowed(len(a), len(b), least)) is not None
 
 
+def word_counts(text: bytes | None) -> bytes | None:
+    """Words of a text per bucket of their hash; None if a count takes over a byte."""
+    counts = [0] * BUCKETS
+    for word in words(text):
+        counts[crc32(word) % BUCKETS] += 1
+    return bytes(counts) if max(counts) < 256 else None
+
+
+def _sides(pairs: DataFrame, texts: DataFrame, value: str) -> DataFrame:
+    left = texts.select(F.col("key").alias("a"), F.col(value).alias("value_a"))
+    right = texts.select(F.col("key").alias("b"), F.col(value).alias("value_b"))
+    both = pairs.join(left, "a").join(right, "b")
+    return both.select("a", "b", F.col("value_a").cast("binary"), F.col("value_b").cast("binary"))
+
+
 def _verified(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
-    """Those pairs of text keys (a, b) whose texts are similar."""
-    left = texts.select(F.col("key").alias("a"), F.col("text").alias("text_a"))
-    right = texts.select(F.col("key").alias("b"), F.col("text").alias("text_b"))
-    both = pairs.join(left, "a").join(right, "b").select("a", "b", F.col("text_a").cast("binary"), F.col("text_b").cast("binary"))
+    """Those pairs of text keys (a, b) whose texts are similar.
+
+    Similar texts have at least the longer one's words less the allowed edits in common, so
+    only pairs whose word counts per bucket allow that get their texts.
+    """
+
+    def allow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ok = []
+            for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
+                if x is None or y is None:
+                    ok.append(True)
+                    continue
+                p, q = np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)
+                longer = int(max(p.sum(), q.sum()))
+                ok.append(int(np.minimum(p, q).sum()) >= longer - allowed(longer, 0, least))
+            yield batch.select([0, 1]).filter(pa.array(ok, pa.bool_()))
+
+    likely = materialize(_sides(pairs, texts, "counts").mapInArrow(allow, "a binary, b binary"), "likely")
+    both = _sides(likely, texts, "text")
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, aligner = None, Aligner([])  # pairs come sorted by b
@@ -251,10 +343,13 @@ def near_classes(
     ``similarity`` or more. Classes are the components of the links; class_id is the least
     doc_id in it, and that row is ``kept``.
 
-    All nodes with a sketch are compared with one leader, then nodes of the same sketch that
-    are still in different components with 256 leaders, and so on until no sketch
-    has an uncompared pair across components. A large group so costs one comparison per
-    node, and no cap hides a pair.
+    All nodes with a sketch are compared with one leader. Of sketches whose nodes are still in
+    several components, those of up to ``SMALL`` nodes compare all of them. The nodes of larger
+    ones share k-mers that are common among them; they meet by ``SecondSketches`` instead,
+    with one leader first, then 32, and so on until no second sketch has an uncompared pair
+    across components. A large group so costs one comparison per node, texts around a
+    frequent passage don't meet by it, and no cap hides a pair. The table of common k-mers
+    holds the most frequent 2^20; k-mers beyond it only count as not common.
 
     Cases: a text without words (null, empty, only signs) is a class of its own and kept. Of
     rows that agree in doc_id and words one is kept. A null doc_id comes after all others.
@@ -276,31 +371,70 @@ def near_classes(
     first = nodes.where("words > 0").groupBy("key").agg(F.min("doc_id").alias("doc_id"))
     texts = _texts_of(docs, id_col, text_col, needed, pages, n_bits, first)
 
-    links = None
-    located = members.withColumn("root", F.col("key"))
-    leaders, compared = 1, 0
-    while True:
-        order = Window.partitionBy("band").orderBy(F.xxhash64("key"), F.col("key"))
-        led = located.withColumn("rank", F.row_number().over(order)).where((F.col("rank") <= leaders) & (F.col("rank") > compared))
-        led = materialize(led.select("band", F.col("key").alias("b"), F.col("words").alias("words_b"), F.col("root").alias("root_b")), "leaders")
-        near = F.least("words", "words_b") >= F.greatest("words", "words_b") * similarity - 1e-9
-        pairs = located.join(led, "band").where((F.col("root") != F.col("root_b")) & near)
-        pairs = pairs.select(F.least("key", "b").alias("a"), F.greatest("key", "b").alias("b")).distinct()
-        if links is not None:
-            pairs = pairs.join(links, ["a", "b"], "left_anti")
-        found = materialize(_verified(materialize(pairs, "pairs"), texts, similarity), "verified")
-        links = found if links is None else links.unionByName(found)
+    links = _meet(members.withColumn("root", F.col("key")), 0, 1, texts, None, similarity)
+    roots = components(links)
+    located = _open(members, roots)
+    if located.isEmpty():
+        return _classes(nodes, roots)
+    second = _second_members(located.where(F.col("n") > SMALL), texts, similarity, sketches)
+    links = _meet(located.where(F.col("n") <= SMALL), 1, SMALL, texts, links, similarity)
+    roots = components(links)
+    located, compared, leaders = _open(second, roots), 0, 1
+    while not located.isEmpty():
+        links = _meet(located, compared, leaders, texts, links, similarity)
         roots = components(links)
-        located = members.join(roots, "key", "left").withColumn("root", F.coalesce("root", "key"))
-        open_bands = located.groupBy("band").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.count("*").alias("n"))
-        open_bands = open_bands.where((F.col("x") != F.col("y")) & (F.col("n") > leaders)).select("band")
-        located = materialize(located.join(open_bands, "band", "left_semi"), "members")
-        if located.isEmpty():
-            break
-        compared, leaders = leaders, leaders * LEADERS_GROW
+        compared, leaders = leaders, SMALL if leaders == 1 else leaders * LEADERS_GROW
+        located = _open(second, roots, compared)
     return _classes(nodes, roots)
 
 
+def _meet(located: DataFrame, compared: int, leaders: int, texts: DataFrame, links: DataFrame | None, similarity: float) -> DataFrame:
+    """``links`` and those between the rows of each band and its leaders of rank ``compared`` + 1 to ``leaders``."""
+    order = Window.partitionBy("band").orderBy(F.xxhash64("key"), F.col("key"))
+    led = located.withColumn("rank", F.row_number().over(order)).where((F.col("rank") <= leaders) & (F.col("rank") > compared))
+    led = materialize(led.select("band", F.col("key").alias("b"), F.col("words").alias("words_b"), F.col("root").alias("root_b")), "leaders")
+    near = F.least("words", "words_b") >= F.greatest("words", "words_b") * similarity - 1e-9
+    pairs = located.join(led, "band").where((F.col("root") != F.col("root_b")) & near)
+    pairs = pairs.select(F.least("key", "b").alias("a"), F.greatest("key", "b").alias("b")).distinct()
+    if links is not None:
+        pairs = pairs.join(links, ["a", "b"], "left_anti")
+    found = materialize(_verified(materialize(pairs, "pairs"), texts, similarity), "verified")
+    return found if links is None else links.unionByName(found)
+
+
+def _open(members: DataFrame, roots: DataFrame, compared: int = 0) -> DataFrame:
+    """Rows of bands with several components and more than ``compared`` rows: also their root and the band's rows n."""
+    located = members.join(roots, "key", "left").withColumn("root", F.coalesce("root", "key"))
+    bands = located.groupBy("band").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.count("*").alias("n"))
+    bands = bands.where((F.col("x") != F.col("y")) & (F.col("n") > compared)).select("band", "n")
+    return materialize(located.join(bands, "band"), "members")
+
+
+def _second_members(crowded: DataFrame, texts: DataFrame, similarity: float, sketches: int) -> DataFrame:
+    """Second sketches of the nodes of ``crowded``: key, words, band."""
+    crowd = materialize(crowded.select("key", "words").distinct(), "crowd")
+    held = materialize(texts.select("key", "text").join(crowd, "key"), "crowd-texts")
+
+    def grams():
+        make = SecondSketches(np.empty(0, np.uint64), similarity, sketches)
+        return lambda found: [make.grams(t) for t in found]
+
+    listed = append_column(held, "text", "grams", T.ArrayType(T.LongType()), grams)
+    counts = listed.select(F.explode("grams").alias("gram")).groupBy("gram").count().where(F.col("count") > SMALL)
+    most = counts.orderBy(F.desc("count"), "gram").limit(COMMON).select("gram").toArrow()
+    common = np.sort(most.column(0).to_numpy().view(np.uint64))
+    sent = texts.sparkSession.sparkContext.broadcast(common)
+
+    def second():
+        make = SecondSketches(sent.value, similarity, sketches)
+        return lambda found: [make.one(t) for t in found]
+
+    bands = append_column(held, "text", "bands", T.ArrayType(T.LongType()), second)
+    bands = materialize(bands.select("key", "words", F.explode("bands").alias("band")), "second-bands")
+    shared = bands.groupBy("band").count().where("count > 1").select("band")
+    return materialize(bands.join(shared, "band", "left_semi"), "second-members")
+
+
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY) -> DataFrame:
     """``docs`` without the rows that ``near_classes`` doesn't keep; all columns stay.
 
@@ -332,7 +466,7 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", si
 
 
 def _texts_of(docs, id_col, text_col, needed, pages, n_bits, first) -> DataFrame:
-    """One text for each needed key: key, text."""
+    """One text for each needed key: key, text, counts (of words)."""
     chosen = materialize(first.join(needed, "key", "left_semi"), "first-documents")
     id_pages, id_bits = known_keys(chosen, "doc_id", "first-filter")
     rows = probe(id_and_text(docs, id_col, text_col), id_pages, "doc_id", id_bits, "hit").where("hit").select("doc_id", "text")
@@ -342,8 +476,9 @@ def _texts_of(docs, id_col, text_col, needed, pages, n_bits, first) -> DataFrame
 
     keyed = append_column(rows, "text", "key", T.BinaryType(), make)
     wanted = keyed.join(chosen.withColumnRenamed("doc_id", "first_id"), "key")
-    wanted = wanted.where(F.col("doc_id").eqNullSafe(F.col("first_id"))).select("key", "text")
-    return materialize(wanted.dropDuplicates(["key"]), "candidate-texts")
+    wanted = wanted.where(F.col("doc_id").eqNullSafe(F.col("first_id"))).select("key", "text").dropDuplicates(["key"])
+    counted = append_column(wanted, "text", "counts", T.BinaryType(), lambda: lambda found: [word_counts(t) for t in found])
+    return materialize(counted, "candidate-texts")
 
 
 def _classes(nodes: DataFrame, roots: DataFrame) -> DataFrame:

@@ -416,6 +416,68 @@ def test_near_classes_with_spread_edits_and_short_texts(spark):
     assert got == {d: d if d > 10_000 else d // 2 * 2 for d, _ in docs}
 
 
+def test_near_classes_around_frequent_passages(spark):
+    """Texts with a common passage, a third to most of them; pairs with all edits outside of it, or spread."""
+    r = random.Random(23)
+    passages = [[f"p{k}x{i}" for i in range(60)] for k in range(3)]
+    texts = []
+    for i in range(240):
+        passage, own = passages[i % 3], (20, 60, 140)[i // 3 % 3]
+        a = passage + [f"w{r.randrange(5000)}" for _ in range(own)]
+        at = len(a) // 2 if i % 2 else 0
+        a = a[at:] + a[:at]
+        texts.append(a)
+        if i % 4 == 0:
+            b, most = a[:], near.allowed(len(a), len(a), near.SIMILARITY)
+            free = [k for k, w in enumerate(a) if w[0] == "w"] if i % 8 else range(len(a))
+            for k in r.sample(list(free), min(most, len(free) - 1)):
+                b[k] = f"edit{i}at{k}"
+            texts.append(b)
+    root = list(range(len(texts)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for b in range(len(texts)):
+        for a in range(b):
+            if near.similar(texts[a], texts[b]):
+                x, y = sorted((find(a), find(b)))
+                root[y] = x
+    df = spark.createDataFrame([(d, " ".join(t)) for d, t in enumerate(texts)], "doc_id long, text string")
+    assert {x.doc_id: x.class_id for x in near.near_classes(df).collect()} == {d: find(d) for d in range(len(texts))}
+    assert len({find(d) for d in range(len(texts))}) > 100
+
+
+def test_second_sketches_meet_similar_texts():
+    r = random.Random(29)
+    missed = 0
+    for trial in range(200):
+        n = r.randint(40, 300)
+        passage = [f"p{i}" for i in range(int(n * r.random() * 0.9))]
+        a = passage + [f"w{r.randrange(5000)}" for _ in range(n - len(passage))]
+        places = range(n - near.allowed(n, n, 0.8), n) if trial % 2 else r.sample(range(n), near.allowed(n, n, 0.8))
+        b = [f"e{k}" if k in set(places) else w for k, w in enumerate(a)]
+        assert near.similar(a, b)
+        plain = near.SecondSketches(np.empty(0, np.uint64))
+        common = np.array(plain.grams(" ".join(passage).encode()) if passage else [], np.int64).view(np.uint64)
+        second = near.SecondSketches(np.sort(common))
+        missed += not set(second.one(" ".join(a).encode())) & set(second.one(" ".join(b).encode()))
+    assert missed <= 4
+
+
+def test_alignment_over_blocks():
+    r = random.Random(31)
+    a = [r.randrange(300) for _ in range(700)]
+    b = [w for w in a if r.random() > 0.05]
+    whole = near.banded_distance(a, b, 140)
+    small = near.Aligner.__new__(near.Aligner)
+    small.ROWS = 64
+    small.__init__(a)
+    assert len(small.blocks) == 11 and whole is not None and small.distance(b, 140) == whole == distance(a, b)
+
+
 def test_rests_miss_no_short_pair():
     r, shorts = random.Random(3), near.OrderMinHash()
     linked = 0
