@@ -29,7 +29,12 @@ def table_or_none(spark: SparkSession, path: str, schema: T.StructType) -> DataF
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     table = table_or_none(spark, path, schema)
-    return spark.createDataFrame([], schema) if table is None else table
+    return empty_table(spark, schema) if table is None else table
+
+
+def empty_table(spark: SparkSession, schema: T.StructType) -> DataFrame:
+    """No rows, known as such to the optimizer, which drops the joins and unions with them."""
+    return spark.range(1).where(F.lit(False)).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema])
 
 
 def keeps_variant(spark: SparkSession, path: str, column: str) -> bool | None:
@@ -176,24 +181,28 @@ def upsert(
     to the shared folder first, as a rewrite must not read what it overwrites; both scratch
     tables are deleted when the table is whole.
     """
-    spark = rows.sparkSession
     with temporary_table(_with_day(rows, day, moment), "upsert-rows") as fresh:
-        # Read in the new column set: added columns are null in old rows, removed ones dropped.
-        target = table_or_none(spark, path, fresh.schema)
-        if target is None:
-            fresh.hint("rebalance", day).write.partitionBy(day).parquet(path)
-            return
-        wandering = fresh.where(F.col(day).isNull()) if key_fixes_day else fresh
-        touched = fresh.select(day)
-        if not wandering.isEmpty():
-            # A replaced row may sit in another day than its successor.
-            touched = touched.union(target.select(key, day).join(wandering.select(key), key, "left_semi").select(day))
-        if key_fixes_day:
-            undated = target.where(F.col(day).isNull()).select(key, day)
-            touched = touched.union(undated.join(fresh.select(key), key, "left_semi").select(day))
-        with temporary_table(touched.distinct(), "upsert-days") as days:
-            kept = only_days(target, days, day).join(fresh.select(key), key, "left_anti")
-            rewrite_days(kept.unionByName(fresh), path, day, days)
+        upsert_written(fresh, path, key, day=day, key_fixes_day=key_fixes_day)
+
+
+def upsert_written(fresh: DataFrame, path: str, key: str, *, day: str = "observed_date", key_fixes_day: bool = False) -> None:
+    """``upsert`` of rows that are a written table and carry their ``day``."""
+    # Read in the new column set: added columns are null in old rows, removed ones dropped.
+    target = table_or_none(fresh.sparkSession, path, fresh.schema)
+    if target is None:
+        fresh.hint("rebalance", day).write.partitionBy(day).parquet(path)
+        return
+    wandering = fresh.where(F.col(day).isNull()) if key_fixes_day else fresh
+    touched = fresh.select(day)
+    if not wandering.isEmpty():
+        # A replaced row may sit in another day than its successor.
+        touched = touched.union(target.select(key, day).join(wandering.select(key), key, "left_semi").select(day))
+    if key_fixes_day:
+        undated = target.where(F.col(day).isNull()).select(key, day)
+        touched = touched.union(undated.join(fresh.select(key), key, "left_semi").select(day))
+    with temporary_table(touched.distinct(), "upsert-days") as days:
+        kept = only_days(target, days, day).join(fresh.select(key), key, "left_anti")
+        rewrite_days(kept.unionByName(fresh), path, day, days)
 
 
 def rewrite_days(rows: DataFrame, path: str, day: str, days: DataFrame) -> None:
@@ -203,14 +212,19 @@ def rewrite_days(rows: DataFrame, path: str, day: str, days: DataFrame) -> None:
     overwrites. A day without rows is emptied.
     """
     with temporary_table(rows, "rewritten-days") as result:
-        (
-            result.hint("rebalance", day)
-            .write.partitionBy(day)
-            .mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .parquet(path)
-        )
-        _clear_emptied_days(days, result, path, day)
+        overwrite_days(result, path, day, days)
+
+
+def overwrite_days(rows: DataFrame, path: str, day: str, days: DataFrame) -> None:
+    """``rewrite_days`` for rows that are not read from the table at ``path``."""
+    (
+        rows.hint("rebalance", day)
+        .write.partitionBy(day)
+        .mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .parquet(path)
+    )
+    _clear_emptied_days(days, rows, path, day)
 
 
 def _clear_emptied_days(touched: DataFrame, result: DataFrame, path: str, day: str) -> None:

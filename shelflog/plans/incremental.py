@@ -13,11 +13,11 @@ from __future__ import annotations
 import uuid
 from datetime import date, datetime, timedelta
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelflog.operators.merge import newest_moment, only_days, read_table, rewrite_days, since_lookback, upsert
+from shelflog.operators.merge import newest_moment, only_days, overwrite_days, read_table, rewrite_days, since_lookback, upsert_written
 from shelflog.plans import intermediate, marts
 from shelflog.plans.intermediate import SERIES
 from shelflog.plans.load import DAY, OBSERVATIONS
@@ -67,24 +67,29 @@ def next_or_previous(wanted: DataFrame, states: DataFrame, forward: bool) -> Dat
     The folders near the wanted days are read first; only what has no neighbour there is
     looked up in all.
     """
-    low, high = wanted.agg(F.min(DAY), F.max(DAY)).first()
+    low, high, undated = wanted.agg(F.min(DAY), F.max(DAY), F.count_if(F.col(DAY).isNull())).first()
     days = states.select(*SERIES, DAY)
 
     def nearest(ask: DataFrame, among: DataFrame) -> DataFrame:
-        there, here = _order(F.col(f"r.{DAY}")), _order(F.col(f"l.{DAY}"))
-        met = ask.alias("l").join(among.alias("r"), _same("l", "r", SERIES) & (there > here if forward else there < here))
-        pick = F.min(there) if forward else F.max(there)
-        near = met.groupBy(*[F.col(f"l.{c}").alias(c) for c in SERIES], F.col(f"l.{DAY}").alias("_asked")).agg(pick.alias("_near"))
-        return near.select(*SERIES, "_asked", F.nullif("_near", F.lit(LAST)).alias(DAY))
+        # Both in one order per series: each asked day takes the last state day ahead of it.
+        place = F.unix_date(_order(F.col(DAY))).cast("bigint") * (-1 if forward else 1)
+        both = ask.select(*SERIES, DAY, F.lit(True).alias("_ask")).unionByName(among.withColumn("_ask", F.lit(False)))
+        ahead = Window.partitionBy(*SERIES).orderBy("_place").rangeBetween(Window.unboundedPreceding, -1)
+        met = both.withColumn("_place", place).withColumn("_near", F.max(F.when(~F.col("_ask"), F.col("_place"))).over(ahead))
+        near = F.date_from_unix_date((F.col("_near") * (-1 if forward else 1)).cast("int"))
+        found = met.where(F.col("_ask") & F.col("_near").isNotNull())
+        return found.select(*SERIES, F.col(DAY).alias("_asked"), F.nullif(near, F.lit(LAST)).alias(DAY))
 
     if low is None:
         return nearest(wanted, days).select(*TOUCHED.names)
     span = timedelta(days=NEAR_DAYS)
-    with_folder = days.where(F.col(DAY).between(F.lit(low - span), F.lit(high + span)))
-    found = nearest(wanted.where(F.col(DAY).isNotNull()), with_folder)
+    close = F.coalesce(F.col(DAY).between(F.lit(low - span), F.lit(high + span)), F.lit(False))
+    found = nearest(wanted.where(F.col(DAY).isNotNull()), days.where(close))
+    both = found.select(*TOUCHED.names)
+    if not undated and days.where(~close).isEmpty():
+        return both
     asked = found.select(*SERIES, F.col("_asked").alias(DAY))
     rest = _among(wanted, asked, TOUCHED.names, "left_anti")
-    both = found.select(*TOUCHED.names)
     return both if rest.isEmpty() else both.unionByName(nearest(rest, days).select(*TOUCHED.names))
 
 
@@ -145,7 +150,7 @@ class Warehouse:
         with temporary_table(_with_day(intermediate.deduplicated(recent)).select(*OBSERVATIONS.names), "fresh") as fresh:
             noted = touched_days(fresh, self.observations, self.key_fixes_day).withColumn("refresh", F.lit(uuid.uuid4().hex))
             noted.write.mode("append").parquet(pending)
-            upsert(fresh.drop(DAY), self.path("int_inventory_events_deduplicated"), "event_id", day=DAY, key_fixes_day=self.key_fixes_day)
+            upsert_written(fresh, self.path("int_inventory_events_deduplicated"), "event_id", day=DAY, key_fixes_day=self.key_fixes_day)
         dims = self._dimensions(products, retailers, as_of)
         self.complete(dims)
         marts.mart_retailer_summary(
@@ -208,7 +213,8 @@ class Warehouse:
         rewrite_days(kept.unionByName(rows.select(*target.columns)), self.path(name), DAY, changed.select(DAY).distinct())
 
     def _overwrite(self, name: str, rows: DataFrame, days: DataFrame, day: str = DAY) -> None:
-        rewrite_days(rows, self.path(name), day, days.withColumnRenamed(DAY, day))
+        """Let the days hold ``rows``, which come from other tables than ``name``."""
+        overwrite_days(rows, self.path(name), day, days.withColumnRenamed(DAY, day))
 
     def source_days(self) -> DataFrame:
         return self.table("source_days", intermediate.source_days(self._models()["int_product_daily_states"]).schema)
