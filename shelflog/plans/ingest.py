@@ -17,9 +17,11 @@ def run_frames(payloads: DataFrame, catalog: DataFrame, runs: DataFrame) -> dict
 
     ``payloads``: source, run_id, retailer_product_id, observed_at (text), raw_response
     (VARIANT), extracted_at. ``runs``: run_id, source, observed_at, started_at, completed_at.
-    Payloads are read by their layout once; the outcome is a written table from which the
-    other three frames are taken.
+    Payloads are taken in once, as a written table, and read by their layout once; the outcome
+    is a written table from which the other three frames are taken. Books and digests are
+    written too, as checks and landing look at the manifests several times.
     """
+    payloads = materialize(payloads, "payloads")
     examined = materialize(normalize.examine(payloads, catalog), "examined")
     responses = landing.with_levels(payloads, read_utc(F.col("observed_at")), "run_id")
     events = landing.with_levels(normalize.accepted(examined), F.col("observed_at"), "ingestion_run_id")
@@ -29,7 +31,7 @@ def run_frames(payloads: DataFrame, catalog: DataFrame, runs: DataFrame) -> dict
         "payloads": responses,
         "events": events,
         "rejects": rejects,
-        "manifests": landing.with_content_hashes(books, responses, events),
+        "manifests": materialize(landing.with_content_hashes(books, responses, events), "manifests"),
     }
 
 

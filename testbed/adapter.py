@@ -36,14 +36,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return prepare(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def polls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``events``, dealt evenly to the tasks: a file may hold a million narrow rows in one row group."""
+    return table(spark, sf_dir, "events").hint("rebalance")
+
+
 def raw_events(spark: SparkSession, sf_dir: str, copies: bool = True) -> DataFrame:
     delivery = (
         "explode(case when event_id % 10 = 0 then array(0, 1) else array(0) end)"
         if copies
         else "0"
     )
-    polls = table(spark, sf_dir, "events").selectExpr("*", f"{K} as k", f"{delivery} as copy")
-    return polls.selectExpr(
+    delivered = polls(spark, sf_dir).selectExpr("*", f"{K} as k", f"{delivery} as copy")
+    return delivered.selectExpr(
         "cast(event_id as string) as event_id",
         f"{UNTIDY_SOURCE} as source",
         "cast(user_id as string) as retailer_product_id",
@@ -217,7 +222,7 @@ CODE_PATHS = ["$.data.product.tcin", "$.itemId", "$.product.variants[0].sku", "$
 def payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Collected responses as they arrive: times as text, bodies as VARIANT."""
     return (
-        table(spark, sf_dir, "events")
+        polls(spark, sf_dir)
         .selectExpr("*", f"{K} as k", "cast(cast(value as decimal(12,2)) as string) as amount")
         .selectExpr(
             f"{SOURCE} as source",
