@@ -11,19 +11,23 @@ from shelflog.operators.runs import build_manifests
 from shelflog.session import materialize
 from shelflog.sources import landing
 
+TAKEN_IN = ["source", "run_id", "retailer_product_id", "observed_at", "raw_response", "extracted_at"]
+
 
 def run_frames(payloads: DataFrame, catalog: DataFrame, runs: DataFrame) -> dict[str, DataFrame]:
     """What the landing zone gets for ``runs``: payloads, events, rejects and manifests.
 
     ``payloads``: source, run_id, retailer_product_id, observed_at (text), raw_response
     (VARIANT), extracted_at. ``runs``: run_id, source, observed_at, started_at, completed_at.
-    Payloads are taken in once, as a written table, and read by their layout once; the outcome
-    is a written table from which the other three frames are taken. Books and digests are
-    written too, as checks and landing look at the manifests several times.
+    Payloads are landed in the order they arrive in, as the last one of a product counts. For
+    all else, where order means nothing, they are dealt evenly to the tasks, as a written table,
+    and read by their layout once; the outcome is a written table from which the other three
+    frames are taken. The manifests are written too, as checks and landing look at them often.
     """
-    payloads = materialize(payloads, "payloads")
-    examined = materialize(normalize.examine(payloads, catalog), "examined")
-    responses = landing.with_levels(payloads, read_utc(F.col("observed_at")), "run_id")
+    dealt = materialize(payloads.select(*TAKEN_IN).hint("rebalance"), "payloads")
+    examined = materialize(normalize.examine(dealt, catalog), "examined")
+    moment = read_utc(F.col("observed_at"))
+    responses, digested = (landing.with_levels(rows, moment, "run_id") for rows in (payloads, dealt))
     events = landing.with_levels(normalize.accepted(examined), F.col("observed_at"), "ingestion_run_id")
     rejects = landing.with_levels(normalize.rejected(examined), F.col("occurred_at"), "ingestion_run_id")
     books = landing.with_levels(build_manifests(runs, examined), F.col("observed_at"), "run_id")
@@ -31,7 +35,7 @@ def run_frames(payloads: DataFrame, catalog: DataFrame, runs: DataFrame) -> dict
         "payloads": responses,
         "events": events,
         "rejects": rejects,
-        "manifests": materialize(landing.with_content_hashes(books, responses, events), "manifests"),
+        "manifests": materialize(landing.with_content_hashes(books, digested, events), "manifests"),
     }
 
 

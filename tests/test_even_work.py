@@ -1,10 +1,13 @@
 """Work of ingestion is dealt to the tasks and done once."""
 
 from datetime import datetime
+from pathlib import Path
 
 import pyarrow as pa
 import pyarrow.parquet as pq
+from pyspark.sql import functions as F
 
+from shelflog.sources import landing
 from testbed import adapter
 
 
@@ -39,8 +42,18 @@ def test_one_row_group_is_dealt_to_several_tasks(spark, tmp_path):
     assert "RebalancePartitions" in plan(adapter.raw_events(spark, folder))
 
 
-def test_payloads_are_parsed_and_digested_once(spark, tmp_path):
-    frames = adapter.whole_runs(spark, poll_file(tmp_path, 400))
-    assert "parse_json" not in plan(frames["payloads"]).lower()
+def test_payloads_are_dealt_for_examination_and_landed_in_order(spark, tmp_path):
+    folder = poll_file(tmp_path, 150_000)
+    shared = Path(spark.conf.get("spark.checkpoint.dir")) / "shelflog"
+    before = set(shared.glob("payloads-*"))
+    frames = adapter.whole_runs(spark, folder)
+    (written,) = set(shared.glob("payloads-*")) - before
+    assert len([*written.glob("*.parquet")]) > 1
     assert "Aggregate" not in plan(frames["manifests"]) and "Join" not in plan(frames["manifests"])
-    assert frames["payloads"].count() == 400
+    root = str(tmp_path / "zone")
+    landing.append_files(frames["payloads"], root, landing.PAYLOADS)
+    landing.append_files(landing.with_paths(frames["manifests"]), root, landing.MANIFESTS)
+    of = ["run_id", "retailer_product_id"]
+    landed = landing.scan_payloads(spark, root).groupBy(*of).agg(F.max_by(F.to_json("raw_response"), "position").alias("last"))
+    polled = adapter.payloads(spark, folder).groupBy(*of).agg(F.max_by(F.to_json("raw_response"), "poll").alias("last"))
+    assert landed.exceptAll(polled).isEmpty() and polled.exceptAll(landed).isEmpty()
