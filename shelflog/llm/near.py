@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import hashlib
+from collections import Counter
 from collections.abc import Iterator
 from itertools import combinations
-from math import comb
+from math import ceil, comb
 from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,15 +19,18 @@ from pyspark.sql import types as T
 from shelflog.llm.bloom import known_keys, probe
 from shelflog.llm.common import append_column, column, fresh, id_and_text
 from shelflog.llm.decontaminate import words
-from shelflog.llm.hashing import Powers, Spans, mix, symbols, word_hashes
+from shelflog.llm.hashing import mix
 from shelflog.session import materialize
 
 SHINGLE = 3
 SKETCHES = 64
 KEPT = 2  # k-mers in a sketch
 SIMILARITY = 0.8
-LEADERS_GROW = 256
 SMALL = 32  # nodes up to which all of a band are compared with each other
+CELL = 1024  # nodes of a band whose pairs are listed at once, at most
+BLOCK = 512  # nodes of a block, about
+WIDE = 4096  # word counts kept of each text of a block
+LISTED = 1 << 18  # pairs a task lists before it hands them on
 COMMON = 1 << 20  # entries of the table of common k-mers, at most
 WORDS_KEPT = 6  # labelled words in a second sketch
 BUCKETS = 128  # word counts kept of each text
@@ -88,9 +93,6 @@ class OrderMinHash:
     def __init__(self, k: int = SHINGLE, sketches: int = SKETCHES, kept: int = KEPT, similarity: float = SIMILARITY):
         self.k, self.kept, self.rests = k, kept, Rests(similarity)
         self.seeds = mix(np.arange(1, sketches + 1, dtype=np.uint64)) | np.uint64(1)
-        self.powers, self.symbols = Powers(), symbols()
-        self.letters = np.zeros(256, bool)
-        self.letters[[*range(48, 58), *range(97, 123), *range(128, 256)]] = True
 
     def __call__(self, texts: list[bytes | None]) -> list[dict]:
         return [self.one(t) for t in texts]
@@ -100,22 +102,25 @@ class OrderMinHash:
         joined = b" ".join(found)
         if not found:
             return {"key": None, "words": 0, "sketch": []}
-        raw = np.frombuffer(joined, np.uint8)
-        ids = self.ids(raw)
+        ids = self.ids(found)
         grams, labelled = self.labelled(ids, self.k)
         sketch = np.concatenate([self.sketches(grams, labelled, self.kept, 0), self.rests(ids)])
         key = hashlib.blake2b(joined, digest_size=16).digest()
         return {"key": key, "words": len(ids), "sketch": sketch.view(np.int64).tolist()}
 
-    def ids(self, raw: np.ndarray) -> np.ndarray:
-        """Hashes of the words of joined words."""
-        return word_hashes(raw, self.letters[raw], self.powers, self.symbols)[2]
+    def ids(self, found: list[bytes]) -> np.ndarray:
+        """Hashes of words."""
+        names: dict[bytes, int] = {}
+        return np.array([names.get(w) or names.setdefault(w, xxhash.xxh3_64_intdigest(w)) for w in found], np.uint64)
 
     def labelled(self, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """Hashes of all k-mers, without and with the number of earlier occurrences."""
-        n = max(1, len(ids) - k + 1)
+        k = min(k, len(ids))
+        n = len(ids) - k + 1
         at = np.arange(n)
-        grams = Spans(ids, self.powers).hash(at, np.minimum(at + k, len(ids)))
+        grams = np.full(n, k, np.uint64)
+        for j in range(k):
+            grams = mix(grams * np.uint64(0x9E3779B97F4A7C15) + ids[j : j + n])
         order = np.argsort(grams, kind="stable")
         ranked = grams[order]
         fresh = np.concatenate([[True], ranked[1:] != ranked[:-1]])
@@ -157,11 +162,11 @@ class SecondSketches:
 
     def grams(self, text: bytes | None) -> list[int]:
         """The different k-mers of a text."""
-        ids = self.hashes.ids(np.frombuffer(b" ".join(words(text)), np.uint8))
+        ids = self.hashes.ids(words(text))
         return np.unique(self.hashes.labelled(ids, SHINGLE)[0]).view(np.int64).tolist()
 
     def one(self, text: bytes | None) -> list[int]:
-        ids = self.hashes.ids(np.frombuffer(b" ".join(words(text)), np.uint8))
+        ids = self.hashes.ids(words(text))
         grams, labelled = self.hashes.labelled(ids, SHINGLE)
         common = np.zeros(len(grams), bool)
         if len(self.common):
@@ -251,6 +256,26 @@ def _sides(pairs: DataFrame, texts: DataFrame, value: str) -> DataFrame:
     return both.select("a", "b", F.col("value_a").cast("binary"), F.col("value_b").cast("binary"))
 
 
+class Joined:
+    """Keys joined step by step."""
+
+    def __init__(self):
+        self.above: dict = {}
+
+    def root(self, key):
+        while (up := self.above.get(key, key)) != key:
+            self.above[key] = self.above.get(up, up)
+            key = up
+        return key
+
+    def apart(self, a, b) -> bool:
+        return self.root(a) != self.root(b)
+
+    def join(self, a, b) -> bool:
+        self.above[self.root(a)] = self.root(b)
+        return True
+
+
 def _verified(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
     """Those pairs of text keys (a, b) whose texts are similar.
 
@@ -271,17 +296,20 @@ def _verified(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
             yield batch.select([0, 1]).filter(pa.array(ok, pa.bool_()))
 
     likely = materialize(_sides(pairs, texts, "counts").mapInArrow(allow, "a binary, b binary"), "likely")
-    both = _sides(likely, texts, "text")
+    both = _sides(likely, texts, "text")  # few of them don't have the words in common, which is found first
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, aligner = None, Aligner([])  # pairs come sorted by b
+        key, aligner, held = None, Aligner([]), Counter()  # pairs come sorted by b
         for batch in batches:
             ok = []
             for b, x, y in zip(batch.column(1).to_pylist(), batch.column(2), batch.column(3)):
                 if b != key:
-                    key, aligner = b, Aligner(words(y.as_py()))
+                    found = words(y.as_py())
+                    key, aligner, held = b, Aligner(found), Counter(found)
                 other = words(x.as_py())
-                ok.append(aligner.distance(other, allowed(aligner.size, len(other), least)) is not None)
+                most = allowed(aligner.size, len(other), least)
+                enough = (held & Counter(other)).total() >= max(aligner.size, len(other)) - most
+                ok.append(enough and aligner.distance(other, most) is not None)
             yield batch.select([0, 1]).filter(pa.array(ok, pa.bool_()))
 
     return both.mapInArrow(check, "a binary, b binary")
@@ -346,8 +374,8 @@ def near_classes(
     All nodes with a sketch are compared with one leader. Of sketches whose nodes are still in
     several components, those of up to ``SMALL`` nodes compare all of them. The nodes of larger
     ones share k-mers that are common among them; they meet by ``SecondSketches`` instead,
-    with one leader first, then 32, and so on until no second sketch has an uncompared pair
-    across components. A large group so costs one comparison per node, texts around a
+    with one leader first; where components are left in a second sketch, all pairs across them
+    are compared in ``_blocks``. A large group so costs one comparison per node, texts around a
     frequent passage don't meet by it, and no cap hides a pair. The table of common k-mers
     holds the most frequent 2^20; k-mers beyond it only count as not common.
 
@@ -371,40 +399,149 @@ def near_classes(
     first = nodes.where("words > 0").groupBy("key").agg(F.min("doc_id").alias("doc_id"))
     texts = _texts_of(docs, id_col, text_col, needed, pages, n_bits, first)
 
-    links = _meet(members.withColumn("root", F.col("key")), 0, 1, texts, None, similarity)
+    links = materialize(_verified(materialize(_led(members.withColumn("root", F.col("key")), 1, similarity), "pairs"), texts, similarity), "verified")
     roots = components(links)
     located = _open(members, roots)
     if located.isEmpty():
         return _classes(nodes, roots)
     second = _second_members(located.where(F.col("n") > SMALL), texts, similarity, sketches)
-    links = _meet(located.where(F.col("n") <= SMALL), 1, SMALL, texts, links, similarity)
+    pairs = _led(located.where(F.col("n") <= SMALL), SMALL, similarity, 1).unionByName(_led(_placed(second, roots), 1, similarity))
+    pairs = materialize(pairs.distinct().join(links, ["a", "b"], "left_anti"), "pairs")
+    links = links.unionByName(materialize(_verified(pairs, texts, similarity), "verified"))
     roots = components(links)
-    located, compared, leaders = _open(second, roots), 0, 1
-    while not located.isEmpty():
-        links = _meet(located, compared, leaders, texts, links, similarity)
+    located = _open(second, roots, 1)
+    if not located.isEmpty():
+        links = links.unionByName(materialize(_blocks(located, texts, similarity), "verified"))
         roots = components(links)
-        compared, leaders = leaders, SMALL if leaders == 1 else leaders * LEADERS_GROW
-        located = _open(second, roots, compared)
     return _classes(nodes, roots)
 
 
-def _meet(located: DataFrame, compared: int, leaders: int, texts: DataFrame, links: DataFrame | None, similarity: float) -> DataFrame:
-    """``links`` and those between the rows of each band and its leaders of rank ``compared`` + 1 to ``leaders``."""
+def _led(located: DataFrame, leaders: int, similarity: float, compared: int = 0) -> DataFrame:
+    """Pairs (a, b) between the rows of each band and its leaders of rank ``compared`` + 1 to ``leaders``."""
     order = Window.partitionBy("band").orderBy(F.xxhash64("key"), F.col("key"))
     led = located.withColumn("rank", F.row_number().over(order)).where((F.col("rank") <= leaders) & (F.col("rank") > compared))
     led = materialize(led.select("band", F.col("key").alias("b"), F.col("words").alias("words_b"), F.col("root").alias("root_b")), "leaders")
     near = F.least("words", "words_b") >= F.greatest("words", "words_b") * similarity - 1e-9
     pairs = located.join(led, "band").where((F.col("root") != F.col("root_b")) & near)
-    pairs = pairs.select(F.least("key", "b").alias("a"), F.greatest("key", "b").alias("b")).distinct()
-    if links is not None:
-        pairs = pairs.join(links, ["a", "b"], "left_anti")
-    found = materialize(_verified(materialize(pairs, "pairs"), texts, similarity), "verified")
-    return found if links is None else links.unionByName(found)
+    return pairs.select(F.least("key", "b").alias("a"), F.greatest("key", "b").alias("b")).distinct()
+
+
+def _placed(members: DataFrame, roots: DataFrame) -> DataFrame:
+    return members.join(roots, "key", "left").withColumn("root", F.coalesce("root", "key"))
+
+
+def _blocks(located: DataFrame, texts: DataFrame, least: float) -> DataFrame:
+    """Linked pairs (a, b) of different roots in the bands of ``located`` that join all such pairs join.
+
+    Texts that consist of one passage for the most part are nearly similar to each other, so
+    their pairs are many. Nodes are dealt to blocks of about ``BLOCK`` by hash. Bands are cut
+    into cells of at most ``CELL`` nodes a side, whose pairs are listed by pair of blocks; a
+    text goes once to each pair of blocks that needs it and not once to each pair, and no task
+    holds more texts than two blocks have.
+    """
+    nodes = located.select("key").distinct().count()
+    cut, blocks = F.ceil(F.col("n") / CELL).cast("int"), max(1, ceil(nodes / BLOCK))
+    placed = located.withColumn("own", F.pmod(F.xxhash64("key"), cut).cast("int"))
+    placed = placed.withColumn("block", F.pmod(F.xxhash64("key", F.lit(1)), F.lit(blocks)).cast("int"))
+    cells = placed.withColumn("other", F.explode(F.sequence(F.lit(0), cut - 1)))
+    cells = cells.select("band", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", "key", "words", "root", "block")
+
+    def pairs_of(rows: list[tuple]) -> Iterator[tuple]:
+        own, keys, sizes, named, block = zip(*rows)
+        names = {r: i for i, r in enumerate(dict.fromkeys(named))}
+        own, sizes, roots = np.array(own), np.array(sizes, np.int64), np.array([names[r] for r in named])
+        met = np.minimum.outer(sizes, sizes) >= np.maximum.outer(sizes, sizes) * least - 1e-9
+        met &= roots[:, None] != roots[None, :]
+        if own.min() != own.max():
+            met &= own[:, None] != own[None, :]
+        for i, j in np.argwhere(np.triu(met, 1)).tolist():
+            yield ((block[i], keys[i]), (block[j], keys[j])) if (block[i], keys[i]) < (block[j], keys[j]) else ((block[j], keys[j]), (block[i], keys[i]))
+
+    def batch_of(pairs: set) -> pa.RecordBatch:
+        lists: dict = {}
+        needed = set()
+        for (low, a), (high, b) in pairs:
+            lists.setdefault((low, high, a), []).append(b)
+            needed.add((low, high, b))
+        rows = [*((*k, v) for k, v in lists.items()), *((*k, None) for k in needed if k not in lists)]
+        low, high, key, partners = zip(*rows)
+        kinds = (pa.int32(), pa.int32(), pa.binary(), pa.list_(pa.binary()))
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip((low, high, key, partners), kinds)], ["low", "high", "key", "partners"])
+
+    def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pairs: set = set()
+        for _, rows in runs(batches, 3):
+            pairs.update(pairs_of(rows))
+            if len(pairs) > LISTED:
+                yield batch_of(pairs)
+                pairs = set()
+        if pairs:
+            yield batch_of(pairs)
+
+    ready = cells.repartition("band", "low", "high").sortWithinPartitions("band", "low", "high")
+    lists = materialize(ready.mapInArrow(listed, "low int, high int, key binary, partners array<binary>"), "near-lists")
+    needed = lists.select("low", "high", "key").distinct().join(texts.select("key", F.col("text").cast("binary").alias("text")), "key")
+    needed = needed.select("low", "high", "key", "text", F.lit(None).cast("array<binary>").alias("partners"))
+    asked = lists.where("partners is not null").select("low", "high", "key", F.lit(None).cast("binary").alias("text"), "partners")
+
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, rows in runs(batches, 2):
+            found = list(block_links(rows, least))
+            if found:
+                a, b = zip(*found)
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], ["a", "b"])
+
+    both = needed.unionByName(asked).repartition("low", "high").sortWithinPartitions("low", "high")
+    return both.mapInArrow(check, "a binary, b binary")
+
+
+def runs(batches: Iterator[pa.RecordBatch], named: int) -> Iterator[tuple[tuple, list[tuple]]]:
+    """Rows that agree in the first ``named`` columns, without these; such rows follow each other."""
+    name, held = None, []
+    for batch in batches:
+        for row in zip(*[c.to_pylist() for c in batch.columns]):
+            if row[:named] != name:
+                if held:
+                    yield name, held
+                name, held = row[:named], []
+            held.append(row[named:])
+    if held:
+        yield name, held
+
+
+def block_links(rows: list[tuple], least: float = SIMILARITY) -> Iterator[tuple[bytes, bytes]]:
+    """Linked pairs among those that ``rows`` (key, text, partners) ask for, but none that others join.
+
+    Word counts in ``WIDE`` buckets rule out most pairs, the others are aligned.
+    """
+    texts = {key: words(text) for key, text, partners in rows if partners is None}
+    place = {key: i for i, key in enumerate(texts)}
+    counts = np.zeros((len(texts), WIDE), np.uint32)
+    for key, found in texts.items():
+        counts[place[key]] = np.bincount([crc32(w) % WIDE for w in found], minlength=WIDE)
+    sizes = np.array([len(found) for found in texts.values()])
+    asked: dict = {}
+    for key, _, partners in rows:
+        if partners is not None:
+            asked.setdefault(key, set()).update(partners)
+    joined = Joined()
+    for key, partners in asked.items():
+        keys = sorted(partners)
+        at = np.array([place[k] for k in keys])
+        mine, aligner = place[key], None
+        longer = np.maximum(sizes[at], sizes[mine])
+        most = (longer * (1 - least) + 1e-9).astype(np.int64)
+        shared = np.minimum(counts[at], counts[mine]).sum(axis=1)
+        for i in np.flatnonzero(shared >= longer - most):
+            aligner = aligner or Aligner(texts[key])
+            if joined.apart(key, keys[i]) and aligner.distance(texts[keys[i]], int(most[i])) is not None:
+                joined.join(key, keys[i])
+                yield min(key, keys[i]), max(key, keys[i])
 
 
 def _open(members: DataFrame, roots: DataFrame, compared: int = 0) -> DataFrame:
     """Rows of bands with several components and more than ``compared`` rows: also their root and the band's rows n."""
-    located = members.join(roots, "key", "left").withColumn("root", F.coalesce("root", "key"))
+    located = _placed(members, roots)
     bands = located.groupBy("band").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.count("*").alias("n"))
     bands = bands.where((F.col("x") != F.col("y")) & (F.col("n") > compared)).select("band", "n")
     return materialize(located.join(bands, "band"), "members")
