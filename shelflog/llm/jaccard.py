@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from math import ceil
 
 import numpy as np
 import pyarrow as pa
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 from shelflog.llm.bloom import known_keys, probe
 from shelflog.llm.common import id_and_text, slices
 from shelflog.llm.hashing import mix
-from shelflog.llm.near import components
+from shelflog.llm.near import BLOCK, Joined, components, runs
 from shelflog.session import materialize
 
 SHINGLE = 4
@@ -346,8 +347,8 @@ def _allowed(pairs: DataFrame, vectors: DataFrame) -> DataFrame:
     return both.mapInArrow(run, "a binary, b binary")
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, firsts: DataFrame) -> DataFrame:
-    """Pairs (a, b) whose sets are linked. Only the texts of their first documents are read again."""
+def _pair_sets(pairs: DataFrame, docs: DataFrame, firsts: DataFrame) -> DataFrame:
+    """key, tokens of the sets of ``pairs`` (a, b). Only the texts of their first documents are read again."""
     keys = pairs.select(F.col("a").alias("key")).unionByName(pairs.select(F.col("b").alias("key"))).distinct()
     needed = materialize(firsts.join(keys, "key", "left_semi"), "pair-documents")
 
@@ -357,7 +358,11 @@ def _verified(pairs: DataFrame, docs: DataFrame, firsts: DataFrame) -> DataFrame
             yield pa.RecordBatch.from_arrays([keys, pa.array([s.view(np.int64) for s in made], pa.list_(pa.int64()))], ["key", "tokens"])
 
     found = _only(docs, needed.select("doc_id"), "doc_id").mapInArrow(tokens_of, "key binary, tokens array<bigint>")
-    sets = materialize(found.join(needed.select("key"), "key", "left_semi").dropDuplicates(["key"]), "pair-sets")
+    return materialize(found.join(needed.select("key"), "key", "left_semi").dropDuplicates(["key"]), "pair-sets")
+
+
+def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs (a, b) whose sets are linked."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -369,6 +374,32 @@ def _verified(pairs: DataFrame, docs: DataFrame, firsts: DataFrame) -> DataFrame
     return pairs.join(left, "a").join(right, "b").select("a", "b", "tokens_a", "tokens_b").mapInArrow(run, "a binary, b binary")
 
 
+def _verified_in_blocks(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Linked pairs of ``pairs`` (a, b), as many as it takes to join whatever they join.
+
+    Keys are dealt to blocks of about ``BLOCK`` by hash. A set goes once to each pair of blocks
+    that needs it and not once to each pair of sets, and a pair that links of the same two
+    blocks have joined already is not looked at.
+    """
+    blocks = max(1, ceil(sets.count() / BLOCK))
+    x, y = (F.pmod(F.xxhash64(k), F.lit(blocks)).cast("int") for k in "ab")
+    asked = pairs.select(F.least(x, y).alias("low"), F.greatest(x, y).alias("high"), "a", "b")
+    ends = [asked.select("low", "high", F.col(k).alias("key")) for k in "ab"]
+    needed = ends[0].unionByName(ends[1]).distinct().join(sets, "key")
+    needed = needed.select("low", "high", F.col("key").alias("a"), F.lit(None).cast("binary").alias("b"), "tokens")
+    both = needed.unionByName(asked.withColumn("tokens", F.lit(None).cast("array<bigint>")))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, rows in runs(batches, 2):
+            held = {a: np.array(tokens, np.int64).view(np.uint64) for a, b, tokens in rows if b is None}
+            joined = Joined()
+            found = [(a, b) for a, b, _ in rows if b is not None and joined.apart(a, b) and linked(held[a], held[b]) and joined.join(a, b)]
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in zip(*found)], ["a", "b"])
+
+    return both.repartition("low", "high").sortWithinPartitions("low", "high").mapInArrow(run, "a binary, b binary")
+
+
 def _close(n: str, m: str):
     return F.least(n, m) * 100 >= F.greatest(n, m) * PERCENT
 
@@ -456,7 +487,8 @@ def shingle_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         pairs = materialize(pairs, "candidates")
         if pairs.isEmpty():
             continue
-        found = materialize(_verified(pairs, rows, firsts), "links")
+        held = _pair_sets(pairs, rows, firsts)
+        found = materialize(_verified(pairs, held) if turn == "star" else _verified_in_blocks(pairs, held), "links")
         if not found.isEmpty():
             links = found if links is None else links.unionByName(found)
             roots = components(links)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import random
 from collections import defaultdict
 
-from shelflog.llm import near
+from shelflog.llm import jaccard, near
 
 
 def counted(monkeypatch, module):
@@ -55,3 +55,14 @@ def test_block_links_join_what_all_pairs_join():
             joined.join(a, b)
     assert set(found) <= set(linked) and len(found) < len(keys) < len(linked)
     assert all(every.apart(a, b) == few.apart(a, b) for a in keys for b in keys)
+
+
+def test_jaccard_chain_is_joined_by_fewer_links_than_texts(spark, monkeypatch):
+    texts = [" ".join(f"w{j}" for j in range(2 * i, 2 * i + 100)) for i in range(200)]
+    monkeypatch.setattr(jaccard, "ROUNDS", ("trees",))
+    rows = counted(monkeypatch, jaccard)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {x.component_id for x in jaccard.shingle_components(df).collect()} == {0}
+    assert rows["candidates"] > 600 and rows["links"] == 199
+    monkeypatch.setattr(jaccard, "BLOCK", 30)
+    assert {x.component_id for x in jaccard.shingle_components(df).collect()} == {0}
