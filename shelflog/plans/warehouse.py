@@ -17,6 +17,7 @@ from shelflog.operators.quality import Watch
 from shelflog.plans import intermediate, marts
 from shelflog.operators.merge import read_table
 from shelflog.plans.load import DAY, OBSERVATIONS, refresh_observations
+from shelflog.session import lean_disk
 
 
 def write_table(
@@ -68,29 +69,30 @@ def build_warehouse(
         models[name] = write_table(df, f"{folder}/{name}", day, last)
         return models[name]
 
-    name = "int_inventory_events_deduplicated"
-    refresh_observations(models["stg_inventory_events"], f"{folder}/{name}")
-    observations = read_table(spark, f"{folder}/{name}", OBSERVATIONS).drop(DAY)
-    models[name] = observations
+    with lean_disk(spark):
+        name = "int_inventory_events_deduplicated"
+        refresh_observations(models["stg_inventory_events"], f"{folder}/{name}")
+        observations = read_table(spark, f"{folder}/{name}", OBSERVATIONS).drop(DAY)
+        models[name] = observations
 
-    changes = table("int_inventory_state_changes", intermediate.state_changes(observations))
-    prices = table("int_product_price_changes", intermediate.price_changes(observations))
-    daily = table("int_product_daily_inventory", intermediate.daily_inventory(observations))
-    dims = (
-        table("dim_product", marts.dim_product(models["stg_products"])),
-        table("dim_retailer", marts.dim_retailer(models["stg_retailers"])),
-        table("dim_date", marts.dim_date(spark, as_of)),
-    )
-    table("fact_inventory_observation", marts.fact_inventory_observation(observations, *dims), DAY)
-    table("fact_inventory_state_change", marts.fact_inventory_state_change(changes, *dims), DAY)
-    table("fact_price_observation", marts.fact_price_observation(prices, *dims), DAY)
-    table(
-        "mart_daily_product_availability",
-        marts.mart_daily_product_availability(daily, *dims[:2]),
-        "observation_date",
-    )
-    table(
-        "mart_retailer_summary",
-        marts.mart_retailer_summary(dims[1], models["stg_ingestion_runs"], daily, as_of),
-    )
+        changes = table("int_inventory_state_changes", intermediate.state_changes(observations))
+        prices = table("int_product_price_changes", intermediate.price_changes(observations))
+        daily = table("int_product_daily_inventory", intermediate.daily_inventory(observations))
+        dims = (
+            table("dim_product", marts.dim_product(models["stg_products"])),
+            table("dim_retailer", marts.dim_retailer(models["stg_retailers"])),
+            table("dim_date", marts.dim_date(spark, as_of)),
+        )
+        table("fact_inventory_observation", marts.fact_inventory_observation(observations, *dims), DAY)
+        table("fact_inventory_state_change", marts.fact_inventory_state_change(changes, *dims), DAY)
+        table("fact_price_observation", marts.fact_price_observation(prices, *dims), DAY)
+        table(
+            "mart_daily_product_availability",
+            marts.mart_daily_product_availability(daily, *dims[:2]),
+            "observation_date",
+        )
+        table(
+            "mart_retailer_summary",
+            marts.mart_retailer_summary(dims[1], models["stg_ingestion_runs"], daily, as_of),
+        )
     return models

@@ -11,6 +11,8 @@ kind's types, and observations without an id, are kept apart as bad lines.
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -94,15 +96,22 @@ def _times_as_text(df: DataFrame) -> DataFrame:
     )
 
 
-def append_files(df: DataFrame, root: str, kind: str) -> None:
-    """Append rows of one kind; ``df`` carries the directory columns. No rows, no folder."""
+def append_files(df: DataFrame, root: str, kind: str, compression: str | None = None) -> None:
+    """Append rows of one kind; ``df`` carries the directory columns. No rows, no folder.
+
+    ``compression`` names a codec of Spark's text files (``gzip``), which readers know by the
+    files' names; without one the files are plain.
+    """
     if df.isEmpty():
         return
     columns = [c for c in SCHEMAS[kind].names if c in df.columns and c not in LEVELS]
     # Rebalancing gathers small runs into few files and splits a run too large for one task.
-    _times_as_text(df.select(*columns, *LEVELS)).hint("rebalance", *LEVELS).write.partitionBy(
+    writer = _times_as_text(df.select(*columns, *LEVELS)).hint("rebalance", *LEVELS).write.partitionBy(
         *LEVELS
-    ).mode("append").option("ignoreNullFields", False).json(f"{root}/{kind}")
+    ).mode("append").option("ignoreNullFields", False)
+    if compression is not None:
+        writer = writer.option("compression", compression).option("zlib.compress.level", "BEST_SPEED")
+    writer.json(f"{root}/{kind}")
 
 
 def list_files(spark: SparkSession, root: str, kind: str, combined: bool = False) -> DataFrame:
@@ -168,20 +177,23 @@ def write_runs(
     events: DataFrame,
     rejects: DataFrame,
     manifests: DataFrame,
+    compression: str | None = None,
 ) -> None:
     """Append whole runs in two phases; a published run id is an error.
 
     All frames carry the directory columns. The parts of the runs go first and stay invisible
     to the readers; the manifests go last, and with its manifest a run is published as a
     whole. If the write breaks before that, it can be repeated: leftovers of the same runs
-    are removed first. What is published is never overwritten.
+    are removed first. What is published is never overwritten. ``compression`` is that of the
+    parts; manifests are always plain.
     """
+    append_part = append_files if compression is None else partial(append_files, compression=compression)
     incoming = payloads.select(*LEVELS).unionByName(manifests.select(*LEVELS))
     refuse_existing_runs(incoming, root)
     clear_unpublished(incoming, root)
-    append_files(payloads, root, PAYLOADS)
-    append_files(events, root, EVENTS)
-    append_files(rejects, root, REJECTS)
+    append_part(payloads, root, PAYLOADS)
+    append_part(events, root, EVENTS)
+    append_part(rejects, root, REJECTS)
     append_files(with_paths(manifests), root, MANIFESTS)
 
 

@@ -266,8 +266,8 @@ def whole_runs(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 
 def land_all(spark: SparkSession, sf_dir: str, root: str) -> None:
-    """All runs, with their manifests, in the landing zone ``root``."""
-    ingest(prepare(spark), root, payloads(spark, sf_dir), catalog(spark, sf_dir), runs(spark, sf_dir))
+    """All runs, with their manifests, in the landing zone ``root``, as compressed files."""
+    ingest(prepare(spark), root, payloads(spark, sf_dir), catalog(spark, sf_dir), runs(spark, sf_dir), compression="gzip")
 
 
 def landed(spark: SparkSession, sf_dir: str, *kinds: str) -> str:
