@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from contextlib import ExitStack
 from datetime import datetime, timedelta
 
 from pyspark.errors import AnalysisException
@@ -80,6 +82,7 @@ def insert_new(
     moment: str = "observed_at",
     key_fixes_day: bool = False,
     parse: str | None = None,
+    complete: Callable[[DataFrame], DataFrame] | None = None,
 ) -> int:
     """Append the rows of ``batch`` whose ``key`` the table does not hold; returns how many.
 
@@ -89,34 +92,44 @@ def insert_new(
     ``day`` partitions the table by the date of ``moment``. With ``key_fixes_day`` (ids
     derived from the time) only the days of the batch are compared. ``parse`` names a column of
     JSON text that ``schema`` keeps as VARIANT: it is parsed here, for the new rows alone, and
-    text that is no JSON is an error.
+    text that is no JSON is an error. ``complete`` adds columns of ``schema`` that ``batch`` lacks
+    to the new rows, one row each. New rows, completed rows and table are then written in
+    turn, so that the shuffle files of one step are gone before the next.
     """
     spark = batch.sparkSession
     columns = [f.name for f in schema if f.name != "loaded_at"]
     batch = batch.where(F.col(key).isNotNull())
-    rows = batch.select(*columns)
+    rows = batch if complete else batch.select(*columns)
     if newest:
         rows = latest_per_key(rows, key, newest)
     rows = _with_day(rows, day, moment)
     stored = T.StructType(schema.fields + ([T.StructField(day, T.DateType())] if day else []))
-    target = read_table(spark, path, stored)
+    begun = table_or_none(spark, path, stored)
+    target = empty_table(spark, stored) if begun is None else begun
     if day and key_fixes_day:
         touched = _with_day(batch.select(moment), day, moment)
         target = only_days(target, touched, day)
     # Distinct before the join: copies in the table cannot pile up in one task.
     known = target.select(key).distinct()
     stamp = F.lit(loaded_at.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp_ntz")
-    new = rows.join(known, key, "left_anti").withColumn("loaded_at", stamp)
-    if parse:
-        new = new.withColumn(parse, F.parse_json(parse))
-    ordered = new.select(*schema.names, *([day] if day else []))
-
-    # Counting rows reads file footers only; the difference is what this call added.
-    before = target.count()
-    if day:
-        ordered.hint("rebalance", day).write.partitionBy(day).mode("append").parquet(path)
-    else:
-        ordered.write.mode("append").parquet(path)
+    new = rows.join(known, key, "left_anti")
+    with ExitStack() as scratch:
+        if complete:
+            with temporary_table(new, "new-rows") as found:
+                if begun is not None and found.isEmpty():
+                    return 0
+                new = scratch.enter_context(temporary_table(complete(found), "completed-rows"))
+        new = new.withColumn("loaded_at", stamp)
+        if parse:
+            new = new.withColumn(parse, F.parse_json(parse))
+        ordered = new.select(*schema.names, *([day] if day else []))
+
+        # Counting rows reads file footers only; the difference is what this call added.
+        before = target.count()
+        if day:
+            ordered.hint("rebalance", day).write.partitionBy(day).mode("append").parquet(path)
+        else:
+            ordered.write.mode("append").parquet(path)
     after = read_table(spark, path, stored)
     if day and key_fixes_day:
         after = only_days(after, touched, day)

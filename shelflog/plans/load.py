@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from contextlib import ExitStack
 from datetime import datetime, timedelta
 
@@ -12,7 +13,7 @@ from shelflog.operators.merge import LOOKBACK_HOURS, insert_new, keeps_variant,
 from shelflog.operators.staging import stage_events
 from shelflog.plans.intermediate import OBSERVATION_COLUMNS, deduplicated
 from shelflog.schemas import INGESTION_RUNS, INVENTORY_EVENTS, with_variant
-from shelflog.session import temporary_table
+from shelflog.session import lean_disk, temporary_table
 from shelflog.sources import landing
 from pyspark.sql import types as T
 
@@ -33,11 +34,18 @@ def _takes_variant(spark: SparkSession, path: str, column: str, typed: bool) ->
     return typed if stored is None else stored
 
 
-def merge_events(batch: DataFrame, path: str, loaded_at: datetime, dedupe: bool = True, typed: bool = False) -> int:
+def merge_events(
+    batch: DataFrame,
+    path: str,
+    loaded_at: datetime,
+    dedupe: bool = True,
+    typed: bool = False,
+    complete: Callable[[DataFrame], DataFrame] | None = None,
+) -> int:
     """Insert observations with a new event_id. Ids are derived from the time.
 
     ``typed`` begins a table that keeps the payloads parsed, as VARIANT columns; an existing
-    table keeps its form.
+    table keeps its form. ``complete`` adds columns that ``batch`` lacks, to the new rows alone.
     """
     typed = _takes_variant(batch.sparkSession, path, "raw_payload", typed)
     return insert_new(
@@ -50,6 +58,7 @@ def merge_events(batch: DataFrame, path: str, loaded_at: datetime, dedupe: bool
         day=DAY,
         key_fixes_day=True,
         parse="raw_payload" if typed else None,
+        complete=complete,
     )
 
 
@@ -90,6 +99,7 @@ def load_landing(
     bad ones are kept there, once each. ``typed`` begins raw tables that keep JSON parsed.
     """
     with ExitStack() as scratch:
+        scratch.enter_context(lean_disk(spark))
         # Parsed once; loads and quarantine read the outcome.
         lines = {
             kind: scratch.enter_context(temporary_table(_without_good_text(landing.examined(spark, root, kind, combined)), "landed-lines"))
@@ -105,13 +115,11 @@ def load_landing(
             if first:
                 where = "/".join(str(first[0][c]) for c in ("kind", "source", "run_id", "file"))
                 raise landing.BadLines(f"{first[0]['fault']} line in {where}: {first[0]['line'][:200]}")
-        events = landing.attach_payloads(
-            landing.conform_events(landing.good_lines(lines[landing.EVENTS])),
-            landing.good_lines(lines[landing.PAYLOADS], "position"),
-        )
+        events = landing.conform_events(landing.good_lines(lines[landing.EVENTS]))
+        payloads = landing.good_lines(lines[landing.PAYLOADS], "position")
         runs = landing.conform_runs(landing.good_lines(lines[landing.MANIFESTS]))
         counters = (
-            merge_events(events, events_path, loaded_at, typed=typed),
+            merge_events(events, events_path, loaded_at, typed=typed, complete=lambda new: landing.attach_payloads(new, payloads)),
             merge_runs(runs, runs_path, loaded_at, typed=typed),
             landing.list_files(spark, root, landing.EVENTS, combined).count(),
             landing.list_files(spark, root, landing.MANIFESTS, combined).count(),

@@ -1,15 +1,19 @@
 """Ingestion, loads and builds give their disk back: shuffle files, scratch tables, plain text."""
 
 import time
+from datetime import datetime
 from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
+from shelflog.plans import load
 from shelflog.plans.ingest import ingest
+from shelflog.plans.warehouse import build_warehouse
 from shelflog.session import LEAN_CONF, lean_disk
 from shelflog.sources import landing
 
+NOW = datetime(2024, 3, 1)
 RUNS = 8
 
 
@@ -84,6 +88,46 @@ def test_a_compressed_landing_zone_reads_as_a_plain_one(spark, tmp_path):
         ingest(spark, packed, *taken_in(spark), compression="gzip")
 
 
+def test_loads_and_builds_leave_no_shuffle_files_and_no_scratch(spark, tmp_path):
+    root, events, runs = (str(tmp_path / n) for n in ("zone", "events", "runs"))
+    ingest(spark, root, *taken_in(spark), compression="gzip")
+    tables, files = shared_tables(spark), shuffle_files(spark)
+    counters = load.load_landing(spark, root, events, runs, NOW).first()
+    assert (counters["events_loaded"], counters["runs_loaded"]) == (3 * RUNS, RUNS)
+    assert not left_over(spark, files)
+    assert shared_tables(spark) == tables
+    products = spark.createDataFrame(
+        [("a", "WALMART", "1", "n", "u", "toys", None)],
+        "product_id string, retailer string, retailer_product_id string, product_name string, product_url string, category string, store_id string",
+    )
+    retailers = spark.createDataFrame([("WALMART", "Walmart", "w", "live")], "retailer_code string, retailer_name string, website string, integration_mode string")
+    files = shuffle_files(spark)
+    models = build_warehouse(spark, str(tmp_path / "wh"), load.read_raw_events(spark, events), load.read_raw_runs(spark, runs), products, retailers, NOW)
+    assert not left_over(spark, files)
+    assert models["mart_daily_product_availability"].count() == 3 * RUNS
+
+
+def test_a_load_completes_new_rows_only(spark, tmp_path, monkeypatch):
+    root, events, runs = (str(tmp_path / n) for n in ("zone", "events", "runs"))
+    seen, attach = [], landing.attach_payloads
+
+    def counting(new, payloads):
+        seen.append(new.count())
+        return attach(new, payloads)
+
+    monkeypatch.setattr(landing, "attach_payloads", counting)
+    ingest(spark, root, *taken_in(spark))
+    for first, loaded in ((0, 3 * RUNS), (0, 0), (RUNS, 3 * RUNS)):
+        if first:
+            ingest(spark, root, *taken_in(spark, first))
+        assert load.load_landing(spark, root, events, runs, NOW).first()["events_loaded"] == loaded
+    assert seen == [3 * RUNS, 3 * RUNS]
+    stored = load.read_raw_events(spark, events)
+    assert stored.count() == 6 * RUNS
+    price = F.get_json_object("raw_payload", "$.salePrice").cast("decimal(12,2)")
+    assert stored.where(price.eqNullSafe(F.col("price"))).count() == 6 * RUNS
+
+
 def test_a_used_plan_is_computed_again_and_settings_return(spark):
     before = {key: spark.conf.get(key, None) for key in LEAN_CONF}
     files = shuffle_files(spark)
